@@ -13,6 +13,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from functools import partial
+from itertools import chain, compress, islice
+from operator import is_
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -43,14 +47,31 @@ def chunks(data: bytes, bits: int = CUT_BITS) -> list[bytes]:
     return [data[i:j] for i, j in zip([0, *at], [*at, n])]
 
 
+#: Words that go to the model as they are: small letters whose bytes are all that normalising and splitting look at.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_BYTE_CHARS = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+_BYTE_CHARS |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _BYTE_CHARS)}
+none = partial(is_, None)
+_OPENED: dict[tuple, Encoder] = {}
+
+
+def opened(kind: type[Encoder], path: str, **how) -> Encoder:
+    """The worker process's own encoder: its caches serve all the tasks that the process runs."""
+    key = (kind, path, *sorted(how.items()))
+    if key not in _OPENED:
+        _OPENED[key] = kind(path, **how)
+    return _OPENED[key]
+
+
 class Encoder:
     """The tokenizers library behind a bounded cache of words; white space always separates words here.
 
-    words_apart says whether the tokenizer treats words between ASCII white space on their own. It is probed, and
-    where it fails every text goes to the library whole.
+    What it may rely on is probed: words_apart, that words between ASCII white space are encoded on their own; plain,
+    that plain words reach the model unchanged but for their bytes' characters and capitals; stops, that a full stop or comma
+    behind a letter begins a piece of its own. Where words_apart fails every text goes to the library whole.
     """
 
-    def __init__(self, path: str, cap: int = 250_000, strings: bool = False) -> None:
+    def __init__(self, path: str, cap: int = 400_000, strings: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -64,12 +85,18 @@ class Encoder:
         self.plain_join = self.tok.decoder is None
         probe = ["it's", "No.", "x", "don't!", "7up", "ﬁ"]
         self.words_apart = self.ids([" ".join(probe), "\n" + "\t".join(probe) + " "]) == [sum(self.ids(probe), [])] * 2
+        probe = ["a", "the", "straße", "çàñÿ", "reading", "zzyzx", "übermäßig", "in", "éclair" * 9]
+        self.plain = self.ids(probe + [w.capitalize() for w in probe]) == [self.model_ids(w) for w in probe] * 2
+        self.stops = all(self.ids([w + c]) == [self.ids([w])[0] + self.ids([c])[0]] for w in ("x", "word", "é") for c in ".,")
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def model_ids(self, word: str) -> list[int]:
+        return [t.id for t in self.tok.model.tokenize("".join([_BYTE_CHARS[b] for b in word.encode()]))]
+
     def entry(self, ids: list[int]):
-        """What is kept of encoded text: (bytes of the ids,) or (count, ids as decimals, decoded)."""
+        """What is kept of encoded text: the ids' bytes, or (count, ids as decimals, decoded)."""
         if not self.strings:
             return np.array(ids, self.dtype).tobytes()
         return len(ids), " ".join(map(str, ids)), self.decode(ids)
@@ -79,24 +106,60 @@ class Encoder:
             return " ".join([self.names[i] for i in ids])
         return self.tok.decode(ids, skip_special_tokens=False)
 
+    def joined(self, a, b):
+        """The entry of two pieces that stand together."""
+        return a + b if not self.strings else (a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}")
+
     def learn(self, words) -> None:
         """Puts the words that the cache lacks into it."""
-        cache = self.words
-        new = [w for w in dict.fromkeys(words) if cache[w] is None]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
+        cache, odd = self.words, []
+        for w in words:
+            if cache[w] is not None:
+                continue
+            stop = w[-1:] if self.stops and self.plain and w[-1:] in (b".", b",") else b""
+            stem = w[: len(w) - len(stop)]
+            word = stem.decode().lower() if self.plain else ""
+            if not _PLAIN.fullmatch(word):
+                odd.append(w)
+                continue
+            key = word.encode()
+            known = cache[key]
+            if known is None:
+                known = cache[key] = self.entry(self.model_ids(word))
+            if stop:
+                end = cache[stop]
+                if end is None:
+                    end = cache[stop] = self.entry(self.ids([stop.decode()])[0])
+                known = self.joined(known, end)
+            if w != key:
+                cache[w] = known
+        for i in range(0, len(odd), 20_000):
+            part = odd[i : i + 20_000]
             for w, ids in zip(part, self.ids([w.decode() for w in part])):
                 cache[w] = self.entry(ids)
 
+    def fold(self, text: bytes) -> bytes:
+        """text with ASCII capitals folded where that is sure to change nothing: no special token can then appear."""
+        return text.lower() if self.plain and b"<|" not in text else text
+
+    def entries(self, words: list[bytes]) -> list:
+        """The words' entries, in one walk through the cache; what it lacks is learned."""
+        get = self.words.__getitem__
+        found = list(map(get, words))
+        lacking = list(compress(range(len(found)), map(none, found)))
+        self.learn({words[i] for i in lacking})
+        for i in lacking:
+            found[i] = get(words[i])
+        return found
+
     def encode_bytes(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each whole text, as bytes of little-endian unsigned integers."""
         if not self.words_apart:
             return [self.entry(x) for x in self.ids([t.decode() for t in texts])]
         self.words.trim()
-        split = [t.split() for t in texts]
-        self.learn(w for ws in split for w in ws)
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        split = [self.fold(t).split() for t in texts]
+        found = iter(self.entries(list(chain.from_iterable(split))))
+        return [b"".join(islice(found, len(ws))) for ws in split]
 
 
 def _merge(entries) -> tuple[int, str, str]:
@@ -133,12 +196,12 @@ class ChunkEncoder(Encoder):
             return [(*self.entry(x), 1) for x in self.ids([t.decode() for t in texts])]
         self.words.trim()
         self.cache.trim()
-        cut = [chunks(t, self.bits) for t in texts]
+        cut = [chunks(self.fold(t), self.bits) for t in texts]
         new = {c: self._parts(c) for c in dict.fromkeys(c for cs in cut for c in cs) if self.cache[c] is None}
-        self.learn(w for p in new.values() if p for w in p[1])
+        found = iter(self.entries([w for p in new.values() if p for w in p[1]]))
         word = self.words
         for c, p in new.items():
-            self.cache[c] = ("solid",) if p is None else (p[0], _merge([word[w] for w in p[1]]), p[2], p[3], p[4], p[1][:1], p[1][-1:])
+            self.cache[c] = ("solid",) if p is None else (p[0], _merge(list(islice(found, len(p[1])))), p[2], p[3], p[4], p[1][:1], p[1][-1:])
         # the joints: (word across it, window, witness on the left, on the right)
         plans, joints = [], []
         for cs in cut:
@@ -156,9 +219,8 @@ class ChunkEncoder(Encoder):
             plan.append(len(joints))
             joints.append((word_now, window, left, []))
             plans.append(plan)
-        self.learn(j[0] for j in joints if j[0])
+        self.learn({w for j in joints for w in (*j[2], j[0], *j[3]) if w})
         seen = self.ids([j[1].decode() for j in joints])
-        self.learn(w for j in joints for w in (*j[2], *j[3]))
         agree = []
         for j, ids in zip(joints, seen):
             want = _merge([word[w] for w in (*j[2], j[0], *j[3]) if w])
@@ -183,7 +245,7 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str | None = None, cut_bits: i
     extra = ", ids array<int>, decoded string" if texts else ""
 
     def run(parts):
-        enc = ChunkEncoder(path, cut_bits=cut_bits)
+        enc = opened(ChunkEncoder, path, cut_bits=cut_bits)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for p in parts:
             done = enc.encode([(t or "").encode() for t in p["text"]])

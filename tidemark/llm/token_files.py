@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import arrow_map, partitions, pick, scratch
-from tidemark.llm.bpe import Encoder, default_tokenizer
+from tidemark.llm.bpe import Encoder, default_tokenizer, opened
 
 #: Stands for a null doc_id in the files; such rows come first.
 NO_ID = np.iinfo(np.int64).min
@@ -37,7 +37,7 @@ def encode_ids(docs: DataFrame, bounds: list[int], tokenizer: str, end_id: int)
     """doc_id, shard, ids as bytes with the end id."""
 
     def run(parts):
-        enc, cuts = Encoder(tokenizer), np.array(bounds, np.int64)
+        enc, cuts = opened(Encoder, tokenizer), np.array(bounds, np.int64)
         end = np.array([end_id], enc.dtype).tobytes()
         for p in parts:
             ids = [b + end for b in enc.encode_bytes([(t or "").encode() for t in p["text"]])]
