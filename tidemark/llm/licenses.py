@@ -110,7 +110,5 @@ def licence_scan(docs: DataFrame, threshold: float = THRESHOLD, templates: dict[
         F.expr(f"transform(units, u -> struct(u.kind, u.at, array_sort(transform(filter(templates, t -> u.m BETWEEN t.low AND t.high), t -> struct(-2D * {shared} / (u.m + t.n) AS less, t.name AS licence)))[0] AS best))"),
     )
     notices = scored.select("doc_id", F.expr(f"transform(filter(units, u -> -u.best.less >= {threshold}D - 1e-12D), u -> struct(u.kind, u.at, u.best.licence AS licence, -u.best.less AS dice))").alias("notices"))
-    best = F.expr("array_sort(transform(notices, (n, i) -> struct(-n.dice AS less, i AS i)))[0].i")
     first = notices.withColumn("top", F.when(F.size("notices") > 0, F.expr("notices[array_sort(transform(notices, (n, i) -> struct(-n.dice AS less, i AS i)))[0].i]")))
-    del best
     return first.select("doc_id", F.size("notices").cast("long").alias("n_notices"), F.col("top.licence").alias("licence"), F.col("top.dice").alias("dice"), "notices")

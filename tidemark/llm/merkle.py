@@ -6,7 +6,7 @@ edit changes the nodes above it and no others. A node's hash is that of its chil
 otherwise the comparison goes down the branches that differ, to the pieces that differ.
 
 The fingerprint is the root in 32 hex digits and the codes of the nodes below it: sections by "/", paragraphs by ",",
-each as its own code of 6 characters and 4 for each of its pieces.
+each as its own code of 6 characters and 3 for each of its pieces.
 """
 
 from __future__ import annotations
@@ -23,19 +23,26 @@ from pyspark.sql import functions as F
 from tidemark.llm._common import arrow_map, partitions, pick
 
 _ODD = np.uint32(2654435761)
-#: Pieces end at one space of 2**PIECE_BITS, sections at one paragraph of 2**SECTION_BITS.
-PIECE_BITS, SECTION_BITS = 3, 2
+#: Pieces end at one space of 2**PIECE_BITS, at every space in paragraphs under SHORT bytes; sections at one paragraph of
+#: 2**SECTION_BITS.
+PIECE_BITS, SHORT, SECTION_BITS = 2, 160, 2
+#: Characters of 6 bits that a piece's code has, and a paragraph's.
+PIECE, PARAGRAPH = 3, 6
 
 
 def pieces(data: bytes) -> list[bytes]:
     """data cut behind content-defined spaces and behind every line feed; joined they give data again."""
     b = np.frombuffer(data, np.uint8)
+    feeds = np.flatnonzero(b == 10)
     at = np.flatnonzero(b == 32)
-    at = at[at >= 4]
     if len(at):
-        before = (b[at - 4].astype(np.uint32) << 24) | (b[at - 3].astype(np.uint32) << 16) | (b[at - 2].astype(np.uint32) << 8) | b[at - 1]
-        at = at[(before * _ODD) >> np.uint32(32 - PIECE_BITS) == 0]
-    cuts = np.union1d(at, np.flatnonzero(b == 10)) + 1
+        edges = np.r_[-1, feeds, len(b)]
+        short = np.diff(edges)[np.searchsorted(feeds, at)] <= SHORT
+        past = at >= 4
+        i = np.maximum(at, 4)
+        before = (b[i - 4].astype(np.uint32) << 24) | (b[i - 3].astype(np.uint32) << 16) | (b[i - 2].astype(np.uint32) << 8) | b[i - 1]
+        at = at[short | past & ((before * _ODD) >> np.uint32(32 - PIECE_BITS) == 0)]
+    cuts = np.union1d(at, feeds) + 1
     cuts = cuts[cuts < len(data)].tolist()
     return [data[i:j] for i, j in zip([0, *cuts], [*cuts, len(data)])] if data else []
 
@@ -73,12 +80,12 @@ def _code(digest: bytes, n: int) -> str:
 
 def fingerprint(text: str) -> str:
     root, sections = tree(text)
-    return root.hex() + ":" + "/".join(",".join(_code(p, 6) + "".join([_code(x, 4) for x in leaves]) for p, leaves in paragraphs) for _, paragraphs in sections)
+    return root.hex() + ":" + "/".join(",".join(_code(p, PARAGRAPH) + "".join([_code(x, PIECE) for x in leaves]) for p, leaves in paragraphs) for _, paragraphs in sections)
 
 
 def _nodes(fp: str) -> list[list[tuple[str, list[str]]]]:
     body = fp.partition(":")[2]
-    return [[(p[:6], [p[i : i + 4] for i in range(6, len(p), 4)]) for p in s.split(",")] for s in body.split("/")] if body else []
+    return [[(p[:PARAGRAPH], [p[i : i + PIECE] for i in range(PARAGRAPH, len(p), PIECE)]) for p in s.split(",")] for s in body.split("/")] if body else []
 
 
 def likeness(a: str, b: str) -> float:
@@ -95,14 +102,14 @@ def likeness(a: str, b: str) -> float:
     for side, counts in enumerate((mine, theirs)):
         for s, n in counts.items():
             for p in s.split(","):
-                size = (len(p) - 6) // 4
+                size = (len(p) - PARAGRAPH) // PIECE
                 total += size * n
                 shared += size * same[s] if side == 0 else 0
                 rest[side].extend([p] * (n - same[s]))
     mine, theirs = Counter(rest[0]), Counter(rest[1])
     same = mine & theirs
-    shared += sum((len(p) - 6) // 4 * n for p, n in same.items())
-    leaves = [Counter(p[i : i + 4] for p, n in (c - same).items() for _ in range(n) for i in range(6, len(p), 4)) for c in (mine, theirs)]
+    shared += sum((len(p) - PARAGRAPH) // PIECE * n for p, n in same.items())
+    leaves = [Counter(p[i : i + PIECE] for p, n in (c - same).items() for _ in range(n) for i in range(PARAGRAPH, len(p), PIECE)) for c in (mine, theirs)]
     shared += sum((leaves[0] & leaves[1]).values())
     return 2 * shared / total if total else 0.0
 
@@ -146,14 +153,13 @@ def neighbours(docs: DataFrame) -> DataFrame:
     parts = partitions(spark, n, 50_000)
     bounds = sorted(set(ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] or [])) if parts > 1 and n else []
     # range r holds bounds[r - 1] < doc_id <= bounds[r]; what follows the last row of range r is the largest of range r - 1
-    shard = F.expr(f"array_size(filter(array({', '.join(f'{b}L' for b in bounds)}), b -> b < doc_id))") if 0 < len(bounds) <= 64 else _search(bounds)
-    placed = docs.withColumn("shard", F.coalesce(shard, F.lit(0)).cast("int"))
+    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(_search(bounds)).cast("int")
+    placed = docs.withColumn("shard", shard)
     tops = sorted((r["shard"], r["top"]) for r in placed.groupBy("shard").agg(F.max("doc_id").alias("top")).collect())  # a row for each range
-    after = {tops[i][1]: tops[(i + 1) % len(tops)][0] for i in range(len(tops)) if tops[i][1] is not None}
-    lend = spark.createDataFrame(list(after.items()) or [(None, None)], "top bigint, to int")
-    lent = placed.join(F.broadcast(lend), placed.doc_id == lend.top, "left")  # as many rows as ranges
+    lend = spark.createDataFrame([(tops[i][1], tops[(i + 1) % len(tops)][0]) for i in range(len(tops))], "top bigint, to int")
+    lent = placed.join(F.broadcast(lend), placed.doc_id.eqNullSafe(lend.top), "left")  # as many rows as ranges
     both = F.expr("CASE WHEN to IS NULL THEN array(struct(shard AS s, false AS lent)) ELSE array(struct(shard AS s, false AS lent), struct(to AS s, true AS lent)) END")
-    return lent.select("doc_id", "text", F.explode(both).alias("e")).select(F.col("e.s").alias("shard"), "doc_id", "text", F.col("e.lent").alias("lent")).repartition(parts, "shard")
+    return lent.select("doc_id", "text", "shard", "to").select("doc_id", "text", F.explode(both).alias("e")).select(F.col("e.s").alias("shard"), "doc_id", "text", F.col("e.lent").alias("lent")).repartition(parts, "shard")
 
 
 def _search(bounds: list[int]):
@@ -188,7 +194,6 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         hold = None  # (shard, doc_id, text, fingerprint)
-        first = {}
 
         def pair(now, text, fp):
             new = edited(now[2], text)
@@ -206,7 +211,6 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
                     yield batch(out)
                     out = []
             yield batch(out)
-        del first
 
     names = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
     schema = pa.schema(list(zip(names, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))))

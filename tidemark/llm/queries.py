@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm._common import documents
 from tidemark.llm.bpe import bpe_encode_decode
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.langid import language_id
+from tidemark.llm.licenses import licence_scan
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.merkle import fingerprint_edits
+from tidemark.llm.packing import pack
+from tidemark.llm.pii import surrogate_pii
 from tidemark.llm.simhash import simhash_near_dedup
 from tidemark.llm.token_files import token_files
 
@@ -31,8 +37,33 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(documents(spark, sf_dir))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir)).drop("spans")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir)).drop("drop_words")
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(documents(spark, sf_dir)).drop("notices")
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogate_pii(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe_codec, op2_simhash, op3_token_files, op4_exact_dedup)}
+    own = (op1_bpe_codec, op2_simhash, op3_token_files, op4_exact_dedup, op5_merkle, op6_packing, op7_language_id, op8_line_dedup, op9_licence_scan, op10_pii_surrogates)
+    return {f.__name__: f for f in own}
 
 
 OP4_SQL = r"""
@@ -47,5 +78,20 @@ FROM d JOIN g USING (body)
 """
 
 
+OP8_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), k AS (
+  SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), f AS (
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM f)) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE key NOT IN (SELECT key FROM f)), '')) AS kept_sha256
+FROM k GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL}
+    return {"op4_exact_dedup": OP4_SQL, "op8_line_dedup": OP8_SQL}
