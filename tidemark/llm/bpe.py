@@ -71,7 +71,7 @@ class Encoder:
     behind a letter begins a piece of its own. Where words_apart fails every text goes to the library whole.
     """
 
-    def __init__(self, path: str, cap: int = 400_000, strings: bool = False) -> None:
+    def __init__(self, path: str, cap: int = 200_000, strings: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -171,7 +171,7 @@ class ChunkEncoder(Encoder):
     """Encodes and decodes whole texts chunk by chunk."""
 
     def __init__(self, path: str, chunk_cap: int = 12_000, cut_bits: int = CUT_BITS) -> None:
-        super().__init__(path, cap=150_000, strings=True)
+        super().__init__(path, cap=120_000, strings=True)
         self.cache, self.bits = Bounded(chunk_cap), cut_bits
 
     def _parts(self, chunk: bytes):
