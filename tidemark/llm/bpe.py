@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm._common import Bounded, arrow_map, pick
 
-#: A cut where this many high bits of the hash of 8 bytes are zero: chunks of about 2**9 bytes.
-CUT_BITS = 9
+#: A cut where this many high bits of the hash of 8 bytes are zero: chunks of about 2**10 bytes.
+CUT_BITS = 10
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,9 +162,13 @@ class Encoder:
         return [b"".join(islice(found, len(ws))) for ws in split]
 
 
-def _merge(entries) -> tuple[int, str, str]:
-    kept = [e for e in entries if e[0]]
-    return sum(e[0] for e in kept), " ".join(e[1] for e in kept), " ".join(e[2] for e in kept)
+def _merge(entries: list) -> tuple[int, str, str]:
+    if not entries:
+        return 0, "", ""
+    counts, ids, decoded = zip(*entries)
+    if 0 in counts:
+        return _merge([e for e in entries if e[0]])
+    return sum(counts), " ".join(ids), " ".join(decoded)
 
 
 class ChunkEncoder(Encoder):
@@ -228,7 +232,7 @@ class ChunkEncoder(Encoder):
         out = []
         for t, plan, cs in zip(texts, plans, cut):
             if all(agree[p] for p in plan if isinstance(p, int)):
-                done = _merge([(word[joints[p][0]] if joints[p][0] else (0,)) if isinstance(p, int) else p for p in plan])
+                done = _merge([(word[joints[p][0]] if joints[p][0] else (0, "", "")) if isinstance(p, int) else p for p in plan])
             else:
                 done = self.entry(self.ids([t.decode()])[0])
             out.append((*done, len(cs)))
