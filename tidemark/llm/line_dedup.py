@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm._common import partitions, pick
+from tidemark.llm._common import cut, partitions, pick
 
 #: What a key loses at both ends: space, tab, line feed, vertical tab, form feed, carriage return.
 ENDS = " \t\n\x0b\x0c\r"
@@ -23,7 +23,8 @@ SALTS = 32
 
 def line_key(line: Column) -> Column:
     """The line without white space at both ends, A-Z in lower case."""
-    return F.translate(F.trim(line, F.lit(ENDS)), UPPER, LOWER)
+    bare = F.trim(line, F.lit(ENDS))
+    return F.when(F.octet_length(bare) == F.length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
 def _lines(text: Column) -> Column:
@@ -32,12 +33,9 @@ def _lines(text: Column) -> Column:
 
 def _hashes(text: Column, min_chars: int) -> Column:
     """Two independent hashes of each line's key, null where the key is shorter than min_chars."""
-
-    def one(line: Column) -> Column:
-        key = line_key(line)
-        return F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")))
-
-    return F.transform(_lines(text), one)
+    # keys in an array of their own, so that each is made once whatever looks at it
+    keys = F.transform(_lines(text), line_key)
+    return F.transform(keys, lambda key: F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))))
 
 
 def occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
@@ -95,14 +93,12 @@ def _names() -> list[Column]:
 
 
 def _bitmaps(rows: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    occ = occurrences(rows, min_chars)
+    occ = cut(occurrences(rows, min_chars), "lines")  # hashes only; the texts are not read for them again
     return drop_bitmaps(occ, frequent_lines(occ, min_docs, partitions(rows.sparkSession)))
 
 
 def _kept() -> Column:
-    gone = lambda i: F.get(F.col("words"), (i / 64).cast("int")).bitwiseAND(F.expr("1L")) if False else None
-    del gone
-    return F.when(F.col("words").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.expr("array_join(filter(split(coalesce(text, ''), '\\n', -1), (x, i) -> (shiftright(coalesce(get(words, i div 64), 0L), i % 64) & 1L) = 0L), '\\n')"))
+    return F.when(F.col("words").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.expr("array_join(filter(split(coalesce(text, ''), '\\n', -1), (x, i) -> (shiftright(coalesce(get(words, cast(i div 64 as int)), 0L), i % 64) & 1L) = 0L), '\\n')"))
 
 
 def _dropped() -> Column:

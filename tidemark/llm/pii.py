@@ -96,8 +96,7 @@ def surrogates(entities: DataFrame) -> DataFrame:
     # reserved addresses first; if there are ever more entities than these, any
     ip = "concat_ws('.', CASE WHEN attempt < 8 THEN 240 + pmod(" + octet.format(1) + ", 15) ELSE " + octet.format(1) + " END, " + ", ".join(octet.format(i) for i in (3, 5, 7)) + ")"
     digits = f"concat(substr(norm, 1, greatest(0, CASE kind WHEN 'phone' THEN length(norm) - 10 WHEN 'card' THEN 1 ELSE 0 END)), substr({_alike('norm', 'stream')}, 1 + greatest(0, CASE kind WHEN 'phone' THEN length(norm) - 10 WHEN 'card' THEN 1 ELSE 0 END)))"
-    hex_ = "array_join(transform(split(norm, ''), (c, i) -> CASE WHEN c rlike '^[A-F]$|^[0-9]$' AND upper(norm) = norm COLLATE UTF8_BINARY THEN upper(substr(stream, 1 + (i % 256), 1)) ELSE substr(stream, 1 + (i % 256), 1) END), '')"
-    hex_ = hex_.replace(" COLLATE UTF8_BINARY", "")
+    hex_ = "array_join(transform(split(norm, ''), (c, i) -> CASE WHEN upper(norm) = norm THEN upper(substr(stream, 1 + (i % 256), 1)) ELSE substr(stream, 1 + (i % 256), 1) END), '')"
     # more attempts give longer compounds, so names never run out
     first = "array_join(transform(sequence(0, cast(attempt / 2 as int)), j -> " + _draw(f"(CASE gender WHEN 'f' THEN {_by_script(FIRST, 0)} WHEN 'm' THEN {_by_script(FIRST, 1)} ELSE {_by_script(FIRST, 2)} END)", "j") + "), '-')"
     last = "concat(" + _draw(f"({_by_script(LAST, 0)})", "'a'") + ", array_join(transform(sequence(0, attempt), j -> " + _draw(f"({_by_script(LAST, 1)})", "j") + "), ''), " + _draw(f"({_by_script(LAST, 2)})", "'z'") + ")"
@@ -139,9 +138,8 @@ def now_clashes(judged: DataFrame, clash) -> bool:
 def mentions(rows: DataFrame) -> DataFrame:
     """doc, th, pos, hit, kind, norm, valid, script, gender: a row for each entity that a text mentions."""
     found = rows.where(F.col("text").rlike(HINT)).select("doc", "th", F.regexp_extract_all("text", F.lit(f"({ENTITY})"), 1).alias("hits"), F.split("text", ENTITY, -1).alias("rest")).where("size(hits) > 0")
-    each = found.select("doc", "th", F.expr("transform(hits, (h, i) -> struct(i as pos, h as hit, right(rest[i], 24) as before, left(rest[i + 1], 2) as after, coalesce(hits[i + 1], '') as next))").alias("e")) if False else found.select(
-        "doc", "th", F.posexplode(F.expr("transform(hits, (h, i) -> struct(h as hit, right(rest[i], 24) as before, left(rest[i + 1], 2) as after))")).alias("pos", "e")
-    )
+    around = "transform(hits, (h, i) -> struct(h as hit, right(rest[i], 24) as before, left(rest[i + 1], 2) as after))"
+    each = found.select("doc", "th", F.posexplode(F.expr(around)).alias("pos", "e"))
     each = each.select("doc", "th", "pos", "e.*")
     digits = F.expr("regexp_replace(hit, '[^0-9]', '')")
     kind = F.expr(
