@@ -60,11 +60,15 @@ def utf16_length(c: Column | str) -> Column:
     return F.length(_col(c)) + F.length(F.regexp_replace(_col(c), r"[^\x{10000}-\x{10FFFF}]", ""))
 
 
-@F.pandas_udf("string")
-def _composed(s):  # the one thing that Spark has no function for
+def _composed(c: Column) -> Column:
+    """Unicode's composed form, the one thing here that Spark has no function for."""
     import unicodedata
 
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+    @F.pandas_udf("string")
+    def compose(s):
+        return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+
+    return compose(c)
 
 
 def normalise_label(c: Column | str, compose: bool = False) -> Column:

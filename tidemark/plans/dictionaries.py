@@ -204,12 +204,19 @@ def type_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(t.code, t.name, t.family, t.priority) for t in types()], "type_cd string, type_nm string, family string, priority int")
 
 
+_NORMAL: list[tuple[str, str]] = []
+
+
 def synonym_dim(spark: SparkSession) -> DataFrame:
-    """label, item_cd: what labels look up; the labels are normalised by the plan that looks them up."""
+    """label, item_cd: what labels look up, normalised once by the function that lookups use; an inline table of under 200 rows."""
     from tidemark.functions.text import normalise_label
 
-    rows = [(w, i.code) for i in items() for w in i.synonyms]
-    return spark.createDataFrame(rows, "word string, item_cd string").select(normalise_label("word").alias("label"), "item_cd").distinct()
+    if not _NORMAL:
+        rows = [(w, i.code) for i in items() for w in i.synonyms]
+        found = spark.createDataFrame(rows, "word string, item_cd string").select(normalise_label("word").alias("label"), "item_cd").distinct()
+        _NORMAL.extend((r["label"], r["item_cd"]) for r in found.collect())
+    inline = ", ".join(f"('{label}', '{code}')" for label, code in sorted(_NORMAL))
+    return spark.sql(f"SELECT * FROM VALUES {inline} AS t(label, item_cd)")
 
 
 def checked(spark: SparkSession) -> None:
