@@ -38,10 +38,9 @@ def pieces(data: bytes) -> list[bytes]:
     if len(at):
         edges = np.r_[-1, feeds, len(b)]
         short = np.diff(edges)[np.searchsorted(feeds, at)] <= SHORT
-        past = at >= 4
-        i = np.maximum(at, 4)
-        before = (b[i - 4].astype(np.uint32) << 24) | (b[i - 3].astype(np.uint32) << 16) | (b[i - 2].astype(np.uint32) << 8) | b[i - 1]
-        at = at[short | past & ((before * _ODD) >> np.uint32(32 - PIECE_BITS) == 0)]
+        led = np.concatenate([np.zeros(4, np.uint8), b]).astype(np.uint32)  # led[i] to led[i + 3] stand before b[i]
+        before = led[at] << 24 | led[at + 1] << 16 | led[at + 2] << 8 | led[at + 3]
+        at = at[short | ((before * _ODD) >> np.uint32(32 - PIECE_BITS) == 0)]
     cuts = np.union1d(at, feeds) + 1
     cuts = cuts[cuts < len(data)].tolist()
     return [data[i:j] for i, j in zip([0, *cuts], [*cuts, len(data)])] if data else []

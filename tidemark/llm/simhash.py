@@ -115,7 +115,7 @@ def links(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node that each node of edges (a, b) reaches; by large-star and small-star rounds."""
+    """node, root: the smallest node that each node of edges (a, b) reaches, where it is another; by large-star and small-star rounds."""
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:
