@@ -234,25 +234,30 @@ def caption_nearest(spark, d):
 
 # ---- titles and types
 
-PART_TYPES = [NoticeType("STEEL_BIG", "s", "m", 9, (("steel", "large"), ("steel", "jumbo"))), NoticeType("STEEL", "t", "m", 8, (("steel",),)), NoticeType("PLATED", "p", "m", 7, (("plated",),)), NoticeType("SMALL", "u", "m", 5, (("small",), ("economy",)))]
-TYPE_SQL = """CASE WHEN lower(p_type) LIKE '%steel%' AND (lower(p_type) LIKE '%large%' OR lower(p_type) LIKE '%jumbo%') THEN 'STEEL_BIG' WHEN lower(p_type) LIKE '%steel%' THEN 'STEEL' WHEN lower(p_type) LIKE '%plated%' THEN 'PLATED'
-  WHEN lower(p_type) LIKE '%small%' OR lower(p_type) LIKE '%economy%' THEN 'SMALL' END"""
+PART_TYPES = [NoticeType("RING_SMALL", "s", "m", 9, (("small", "ring"), ("large", "gear"))), NoticeType("RING", "t", "m", 8, (("ring",),)), NoticeType("ECO", "p", "m", 7, (("economy",),)), NoticeType("PROMO", "u", "m", 5, (("promo",), ("bolt", "standard")))]
+TITLE_SQL = "lower(replace(p_type || ' ' || p_name, ' ', ''))"
+TYPE_SQL = f"""CASE WHEN ({TITLE_SQL} LIKE '%small%' AND {TITLE_SQL} LIKE '%ring%') OR ({TITLE_SQL} LIKE '%large%' AND {TITLE_SQL} LIKE '%gear%') THEN 'RING_SMALL' WHEN {TITLE_SQL} LIKE '%ring%' THEN 'RING' WHEN {TITLE_SQL} LIKE '%economy%' THEN 'ECO'
+  WHEN {TITLE_SQL} LIKE '%promo%' OR ({TITLE_SQL} LIKE '%bolt%' AND {TITLE_SQL} LIKE '%standard%') THEN 'PROMO' END"""
+
+
+def _titles(spark, d):
+    return read(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("title"))
 
 
 @query(f"SELECT p_partkey, {TYPE_SQL} AS type_cd FROM part")
 def title_classify(spark, d):
-    return read(spark, d, "part").select("p_partkey", classify_title("p_type", PART_TYPES).alias("type_cd"))
+    return _titles(spark, d).select("p_partkey", classify_title("title", PART_TYPES).alias("type_cd"))
 
 
 @query(f"SELECT {TYPE_SQL} AS NOTI_KND_CD, count(*) AS n FROM part GROUP BY 1 HAVING {TYPE_SQL} IS NOT NULL")
 def type_distribution(spark, d):
-    files = read(spark, d, "part").select(classify_title("p_type", PART_TYPES).alias("NOTI_KND_CD"))
+    files = _titles(spark, d).select(classify_title("title", PART_TYPES).alias("NOTI_KND_CD"))
     return views.type_distribution(files, spark.createDataFrame([(t.code,) for t in PART_TYPES], "NOTI_KND_CD string"))
 
 
-@query(f"SELECT lower(replace(p_type, ' ', '')) AS title, count(*) AS n, min(p_type) AS example, count(*) >= 3 AS repeats FROM part WHERE {TYPE_SQL} IS NULL GROUP BY 1")
+@query(f"SELECT {TITLE_SQL} AS title, count(*) AS n, min(p_type || ' ' || p_name) AS example, count(*) >= 3 AS repeats FROM part WHERE {TYPE_SQL} IS NULL GROUP BY 1")
 def unclassified_titles(spark, d):
-    return views.unclassified_titles(read(spark, d, "part").select(classify_title("p_type", PART_TYPES).alias("NOTI_KND_CD"), F.col("p_type").alias("NOTI_TTL")))
+    return views.unclassified_titles(_titles(spark, d).select(classify_title("title", PART_TYPES).alias("NOTI_KND_CD"), F.col("title").alias("NOTI_TTL")))
 
 
 @query("""SELECT * FROM (VALUES ('공유수면 점용ㆍ사용 변경허가 고시', 'OCU_CHG_PRM'), ('공유수면 매립 실시계획 변경 승인', 'RIM_CHG_APV'), ('점용·사용료 감면 고시', 'FEE_RED'), ('공유수면 관리 및 매립에 관한 법률에 따른 허가', 'OCU_PRM'),
