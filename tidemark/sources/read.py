@@ -168,5 +168,7 @@ def captions(raw: DataFrame) -> DataFrame:
 
 def read_json(spark, path: str, schema: str = RAW_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """(rows, bad files) of JSON documents: unknown fields are ignored, a file that is no JSON is told and skipped."""
-    got = spark.read.schema(schema + ", _bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path).withColumn("path", F.input_file_name())
+    text = spark.read.option("wholetext", True).text(path).select("value", F.input_file_name().alias("path"))
+    parsed = F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    got = text.select("path", parsed.alias("j")).select("path", "j.*")
     return got.where("_bad IS NULL").drop("_bad", "path"), got.where("_bad IS NOT NULL").select("path")

@@ -39,12 +39,22 @@ def tagged(files: DataFrame) -> DataFrame:
     return out.withColumn("mislabelled", F.coalesce(F.col("file_extn_nm") != F.col("actl_file_extn_nm"), F.lit(False)))
 
 
-def scan_files(spark: SparkSession, path: str, partition_bytes: int | None = None) -> DataFrame:
+def scan_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, modificationTime, length, content) of the documents below a folder, whatever their names' case.
 
-    Metadata-only plans never read content: the source prunes it.
+    Plans that do not ask for content never read it. Spark's source passes over empty files, which a survey must tell of,
+    so those come from the store's listing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed, empty = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True), []
+    while listed.hasNext():
+        status = listed.next()
+        if status.getLen() == 0:
+            empty.append((status.getPath().toString(), status.getModificationTime()))
+    if empty:
+        rows = spark.createDataFrame(empty, "path string, ms long").select("path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+        files = files.unionByName(rows)
     return files.where(extension("path").isin(*EXTENSIONS))
 
 
