@@ -17,6 +17,7 @@ from tidemark.functions import text as T
 from tidemark.operators import grid, keys, lines, records, survey, warehouse
 from tidemark.operators.classify import classify_title
 from tidemark.plans import dictionaries
+from tidemark.plans.staging import staged
 from tidemark.sources import read as R
 from tidemark.sources.sniff import document_format, extension, scan_files
 
@@ -68,12 +69,12 @@ def map_documents(raw: DataFrame, threshold: int = 5000) -> Mapped:
     spark = raw.sparkSession
     synonyms, fields = dictionaries.synonym_dim(spark), dictionaries.field_dim(spark)
     attributes = [i.code for i in dictionaries.items() if i.scope == "attribute"]
-    paragraphs, cells = R.paragraphs(raw), R.table_cells(raw)
+    paragraphs, cells = staged(R.paragraphs(raw), "paragraphs"), staged(R.table_cells(raw), "cells")
     solid = paragraphs.where(~T.is_blank("text"))
     nth = F.row_number().over(Window.partitionBy("doc").orderBy("pos")) - 1
-    own_lines = solid.select("doc", nth.alias("line_no"), T.trim_control("text").alias("text"))
-    facts = tables(raw, synonyms)
-    body = lines.candidate_lines(own_lines.select("doc", F.col("line_no").alias("pos"), "text"), cells)
+    own_lines = staged(solid.select("doc", nth.alias("line_no"), T.trim_control("text").alias("text")), "lines")
+    facts = staged(grid.interpret(cells, R.table_spans(raw), synonyms), "facts")
+    body = staged(lines.candidate_lines(own_lines.select("doc", F.col("line_no").alias("pos"), "text"), cells), "body")
     titled = facts.where("kind <> 'header_list' AND item_cd = 'NOTI_TTL'").select("doc")
     meta = lines.document_meta(body, titled, lines.title_guesses(cells))
     shape = ["doc", "record", "source", "tbl", "pos", "number", "label", "item_cd", "value"]
@@ -84,16 +85,16 @@ def map_documents(raw: DataFrame, threshold: int = 5000) -> Mapped:
     from_meta = none(put(told, 0), tbl=0, number=0).withColumn("label", F.col("item_cd"))
     from_lines = none(put(lines.pair_facts(lines.label_pairs(own_lines), synonyms), 1), tbl=0)
     from_tables = none(put(facts.where("kind <> 'header_list'"), 2), number=0)
-    base = records.first_writer_wins(from_meta.select(*shape).unionByName(from_lines.select(*shape)).unionByName(from_tables.select(*shape)))
+    base = staged(records.first_writer_wins(from_meta.select(*shape).unionByName(from_lines.select(*shape)).unionByName(from_tables.select(*shape))), "base")
     # rows of lists are records by table and row
     listed = facts.where("kind = 'header_list'")
     order = F.dense_rank().over(Window.partitionBy("doc").orderBy("tbl", "record_row")) - 1
     from_lists = none(put(listed.withColumn("r", order), 0, F.col("r")), number=0)
     blocks = records.disposition_blocks(lines.pair_facts(lines.label_pairs(body), synonyms), attributes).join(listed.select("doc").distinct(), "doc", "left_anti")
     from_blocks = none(put(blocks, 0, F.col("record")), tbl=0)
-    rows = records.first_writer_wins(from_lists.select(*shape).unionByName(from_blocks.select(*shape)))
-    normal = records.normalise_records(records.assemble(base, rows))
-    split = records.number_dispositions(records.split_values(normal, fields), normal)
+    rows = staged(records.first_writer_wins(from_lists.select(*shape).unionByName(from_blocks.select(*shape))), "rows")
+    normal = staged(records.normalise_records(records.assemble(base, rows)), "records")
+    split = staged(records.number_dispositions(records.split_values(normal, fields), normal), "split")
     title = base.where("mapped AND key = 'NOTI_TTL'").select("doc", F.col("value").alias("title"))
     sizes = records.body_chars(paragraphs, cells, R.captions(raw))
     first = normal.where("mapped").withColumn("least", F.min("record").over(Window.partitionBy("doc"))).where("record = least").groupBy("doc").agg(*[F.max(F.when(F.col("key") == c, F.col("value"))).alias(c) for c in ("NOTI_NO", "NOTI_DT", "NOTI_TTL")])
@@ -104,7 +105,7 @@ def map_documents(raw: DataFrame, threshold: int = 5000) -> Mapped:
         "doc", key["noti_sn"].alias("NOTI_SN"), key["atch_sn"].alias("ATCH_SN"), F.col("atch_file_nm").alias("ATCH_FILE_NM"), F.col("atch_file_path").alias("ATCH_FILE_PATH"), T.skip_reason(chars, threshold).alias("EXCL_RSN_CTNT"), F.col("file_extn_nm").alias("FILE_EXTN_NM"),
         F.col("actl_file_extn_nm").alias("ACTL_FILE_EXTN_NM"), T.yes_no("scan_yn").alias("SCAN_YN"), F.col("extc_engn_nm").alias("EXTC_ENGN_NM"), classify_title("title").alias("NOTI_KND_CD"), "NOTI_NO", "NOTI_DT", "NOTI_TTL",
     )
-    return Mapped(attached, normal, split, facts)
+    return Mapped(staged(attached, "files"), normal, split, facts)
 
 
 def load_rows(mapped: Mapped, images: DataFrame, failures: DataFrame) -> dict[str, DataFrame]:

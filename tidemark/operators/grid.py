@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
 from tidemark.operators.lines import label_pairs, with_items
+from tidemark.plans.staging import staged
 
 TABLE = ["doc", "tbl"]
 ROW = ["doc", "tbl", "row"]
@@ -102,9 +103,9 @@ def header_columns(cleaned: DataFrame, heads: DataFrame, synonyms: DataFrame) ->
 
 def list_facts(cells: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Facts of tables with headers: each row below them is a record. Tables that state nothing so are not here."""
-    cleaned = clean_grid(cells)
-    heads = header_rows(cleaned, synonyms)
-    columns = header_columns(cleaned, heads, synonyms).drop("col")
+    cleaned = staged(clean_grid(cells), "cleaned")
+    heads = staged(header_rows(cleaned, synonyms), "heads")
+    columns = staged(header_columns(cleaned, heads, synonyms).drop("col"), "columns")
     body = cleaned.join(heads, TABLE).where("new_row >= header_rows").join(columns, [*TABLE, "new_col"]).withColumn("value", T.flat_value("text"))
     kept = body.where((F.col("value") != "") & (F.col("item_cd").isNotNull() | T.keeps_unknown_label("label", "value")))
     return kept.select(*TABLE, F.lit("header_list").alias("kind"), F.col("row").alias("record_row"), F.lit("column").alias("origin"), "row", "col", "raw_label", "label", "item_cd", "value")
@@ -143,8 +144,8 @@ def interpret(cells: DataFrame, spans: DataFrame, synonyms: DataFrame) -> DataFr
 
     Tables with headers give records; the others pairs of neighbours, then pairs inside cells. pos orders a table's facts.
     """
-    lists = list_facts(cells, synonyms)
-    logical = logical_cells(cells, spans).join(lists.select(*TABLE).distinct(), TABLE, "left_anti")
+    lists = staged(list_facts(cells, synonyms), "lists")
+    logical = staged(logical_cells(cells, spans).join(lists.select(*TABLE).distinct(), TABLE, "left_anti"), "logical")
     every = lists.withColumn("part", F.lit(0)).withColumn("line_no", F.lit(0)).unionByName(pair_cells(logical, synonyms).withColumn("part", F.lit(1)).withColumn("line_no", F.lit(0))).unionByName(in_cell_facts(logical, synonyms).withColumn("part", F.lit(2)))
     order = Window.partitionBy(*TABLE).orderBy("part", "row", "col", "line_no")
     return every.withColumn("pos", F.row_number().over(order)).drop("part", "line_no")

@@ -11,7 +11,9 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
 
-BY_LINE = Window.partitionBy("doc").orderBy("line_no")
+
+def by_line():
+    return Window.partitionBy("doc").orderBy("line_no")
 
 
 def explode_lines(texts: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
@@ -26,7 +28,7 @@ def label_pairs(lines: DataFrame) -> DataFrame:
     A line that begins with a colon is the value of a line before that is no pair itself. A pair without a value takes
     the next line unless that is a pair. Pairs that end without a value are dropped.
     """
-    near = lines.withColumn("before", F.lag("text").over(BY_LINE)).withColumn("after", F.lead("text").over(BY_LINE))
+    near = lines.withColumn("before", F.lag("text").over(by_line())).withColumn("after", F.lead("text").over(by_line()))
     goes_on = F.col("text").rlike("^[:：]") & F.col("before").isNotNull() & ~T.is_label_line("before")
     own = T.trim_control(F.regexp_extract("text", T.LABEL_LINE, 2))
     value = F.when((own == "") & F.col("after").isNotNull() & ~T.is_label_line("after"), T.trim_control("after")).otherwise(own)
@@ -60,7 +62,7 @@ def pair_facts(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
 
 def nearest_captions(lines: DataFrame) -> DataFrame:
     """lines with caption: of two lines before and two after, the first that is a caption (before goes first, the farther one too)."""
-    near = [F.lag("text", 2).over(BY_LINE), F.lag("text", 1).over(BY_LINE), F.lead("text", 1).over(BY_LINE), F.lead("text", 2).over(BY_LINE)]
+    near = [F.lag("text", 2).over(by_line()), F.lag("text", 1).over(by_line()), F.lead("text", 1).over(by_line()), F.lead("text", 2).over(by_line())]
     return lines.withColumn("caption", F.coalesce(*[F.when(T.is_caption(c), T.trim_control(c)) for c in near]))
 
 
@@ -91,7 +93,7 @@ def document_meta(lines: DataFrame, titled: DataFrame, guesses: DataFrame) -> Da
     titled(doc): documents whose tables name a title, for which none is guessed; guesses(doc, title): those that tables
     suggest. Else the line after the number is the title, where it is no pair, date or signer.
     """
-    near = lines.withColumn("before", F.lag("text").over(BY_LINE)).withColumn("after", F.lead("text").over(BY_LINE))
+    near = lines.withColumn("before", F.lag("text").over(by_line())).withColumn("after", F.lead("text").over(by_line()))
     found = near.withColumn("hit", T.notice_number("text", "before"))
     start = F.min(F.when(F.col("hit").isNotNull(), F.col("line_no"))).over(Window.partitionBy("doc"))
     found = found.withColumn("start", start).withColumn("here", F.col("line_no") == F.col("start"))
