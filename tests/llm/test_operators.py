@@ -126,6 +126,29 @@ def test_simhash(docs, empty):
     assert kept.columns == docs.columns and kept.where("doc_id = 104").isEmpty() and kept.where("doc_id IS NULL").count() == 2
 
 
+def test_near_copies(spark):
+    """Texts alike to 0.8 in shingles of five words fall together, others stay, for every pair of a plain comparison."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    texts = []
+    for _ in range(40):
+        base = [rnd.choice(words) for _ in range(rnd.randint(150, 400))]
+        texts.append(base)
+        for edits in (1, 2, 30):
+            t = base[:]
+            for _ in range(edits):
+                t[rnd.randrange(len(t))] = rnd.choice(words)
+            texts.append(t)
+    texts += [["short", "one"], ["short", "two"], []]
+    got = {r.doc_id: r.keep_id for r in simhash.near_copies(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            alike = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            assert got[i] == got[j] if alike >= 0.9 else True
+            assert got[i] != got[j] if alike < 0.5 else True
+
+
 def test_simhash_chains_and_large_buckets(spark, monkeypatch):
     rnd = np.random.default_rng(3)
     base = int(rnd.integers(1 << 62))
@@ -141,7 +164,7 @@ def test_simhash_chains_and_large_buckets(spark, monkeypatch):
     df = spark.createDataFrame([(x,) for x in fps], "fp long")
     got = {r.node: r.root for r in simhash.components(simhash.links(df)).collect()}
     u = np.array(fps, np.int64).view(np.uint64)
-    a, b = simhash.spanning_links(u, None, 4)
+    a, b = simhash.spanning_links(u, 4)
     root = {x: x for x in fps}
     find = lambda x: x if root[x] == x else find(root[x])
     for i, j in zip(a, b):

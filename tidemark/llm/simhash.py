@@ -1,4 +1,4 @@
-"""SimHash near-duplicates by pigeonhole blocks (operator 2).
+"""SimHash near-duplicates by pigeonhole blocks (operator 2), and near copies verified by sketches on top of them.
 
 Rows with equal fingerprints fold into one first. The 64 bits are split into blocks; fingerprints that differ in at
 most max_bits bits agree on at least blocks - max_bits of them, so each fingerprint goes to a bucket for every choice
@@ -74,8 +74,8 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def spanning_links(fps: np.ndarray, side: np.ndarray | None, max_bits: int) -> tuple[list[int], list[int]]:
-    """Links (places in fps) with the closure of all links; with side, only links between its 0 and 1 count, and inside 0 and 1."""
+def spanning_links(fps: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
+    """Links (places in fps) with the closure of all links within max_bits."""
     left = np.arange(1, len(fps))
     a, b, todo = [], [], [0] if len(fps) else []
     while todo or len(left):
@@ -92,26 +92,30 @@ def spanning_links(fps: np.ndarray, side: np.ndarray | None, max_bits: int) -> t
     return a, b
 
 
-def links(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> DataFrame:
-    """a, b: links between different fingerprints (fp of distinct) whose closure is that of all links within max_bits."""
+def bucketed(nodes: DataFrame, max_bits: int, blocks: int, carried: list[str]) -> DataFrame:
+    """choice, key, pair, fp and the carried columns: the buckets that more than one row of nodes(fp, ..) is in."""
     masks = F.array(*[F.lit(_signed(m)) for m in _masks(blocks, blocks - max_bits)])
-    keyed = distinct.select("fp", F.posexplode(masks).alias("choice", "mask")).select(F.col("choice").cast("short"), F.expr("fp & mask").alias("key"), "fp")
+    keyed = nodes.select("fp", *carried, F.posexplode(masks).alias("choice", "mask")).select(F.col("choice").cast("short"), F.expr("fp & mask").alias("key"), "fp", *carried)
     counted = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # only keys that more than one fingerprint has, with slices for those above BUCKET
-    dealt = (
+    # slices for buckets above BUCKET, and tasks for their pairs
+    return (
         keyed.join(counted, ["choice", "key"])
         .withColumn("slices", F.ceil(F.col("n") / BUCKET).cast("int"))
-        .withColumn("slice", F.expr("cast(pmod(xxhash64(fp), slices) as int)"))
+        .withColumn("slice", F.expr(f"cast(pmod(xxhash64({', '.join(['fp', *carried])}), slices) as int)"))
         .withColumn("pair", F.explode(F.expr("transform(sequence(0, slices - 1), s -> least(s, slice) * slices + greatest(s, slice))")))
-        .select("choice", "key", "pair", "fp")
+        .select("choice", "key", "pair", "fp", *carried)
     )
 
+
+def links(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> DataFrame:
+    """a, b: links between different fingerprints (fp of distinct) whose closure is that of all links within max_bits."""
+
     def search(table: pa.Table) -> pa.Table:
         fps = np.unique(table.column("fp").to_numpy())
-        a, b = spanning_links(fps.view(np.uint64), None, max_bits)
+        a, b = spanning_links(fps.view(np.uint64), max_bits)
         return pa.table({"a": fps[a], "b": fps[b]}) if a else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
-    return dealt.groupBy("choice", "key", "pair").applyInArrow(search, "a bigint, b bigint").distinct()
+    return bucketed(distinct.select("fp"), max_bits, blocks, []).groupBy("choice", "key", "pair").applyInArrow(search, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -150,18 +154,76 @@ def simhash_near_dedup(docs: DataFrame, size: int = 4, max_bits: int = 4, blocks
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, size: int = 5, max_bits: int = 4, blocks: int = 7) -> DataFrame:
-    """docs with one row of each component, that with the smallest doc_id (of rows repeated with that doc_id: one).
+#: Values of a sketch, one byte each, and the least part of them that two texts must share: 0.8 less a standard error.
+SKETCH, AGREE = 64, 0.75
+_MULTIPLIERS = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def sketch(text: str, size: int = 5) -> bytes:
+    """MinHash of the shingles of size words: the part of equal bytes tells the Jaccard similarity of two texts."""
+    h = np.unique(shingle_hashes(text, size))
+    if not len(h):
+        return bytes(SKETCH)
+    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(h), STEP // 16):
+        mixed = h[i : i + STEP // 16, None] * _MULTIPLIERS[None, :]
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(0))
+    return ((least * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def verified_links(nodes: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """a, b of nodes(node, fp, sketch): links within max_bits whose sketches agree too; the same closure as all of these."""
+
+    def search(table: pa.Table) -> pa.Table:
+        fps, own = table.column("fp").to_numpy().view(np.uint64), table.column("node").to_numpy()
+        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        left, todo, a, b = np.arange(1, len(fps)), [0], [], []
+        while todo or len(left):
+            if not todo:
+                todo, left = [int(left[0])], left[1:]
+            i = todo.pop()
+            near = np.bitwise_count(fps[left] ^ fps[i]) <= max_bits
+            near[near] = (marks[left[near]] == marks[i]).mean(1) >= AGREE
+            got = left[near].tolist()
+            a, b, todo, left = a + [i] * len(got), b + got, todo + got, left[~near]
+        return pa.table({"a": pa.array(own[a] if a else [], pa.int64()), "b": pa.array(own[b] if b else [], pa.int64())})
+
+    return bucketed(nodes, max_bits, blocks, ["node", "sketch"]).groupBy("choice", "key", "pair").applyInArrow(search, "a bigint, b bigint").distinct()
+
+
+def near_copies(docs: DataFrame, max_bits: int = 8, blocks: int = 11) -> DataFrame:
+    """doc_id, keep_id of the rows of docs: the smallest doc_id of the texts that verified links reach.
+
+    Candidates are fingerprints over two words within max_bits, which hold nearly all texts that are alike to 0.8 in
+    shingles of five words (fingerprints over five words would need far more bits); sketches of those shingles then tell
+    which of them are. Only candidates that share a bucket with another carry a sketch into the second search.
+    """
+
+    def run(parts):
+        for p in parts:
+            fps = np.array([fingerprint(t or "", 2) for t in p["text"]], np.uint64)
+            yield {"doc_id": p["doc_id"], "fp": fps.view(np.int64).tolist(), "sketch": [sketch(t or "") for t in p["text"]]}
+
+    marked = arrow_map(pick(docs, doc_id="bigint", text="string"), run, "doc_id bigint, fp bigint, sketch binary")
+    rows = cut(marked.withColumn("node", F.xxhash64("fp", "sketch")), "sketches")
+    nodes = rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("first"))
+    near = cut(links(nodes.select("fp").distinct(), max_bits, blocks), "near")
+    among = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
+    twins = nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    some = nodes.join(among.union(twins).distinct(), "fp", "left_semi").select("node", "fp", "sketch")
+    reached = components(verified_links(some, max_bits, blocks))
+    rooted = nodes.join(reached, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    keep = rooted.groupBy("root").agg(F.min("first").alias("keep_id"))
+    return rows.select("doc_id", "node").join(rooted.join(keep, "root").select("node", "keep_id"), "node").select("doc_id", "keep_id")
+
+
+def drop_near_copies(docs: DataFrame, max_bits: int = 8, blocks: int = 11) -> DataFrame:
+    """docs with one row of each group of near copies, that with the smallest doc_id (of rows repeated with that doc_id: one).
 
     All columns of docs stay. Rows without a doc_id stay, as nothing can name them.
     """
-    dense = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *pick_columns(docs))
-    found = simhash_near_dedup(docs, size, max_bits, blocks)
-    out = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = dense.join(out, dense.key == out.gone, "left_anti")
+    dense = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("`doc_id`").cast(T.LongType()).alias("key"))
+    gone = near_copies(docs, max_bits, blocks).where("doc_id <> keep_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = dense.join(gone, dense.key == gone.gone, "left_anti").select("row", "key")
     once = kept.where("key is not null").dropDuplicates(["key"]).unionByName(kept.where("key is null"))
     return once.select("row.*")
-
-
-def pick_columns(docs: DataFrame):
-    return [F.col("`doc_id`").cast(T.LongType()).alias("key")]
