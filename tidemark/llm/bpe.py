@@ -14,6 +14,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import sys
+from array import array
 from functools import partial
 from itertools import chain, compress, islice
 from operator import is_
@@ -81,6 +83,8 @@ class Encoder:
         self.strings, self.words = strings, Bounded(cap)
         n = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if n <= 1 << 16 else "<u4"
+        # arrays of the standard library are made faster than numpy's; their bytes are right on little-endian machines
+        self.code = {"<u2": "H", "<u4": "I"}[self.dtype] if sys.byteorder == "little" else None
         self.names = [self.tok.id_to_token(i) or "" for i in range(n)]
         self.plain_join = self.tok.decoder is None
         probe = ["it's", "No.", "x", "don't!", "7up", "ﬁ"]
@@ -93,12 +97,13 @@ class Encoder:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def model_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.tok.model.tokenize("".join([_BYTE_CHARS[b] for b in word.encode()]))]
+        chars = word if word.isascii() else "".join([_BYTE_CHARS[b] for b in word.encode()])
+        return [t.id for t in self.tok.model.tokenize(chars)]
 
     def entry(self, ids: list[int]):
         """What is kept of encoded text: the ids' bytes, or (count, ids as decimals, decoded)."""
         if not self.strings:
-            return np.array(ids, self.dtype).tobytes()
+            return np.array(ids, self.dtype).tobytes() if self.code is None else array(self.code, ids).tobytes()
         return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def decode(self, ids: list[int]) -> str:
@@ -119,7 +124,7 @@ class Encoder:
             stop = w[-1:] if self.stops and self.plain and w[-1:] in (b".", b",") else b""
             stem = w[: len(w) - len(stop)]
             word = stem.decode().lower() if self.plain else ""
-            if not _PLAIN.fullmatch(word):
+            if not (word.isascii() and word.isalpha() or _PLAIN.fullmatch(word)):
                 odd.append(w)
                 continue
             key = word.encode()
