@@ -186,7 +186,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     groups = suspects.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
     bytes_ = suspects.where("body is not null").groupBy("sha").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
     proven = bytes_.select("sha", F.when(F.col("lo") == F.col("hi"), True).otherwise(F.raise_error(F.lit("different texts have one SHA-256"))).alias("same"))
-    groups = groups.join(proven, "sha").where("same").select("sha", "group_size", F.col("best.doc").alias("keep_id"))
+    # cut, so that the join below has a shuffle on both sides and Spark can split a group that most rows are in
+    groups = cut(groups.join(proven, "sha").where("same").select("sha", "group_size", F.col("best.doc").alias("keep_id")), "groups")
     alone = rows.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
     together = suspects.select("doc_id", "sha").join(groups, "sha").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
     return alone.unionByName(together)
