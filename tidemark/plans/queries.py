@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
-from tidemark.operators import geometry, grid, keys, lines, records, render, survey, views, warehouse
+from tidemark.operators import geometry, governance, grid, keys, lines, records, render, sinks, survey, views, warehouse
 from tidemark.operators.classify import classify_title
 from tidemark.plans import dictionaries
 from tidemark.plans.dictionaries import NoticeType
-from tidemark.sources import sniff
+from tidemark.sources import crawl, sniff
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -667,3 +667,50 @@ def event_sessions(spark, d):
     from tidemark.streaming.ingest import event_sessions as sessions
 
     return sessions(read(spark, d, "events")).select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
+
+
+# ---- names, sheets, sinks
+
+
+@query("""SELECT * FROM (VALUES ('INSTT_NM', ''), ('NOTI_XYZ', 'unknown word XYZ,no classifier at the end: XYZ'), ('NOTI_DT', 'domain should be D_DT'), ('ORDER', 'unknown word ORDER,no classifier at the end: ORDER,reserved')) t(name, violations)""")
+def name_governance(spark, d):
+    words = spark.createDataFrame([("INSTT", "agency", None), ("NOTI", "notice", None), ("NM", "name", "D_NM"), ("DT", "date", "D_DT")], "word string, meaning string, domain string")
+    names = spark.createDataFrame([("INSTT_NM", "D_NM"), ("NOTI_XYZ", "D_NM"), ("NOTI_DT", "D_NM"), ("ORDER", "D_NM")], "name string, domain string")
+    return governance.name_violations(names, words).select("name", F.array_join("violations", ",").alias("violations"))
+
+
+def _sheet(spark, d):
+    o = read(spark, d, "orders").join(read(spark, d, "customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    gazette = F.col("o_orderkey") % 7 == 0
+    return o.select(
+        F.col("o_orderkey").alias("seq"), F.when(gazette, "전자관보").otherwise(F.col("c_name")).alias("agency"), F.col("o_orderpriority").alias("title"), F.lit("d").alias("dept"), F.lit("p").alias("person"), F.lit("t").alias("phone"), F.lit("n").alias("notice_no"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyy. M. d.")).alias("posted"), F.concat(F.lit("a"), F.lit("\n \nb ")).alias("attachments"), F.when(gazette, F.concat(F.lit('"'), F.col("c_name"), F.lit('고시" 참조'))).alias("remark"),
+    )
+
+
+@query("SELECT CASE WHEN o_orderkey % 7 = 0 THEN '전자관보_' || c_name ELSE c_name END AS agency, min(CAST(o_orderdate AS DATE)) AS first_dt, max(CAST(o_orderdate AS DATE)) AS last_dt FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+def crawl_sheet_posts(spark, d):
+    return crawl.crawl_period(crawl.crawl_posts(_sheet(spark, d)))
+
+
+@query("SELECT CAST(o_orderkey AS INTEGER) AS NOTI_SN, n AS ATCH_SN, CASE n WHEN 1 THEN 'a' ELSE 'b' END AS ATCH_FILE_NM FROM orders, (SELECT unnest([1, 2]) AS n)")
+def crawl_sheet_attachments(spark, d):
+    return crawl.crawl_attachments(_sheet(spark, d))
+
+
+@query("SELECT (SELECT count(*) FROM lineitem) AS total, count(*) AS failed, CAST(sum(l_linenumber) AS BIGINT) AS checksum FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 50 = 0")
+def failures_report(spark, d):
+    li = read(spark, d, "lineitem")
+    bad = li.where("l_returnflag = 'R' AND l_orderkey % 50 = 0").select(F.col("l_linenumber").cast("string").alias("file_name"), F.lit("extract").alias("stage"), F.lit("OTHER").alias("kind"), F.lit("m").alias("message"))
+    out = sinks.failures_report(bad, li.count())
+    return out.select("total", "failed", F.aggregate("failures", F.lit(0).cast("long"), lambda a, x: a + x["file_name"].cast("long")).alias("checksum"))
+
+
+@query("SELECT s_suppkey, CAST(x AS INTEGER) AS col, CAST(CASE WHEN s_suppkey % 2 = 0 AND x = 0 THEN 2 ELSE 1 END AS INTEGER) AS col_span FROM supplier, (SELECT unnest([0, 1]) AS x) WHERE NOT (s_suppkey % 2 = 0 AND x = 1) UNION ALL SELECT s_suppkey, 0, 1 FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, 1, 1 FROM supplier WHERE s_suppkey % 2 = 0")
+def edge_grid(spark, d):
+    """Boxes of tables as rows and columns: every other table has a wide cell above two."""
+    box = lambda x0, y0, x1, y1: F.struct(F.lit(x0).alias("x0"), F.lit(y0).alias("y0"), F.lit(x1).alias("x1"), F.lit(y1).alias("y1"))
+    two = [box(0, 5, 10, 9), box(10, 5, 20, 9)]
+    boxes = F.when(F.col("s_suppkey") % 2 == 0, F.array(box(0, 0, 20, 5), *two)).otherwise(F.array(*two))
+    cells = read(spark, d, "supplier").select("s_suppkey", F.explode(boxes).alias("b")).select("s_suppkey", "b.*")
+    return geometry.edge_grid(cells, ["s_suppkey"]).select("s_suppkey", F.col("col").cast("int").alias("col"), F.col("col_span").cast("int").alias("col_span"))
