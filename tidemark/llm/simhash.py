@@ -27,6 +27,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 BUCKET = 4096
 #: Shingles whose bits are counted at a time.
 STEP = 65_536
+#: Values of a sketch, one byte each, and the least part of them that two texts must share: 0.8 less a standard error.
+SKETCH, AGREE = 64, 0.75
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -74,8 +76,8 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def spanning_links(fps: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
-    """Links (places in fps) with the closure of all links within max_bits."""
+def spanning_links(fps: np.ndarray, max_bits: int, marks: np.ndarray | None = None) -> tuple[list[int], list[int]]:
+    """Links (places in fps) with the closure of all links within max_bits; with marks, a sketch a row, only where these agree."""
     left = np.arange(1, len(fps))
     a, b, todo = [], [], [0] if len(fps) else []
     while todo or len(left):
@@ -83,6 +85,8 @@ def spanning_links(fps: np.ndarray, max_bits: int) -> tuple[list[int], list[int]
             todo, left = [int(left[0])], left[1:]
         i = todo.pop()
         near = np.bitwise_count(fps[left] ^ fps[i]) <= max_bits
+        if marks is not None and near.any():
+            near[near] = (marks[left[near]] == marks[i]).mean(1) >= AGREE
         got = left[near].tolist()
         if got:
             a += [i] * len(got)
@@ -107,15 +111,66 @@ def bucketed(nodes: DataFrame, max_bits: int, blocks: int, carried: list[str]) -
     )
 
 
-def links(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> DataFrame:
-    """a, b: links between different fingerprints (fp of distinct) whose closure is that of all links within max_bits."""
+def search_buckets(dealt: DataFrame, max_bits: int, name: str = "fp") -> DataFrame:
+    """a, b: links between the names of rows of one bucket, spanning all within max_bits (whose sketches agree, if there are any).
 
-    def search(table: pa.Table) -> pa.Table:
-        fps = np.unique(table.column("fp").to_numpy())
-        a, b = spanning_links(fps.view(np.uint64), max_bits)
-        return pa.table({"a": fps[a], "b": fps[b]}) if a else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    Buckets lie one after another in sorted partitions and are searched as they stream by: those of two rows, nearly all
+    of them, in one step for a whole batch. What is held over to the next batch is one slice of a bucket at most.
+    """
+    sketched = "sketch" in dealt.columns
+    where = ["choice", "key", "pair"]
+
+    def alike(marks, i, j):
+        return (marks[i] == marks[j]).mean(-1) >= AGREE
+
+    def run(batches):
+        rest = None
+        for last, batch in _with_end(batches):
+            table = None if batch is None else pa.Table.from_batches([batch])
+            table = table if rest is None else rest if table is None else pa.concat_tables([rest, table])
+            if table is None or not table.num_rows:
+                continue
+            keys = [table.column(c).to_numpy() for c in where]
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            starts = np.r_[0, new]
+            if not last:  # the last bucket may go on
+                rest, stop = table.slice(starts[-1]), starts[-1]
+                starts = starts[:-1]
+            else:
+                rest, stop = None, table.num_rows
+            if not len(starts):
+                continue
+            fps, names = table.column("fp").to_numpy().view(np.uint64), table.column(name).to_numpy()
+            marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH) if sketched else None
+            sizes = np.diff(np.r_[starts, stop])
+            twos = starts[sizes == 2]
+            near = np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= max_bits
+            twos = twos[near]
+            if sketched:
+                twos = twos[alike(marks, twos, twos + 1)]
+            a, b = [twos], [twos + 1]
+            for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+                i, j = spanning_links(fps[at : at + n], max_bits, marks[at : at + n] if sketched else None)
+                if i:
+                    a.append(np.array(i) + at)
+                    b.append(np.array(j) + at)
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(names[a], pa.int64()), pa.array(names[b], pa.int64())], ["a", "b"])
+
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, *where).sortWithinPartitions(*where).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _with_end(batches):
+    """(False, batch) of each, then (True, None)."""
+    for b in batches:
+        yield False, b
+    yield True, None
 
-    return bucketed(distinct.select("fp"), max_bits, blocks, []).groupBy("choice", "key", "pair").applyInArrow(search, "a bigint, b bigint").distinct()
+
+def links(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> DataFrame:
+    """a, b: links between different fingerprints (fp of distinct) whose closure is that of all links within max_bits."""
+    return search_buckets(bucketed(distinct.select("fp"), max_bits, blocks, []), max_bits)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -154,8 +209,6 @@ def simhash_near_dedup(docs: DataFrame, size: int = 4, max_bits: int = 4, blocks
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Values of a sketch, one byte each, and the least part of them that two texts must share: 0.8 less a standard error.
-SKETCH, AGREE = 64, 0.75
 _MULTIPLIERS = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -174,21 +227,7 @@ def sketch(text: str, size: int = 5) -> bytes:
 def verified_links(nodes: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     """a, b of nodes(node, fp, sketch): links within max_bits whose sketches agree too; the same closure as all of these."""
 
-    def search(table: pa.Table) -> pa.Table:
-        fps, own = table.column("fp").to_numpy().view(np.uint64), table.column("node").to_numpy()
-        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        left, todo, a, b = np.arange(1, len(fps)), [0], [], []
-        while todo or len(left):
-            if not todo:
-                todo, left = [int(left[0])], left[1:]
-            i = todo.pop()
-            near = np.bitwise_count(fps[left] ^ fps[i]) <= max_bits
-            near[near] = (marks[left[near]] == marks[i]).mean(1) >= AGREE
-            got = left[near].tolist()
-            a, b, todo, left = a + [i] * len(got), b + got, todo + got, left[~near]
-        return pa.table({"a": pa.array(own[a] if a else [], pa.int64()), "b": pa.array(own[b] if b else [], pa.int64())})
-
-    return bucketed(nodes, max_bits, blocks, ["node", "sketch"]).groupBy("choice", "key", "pair").applyInArrow(search, "a bigint, b bigint").distinct()
+    return search_buckets(bucketed(nodes, max_bits, blocks, ["node", "sketch"]), max_bits, "node")
 
 
 def near_copies(docs: DataFrame, max_bits: int = 8, blocks: int = 11) -> DataFrame:
