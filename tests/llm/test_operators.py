@@ -161,6 +161,7 @@ def test_simhash_chains_and_large_buckets(spark, monkeypatch):
     far = [int(x) for x in rnd.integers(1 << 62, size=500)]
     fps = sorted({x - (1 << 64) if x >> 63 else x for x in chain + far})
     monkeypatch.setattr(simhash, "BUCKET", 40)
+    monkeypatch.setattr(simhash, "TOLD", 2)
     df = spark.createDataFrame([(x,) for x in fps], "fp long")
     got = {r.node: r.root for r in simhash.components(simhash.links(df)).collect()}
     u = np.array(fps, np.int64).view(np.uint64)

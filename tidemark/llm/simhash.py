@@ -96,16 +96,26 @@ def spanning_links(fps: np.ndarray, max_bits: int, marks: np.ndarray | None = No
     return a, b
 
 
+#: Fingerprints that tell which buckets are large: one of so many. It decides how buckets are dealt, never what is found.
+TOLD = 64
+
+
 def bucketed(nodes: DataFrame, max_bits: int, blocks: int, carried: list[str]) -> DataFrame:
-    """choice, key, pair, fp and the carried columns: the buckets that more than one row of nodes(fp, ..) is in."""
+    """choice, key, pair, fp and the carried columns: each row of nodes(fp, ..) in the bucket of every choice of blocks.
+
+    Large buckets come in slices of about BUCKET rows, a pair for every two of them.
+    """
     masks = F.array(*[F.lit(_signed(m)) for m in _masks(blocks, blocks - max_bits)])
-    keyed = nodes.select("fp", *carried, F.posexplode(masks).alias("choice", "mask")).select(F.col("choice").cast("short"), F.expr("fp & mask").alias("key"), "fp", *carried)
-    counted = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # slices for buckets above BUCKET, and tasks for their pairs
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        each = rows.select("fp", *carried, F.posexplode(masks).alias("choice", "mask"))
+        return each.select(F.col("choice").cast("short"), F.expr("fp & mask").alias("key"), "fp", *carried)
+
+    some = keyed(nodes.where(f"pmod(xxhash64(fp), {TOLD}) = 0")).groupBy("choice", "key").agg((F.count(F.lit(1)) * TOLD).alias("n"))
+    large = cut(some.where(F.col("n") > BUCKET).select("choice", "key", F.ceil(F.col("n") / BUCKET).cast("int").alias("slices")), "large")
+    dealt = keyed(nodes).join(large, ["choice", "key"], "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     return (
-        keyed.join(counted, ["choice", "key"])
-        .withColumn("slices", F.ceil(F.col("n") / BUCKET).cast("int"))
-        .withColumn("slice", F.expr(f"cast(pmod(xxhash64({', '.join(['fp', *carried])}), slices) as int)"))
+        dealt.withColumn("slice", F.expr(f"cast(pmod(xxhash64({', '.join(['fp', *carried])}), slices) as int)"))
         .withColumn("pair", F.explode(F.expr("transform(sequence(0, slices - 1), s -> least(s, slice) * slices + greatest(s, slice))")))
         .select("choice", "key", "pair", "fp", *carried)
     )
