@@ -149,6 +149,43 @@ def test_near_copies(spark):
             assert got[i] != got[j] if alike < 0.5 else True
 
 
+def test_near_copies_at_the_threshold(spark, monkeypatch):
+    """Of candidates, pairs alike to 0.8 itself fall together, and pairs just below (0.796) stay apart."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    data, want = [], {}
+    for shingles, alike in ((180, True), (176, False)):  # four edits far apart change 20 shingles: 160 of 200, 156 of 196
+        while sum(v == alike for v in want.values()) < 40:
+            base = [word() for _ in range(shingles + 4)]
+            other = base[:]
+            for at in (20, 60, 100, 140):
+                other[at] = word()
+            x, y = " ".join(base), " ".join(other)
+            if (simhash.fingerprint(x, 2) ^ simhash.fingerprint(y, 2)).bit_count() <= 8:
+                want[len(data)] = alike
+                data += [(len(data), x), (len(data) + 1, y)]
+    for group in (simhash.GROUP, 1):
+        monkeypatch.setattr(simhash, "GROUP", group)
+        got = {r.doc_id: r.keep_id for r in simhash.near_copies(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+        assert {i: got[i] == got[i + 1] for i in want} == want
+
+
+def test_exact_links_have_the_closure_of_all_pairs():
+    rnd = np.random.default_rng(2)
+    for _ in range(30):
+        pool = rnd.integers(1 << 62, size=60, dtype=np.uint64)
+        sets = [np.unique(rnd.choice(pool, rnd.integers(40, 60), replace=False)) for _ in range(25)] + [np.zeros(0, np.uint64)]
+
+        def roots(pairs):
+            root = list(range(len(sets)))
+            for i, j in pairs:
+                root = [root[i] if x == root[j] else x for x in root]
+            return [root.index(x) for x in root]
+
+        plain = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j])) > 0]
+        assert roots(zip(*simhash.exact_links(sets))) == roots(plain)
+
+
 def test_simhash_chains_and_large_buckets(spark, monkeypatch):
     rnd = np.random.default_rng(3)
     base = int(rnd.integers(1 << 62))

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates by pigeonhole blocks (operator 2), and near copies verified by sketches on top of them.
+"""SimHash near-duplicates by pigeonhole blocks (operator 2), and near copies verified by their shingles on top of them.
 
 Rows with equal fingerprints fold into one first. The 64 bits are split into blocks; fingerprints that differ in at
 most max_bits bits agree on at least blocks - max_bits of them, so each fingerprint goes to a bucket for every choice
@@ -27,8 +27,10 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 BUCKET = 4096
 #: Shingles whose bits are counted at a time.
 STEP = 65_536
-#: Values of a sketch, one byte each, and the least part of them that two texts must share: 0.8 less a standard error.
-SKETCH, AGREE = 64, 0.75
+#: Values of a sketch, one byte each, and the least part of them that two texts must share to be compared by their shingles.
+SKETCH, AGREE = 64, 0.6
+#: The least Jaccard similarity of near copies, and the texts and bytes of shingles that are compared with one another at a time.
+ALIKE, GROUP, GROUP_BYTES = 0.8, 2048, 16_000_000
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -222,9 +224,8 @@ def simhash_near_dedup(docs: DataFrame, size: int = 4, max_bits: int = 4, blocks
 _MULTIPLIERS = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def sketch(text: str, size: int = 5) -> bytes:
-    """MinHash of the shingles of size words: the part of equal bytes tells the Jaccard similarity of two texts."""
-    h = np.unique(shingle_hashes(text, size))
+def sketched(h: np.ndarray) -> bytes:
+    """MinHash of distinct shingle hashes: the part of equal bytes tells about the Jaccard similarity of two texts."""
     if not len(h):
         return bytes(SKETCH)
     least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
@@ -240,27 +241,102 @@ def verified_links(nodes: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     return search_buckets(bucketed(nodes, max_bits, blocks, ["node", "sketch"]), max_bits, "node")
 
 
+def exact_links(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links (places in sets, each of distinct hashes) with the closure of all pairs whose Jaccard similarity is at least ALIKE."""
+    sizes = np.array([len(x) for x in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.r_[0, np.cumsum(sizes)]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    at, of = ids, owner
+    left = np.ones(len(sets), bool)
+    a, b, todo = [], [], []
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        left[first], todo = False, [first]
+        while todo and left.any():
+            i = todo.pop()
+            mark = np.zeros(len(ids) and int(ids.max()) + 1, bool)
+            mark[ids[starts[i] : starts[i + 1]]] = True
+            shared = np.bincount(of[mark[at]], minlength=len(sets))
+            union = sizes + sizes[i] - shared
+            # in whole numbers, so that 0.8 itself counts
+            got = np.flatnonzero(left & (shared * 1000 >= round(ALIKE * 1000) * union)).tolist()
+            a += [i] * len(got)
+            b += got
+            todo += got
+            left[got] = False
+            if 2 * left[of].sum() < len(of):
+                stays = left[of]
+                at, of = at[stays], of[stays]
+    return a, b
+
+
+def alike_links(sets: DataFrame) -> DataFrame:
+    """a, b of sets(root, node, shingles): links between nodes of a root alike to ALIKE or more; the same closure as all of these.
+
+    Roots with many nodes, or long ones, are dealt to tasks by pairs of slices.
+    """
+    sizes = sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    slices = F.expr(f"cast(greatest(ceil(n / {GROUP}), ceil(bytes / {GROUP_BYTES})) as int)")
+    large = cut(sizes.select("root", slices.alias("slices")).where("slices > 1"), "large")
+    dealt = sets.join(large, "root", "left").withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn("slice", F.expr("cast(pmod(xxhash64(node), slices) as int)"))
+    dealt = dealt.withColumn("pair", F.explode(F.expr("transform(sequence(0, slices - 1), s -> least(s, slice) * slices + greatest(s, slice))"))).select("root", "pair", "node", "shingles")
+
+    def found(group):
+        i, j = exact_links([np.frombuffer(x, np.uint64) for _, x in group]) if len(group) > 1 else ([], [])
+        return [(group[x][0], group[y][0]) for x, y in zip(i, j)]
+
+    def run(batches):
+        now, group = None, []
+        for batch in batches:
+            out = []
+            for root, pair, node, shingles in zip(*[c.to_pylist() for c in batch.columns]):
+                if (root, pair) != now:
+                    out += found(group)
+                    now, group = (root, pair), []
+                group.append((node, shingles))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found(group)], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, "root", "pair").sortWithinPartitions("root", "pair").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def near_copies(docs: DataFrame, max_bits: int = 8, blocks: int = 11) -> DataFrame:
     """doc_id, keep_id of the rows of docs: the smallest doc_id of the texts that verified links reach.
 
-    Candidates are fingerprints over two words within max_bits, which hold nearly all texts that are alike to 0.8 in
-    shingles of five words (fingerprints over five words would need far more bits); sketches of those shingles then tell
-    which of them are. Only candidates that share a bucket with another carry a sketch into the second search.
+    Candidates are fingerprints over two words within max_bits (fingerprints over five words would need far more bits);
+    sketches of the shingles of five words that agree loosely then tell families of texts, and in these the shingles
+    themselves tell which texts are alike to ALIKE. Texts of the same shingles are one node from the start. Only
+    candidates that share a bucket with another carry a sketch, only families carry shingles.
     """
+    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")]
 
     def run(parts):
         for p in parts:
             fps = np.array([fingerprint(t or "", 2) for t in p["text"]], np.uint64)
-            yield {"doc_id": p["doc_id"], "fp": fps.view(np.int64).tolist(), "sketch": [sketch(t or "") for t in p["text"]]}
+            sets = [np.unique(shingle_hashes(t or "", 5)) for t in p["text"]]
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64)
+            yield {"doc_id": p["doc_id"], "doc": p["doc"], "th": p["th"], "node": nodes.view(np.int64).tolist(), "fp": fps.view(np.int64).tolist(), "sketch": [sketched(s) for s in sets]}
+
+    def shingled(parts):
+        for p in parts:
+            yield {"root": p["root"], "node": p["node"], "shingles": [np.unique(shingle_hashes(t or "", 5)).tobytes() for t in p["text"]]}
 
-    marked = arrow_map(pick(docs, doc_id="bigint", text="string"), run, "doc_id bigint, fp bigint, sketch binary")
-    rows = cut(marked.withColumn("node", F.xxhash64("fp", "sketch")), "sketches")
-    nodes = rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("first"))
-    near = cut(links(nodes.select("fp").distinct(), max_bits, blocks), "near")
+    texts = pick(docs, doc_id="bigint", text="string").select("doc_id", "text", *key)
+    rows = cut(arrow_map(texts, run, "doc_id bigint, doc string, th bigint, node bigint, fp bigint, sketch binary"), "sketches")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc", "th")).alias("of"))
+    prints = rows.select("node", "fp", "sketch").distinct()
+    near = cut(links(prints.select("fp").distinct(), max_bits, blocks), "near")
     among = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
-    twins = nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
-    some = nodes.join(among.union(twins).distinct(), "fp", "left_semi").select("node", "fp", "sketch")
-    reached = components(verified_links(some, max_bits, blocks))
+    twins = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    some = prints.join(among.union(twins).distinct(), "fp", "left_semi").select("node", "fp", "sketch")
+    family = components(verified_links(some, max_bits, blocks))
+    member = family.union(family.select("root", "root")).distinct()
+    wanted = nodes.join(member, "node").select("root", "node", "of.doc", "of.th")
+    sets = cut(arrow_map(texts.join(wanted, ["doc", "th"]).dropDuplicates(["node"]).select("root", "node", "text"), shingled, "root bigint, node bigint, shingles binary"), "shingles")
+    reached = components(alike_links(sets))
     rooted = nodes.join(reached, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep_id"))
     return rows.select("doc_id", "node").join(rooted.join(keep, "root").select("node", "keep_id"), "node").select("doc_id", "keep_id")
