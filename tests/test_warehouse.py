@@ -105,3 +105,13 @@ def test_incremental_load(spark, tmp_path):
     load(batch, 7)
     load(batch, 7)
     assert ingest.current(spark, table).where("path = 'file:/x'").count() == 1
+
+
+def test_failures_report_has_a_row_for_each_failure(spark):
+    from tidemark.operators import sinks
+
+    bad = spark.range(5000).selectExpr("concat('f', id) AS file_name", "'extract' AS stage", "'OTHER' AS kind", "'m' AS message")
+    got = sinks.failures_report(bad, 7000)
+    assert [tuple(r) for r in got.where("file_name IS NULL").collect()] == [(7000, 5000, None, None, None, None)]
+    assert got.where("file_name IS NOT NULL AND total IS NULL AND failed IS NULL").select("file_name").distinct().count() == 5000
+    assert [tuple(r)[:2] for r in sinks.failures_report(bad.limit(0), 3).collect()] == [(3, 0)]

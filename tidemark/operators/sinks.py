@@ -12,9 +12,14 @@ def write_json(df: DataFrame, folder: str, name: str) -> None:
 
 
 def failures_report(failures: DataFrame, total: int) -> DataFrame:
-    """One row: total, failed, failures (file, stage, kind, message), in the order of files. For reports of one run."""
-    rows = F.array_sort(F.collect_list(F.struct("file_name", "stage", "kind", "message")))
-    return failures.agg(F.lit(total).cast("long").alias("total"), F.count(F.lit(1)).alias("failed"), rows.alias("failures"))
+    """A row for each failure (file_name, stage, kind, message), and one with total and failed, where these are null.
+
+    Failures stay where they are: nothing gathers them in one task, so a report may hold any number of them.
+    """
+    none = F.lit(None).cast("long")
+    each = failures.select(none.alias("total"), none.alias("failed"), "file_name", "stage", "kind", "message")
+    counted = failures.agg(F.count(F.lit(1)).alias("failed")).select(F.lit(total).cast("long").alias("total"), "failed", *[F.lit(None).cast(failures.schema[c].dataType).alias(c) for c in ("file_name", "stage", "kind", "message")])
+    return counted.unionByName(each)
 
 
 def failure_row(stage: str):
