@@ -397,3 +397,13 @@ def test_surrogates_stay_distinct(spark):
     data = [(i, f"Mr. {n} called") for i, n in enumerate(names)]
     texts = [r.text for r in pii.surrogate_pii(spark.createDataFrame(data, "doc_id long, text string")).collect()]
     assert len(set(texts)) == len(names) and not {f"Mr. {n} called" for n in names} & set(texts)
+
+
+def test_surrogate_names_are_nobodys(spark):
+    """Real first names are all that a first attempt can draw, of all genders."""
+    pools = [p.split() for p in pii.FIRST["latin"]]
+    data = [(f"{title} {n} Bermonen left", n) for title, pool in zip(("Mrs.", "Mr.", "Dr."), pools) for n in pool]
+    real = {n for _, n in data} | {"Bermonen"}
+    got = pii.surrogate_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(data)], "doc_id long, text string")).collect()
+    names = [re.fullmatch(r"\S+ (\S+) (\S+) left", r.text).groups() for r in got]
+    assert not real & {n for pair in names for n in pair} and len({a for a, _ in names}) == len(data)

@@ -126,8 +126,10 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     now = cut(surrogates(entities.withColumn("key", F.lit(key)).withColumn("attempt", F.lit(0))), "surrogates")
     while True:
         same = Window.partitionBy("kind", "drawn").orderBy("attempt", "norm")
-        real = now.select(F.col("kind"), F.col("norm").alias("drawn")).distinct().withColumn("taken", F.lit(True))
-        judged = now.withColumn("nth", F.row_number().over(same)).join(real, ["kind", "drawn"], "left")
+        # names in one form: a norm has small letters and, of first names, the gender
+        real = now.select("kind", F.expr("CASE WHEN kind = 'first' THEN substring_index(norm, '/', 1) ELSE norm END").alias("form")).distinct().withColumn("taken", F.lit(True))
+        form = F.expr("CASE WHEN kind IN ('first', 'last') THEN lower(drawn) ELSE drawn END")
+        judged = now.withColumn("nth", F.row_number().over(same)).withColumn("form", form).join(real, ["kind", "form"], "left")
         clash = (F.col("nth") > 1) | F.col("taken").isNotNull()
         if not now_clashes(judged, clash):
             return now.select("kind", "norm", "drawn")
