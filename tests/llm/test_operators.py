@@ -407,3 +407,22 @@ def test_surrogate_names_are_nobodys(spark):
     got = pii.surrogate_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(data)], "doc_id long, text string")).collect()
     names = [re.fullmatch(r"\S+ (\S+) (\S+) left", r.text).groups() for r in got]
     assert not real & {n for pair in names for n in pair} and len({a for a, _ in names}) == len(data)
+
+
+def test_names_go_without_their_title_too(spark):
+    data = [
+        (1, "Mrs. Anna Schmidt came. Later Schmidt said so; Anna Schmidt wrote SCHMIDT's name, Schmidtberg stays. Mail Schmidt@x.com"),
+        (2, "Mr. Juan Carlos Garcia left"),
+        (3, "Dr. J. Smith and Prof. J.R. Meyer met. Smith and Meyer won't"),
+        (4, "Schmidt and Anna are nobody here"),
+        (5, "Mr. Schmidt's house and Schmidt"),
+    ]
+    by = {r.doc_id: r for r in pii.surrogate_pii(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    first, last, mail = re.fullmatch(r"Mrs\. (\w+) (\w+) came\. Later \2 said so; \1 \2 wrote [A-Z]+'s name, Schmidtberg stays\. Mail (\S+)", by[1].text).groups()
+    assert f" {last.upper()}'s" in by[1].text and not {"Anna", "Schmidt"} & {first, last} and "chmidt" not in mail
+    assert by[1].kinds == ["first", "last", "last", "first", "last", "last", "email"]
+    names = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) left", by[2].text).groups()
+    assert not {"Juan", "Carlos", "Garcia"} & set(names) and by[2].kinds == ["first", "first", "last"]
+    a, smith, b, c, meyer = re.fullmatch(r"Dr\. ([A-Z])\. (\w+) and Prof\. ([A-Z])\.([A-Z])\. (\w+) met\. \2 and \5 won't", by[3].text).groups()
+    assert (a, smith, meyer) != ("J", "Smith", "Meyer") and a == b != "J" and c != "R"
+    assert by[4].text == data[3][1] and by[5].text == f"Mr. {last}'s house and {last}"

@@ -2,7 +2,8 @@
 
 Entities are found by one pattern. Each distinct one (its norm: case or separators do not matter where they carry no
 meaning) gets one surrogate for the whole corpus, drawn with a key, so that mentions of the same entity stay mentions
-of the same one. The surrogate has the type, length, letter case, separators and script of what it replaces, names also
+of the same one. A name is detected behind a title; what the same text calls by it elsewhere, without a title, goes
+too. The surrogate has the type, length, letter case, separators and script of what it replaces, names also
 gender and place (first or last); cards keep a valid check digit, addresses go to reserved ranges and domains. A
 check over all entities finds surrogates that two would share, or that are somebody's real data; the later of them draw
 again, until all are distinct. Texts without entities never enter a shuffle of their own: only places and surrogates do.
@@ -38,7 +39,11 @@ SECRET_NAME = "token|secret|api_key|apikey|access_key|password|passwd|pwd"
 #: Only the value goes; what names it stays.
 SECRET = f"(?<=[=:]|[=:][\\s\"']|[=:]\\s[\\s\"']|[=:]\\s\\s[\\s\"']|[=:]\\s\\s\\s[\"'])(?<=(?i:{SECRET_NAME})[\"']?\\s{{0,3}}[=:]\\s{{0,3}}[\"']?)[A-Za-z0-9_+/\\-]{{8,}}"
 HEX = "(?<![0-9A-Za-z])(?=[0-9a-fA-F]{32})(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"
-PERSON = f"(?=[\\p{{Lu}}\\p{{IsHan}}\\p{{IsHangul}}])(?<= )(?:(?<={TITLE}){NAME}|(?<={TITLE}{SHORT_NAME} ){NAME})"
+INITIAL = "\\p{Lu}(?=\\.)"
+#: What of a name may stand between its title and a further part.
+PART = f"(?:{SHORT_NAME} |\\p{{Lu}}\\. ?)"
+PARTS = f"(?:|{PART}|{PART}{PART}|{PART}{PART}{PART})"
+PERSON = f"(?=[\\p{{Lu}}\\p{{IsHan}}\\p{{IsHangul}}])(?<=[ .])(?<={TITLE}{PARTS})(?:{NAME}|{INITIAL})"
 ENTITY = "|".join((SECRET, HEX, IP, SSN, CARD, PHONE, EMAIL, IBAN, PERSON))
 #: Texts with an entity have one of these, told faster than the entities themselves.
 HINT = "[0-9@]"
@@ -96,6 +101,13 @@ def _alike(s: str, stream: str) -> str:
     )
 
 
+def _initial() -> str:
+    """A capital of the same script, not the one that it replaces; there are too few for each to have its own."""
+    letters = "(CASE script WHEN 'cyrillic' THEN 'АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ' WHEN 'greek' THEN 'ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' END)"
+    step = f"cast(pmod(cast(conv(substr(stream, 1, 12), 16, 10) as bigint), length({letters}) - 1) as int)"
+    return f"substr({letters}, 1 + pmod(instr({letters}, upper(norm)) + {step}, length({letters})), 1)"
+
+
 def surrogates(entities: DataFrame) -> DataFrame:
     """kind, norm, hex, valid, script, gender, key, attempt -> the same with drawn: the surrogate of this attempt."""
     octet = "cast(conv(substr(stream, {0}, 2), 16, 10) as int)"
@@ -115,14 +127,14 @@ def surrogates(entities: DataFrame) -> DataFrame:
     )
     checked = f"CASE WHEN kind = 'card' AND valid THEN concat(left(digits, length(digits) - 1), pmod(10 - {_LUHN.format(d='concat(left(digits, length(digits) - 1), chr(48))')}, 10)) ELSE digits END"
     drawn = F.expr(
-        f"CASE kind WHEN 'email' THEN concat({_alike('split_part(norm, chr(64), 1)', 'stream')}, '@', {host}, '.example') WHEN 'ip' THEN {ip} WHEN 'hex' THEN {hex_} WHEN 'first' THEN {first} WHEN 'last' THEN {last}"
+        f"CASE kind WHEN 'email' THEN concat({_alike('split_part(norm, chr(64), 1)', 'stream')}, '@', {host}, '.example') WHEN 'ip' THEN {ip} WHEN 'hex' THEN {hex_} WHEN 'first' THEN {first} WHEN 'last' THEN {last} WHEN 'initial' THEN {_initial()}"
         f" WHEN 'card' THEN {checked} WHEN 'phone' THEN digits WHEN 'ssn' THEN digits ELSE {_alike('norm', 'stream')} END"
     )
     return with_streams.withColumn("drawn", drawn).drop("stream", "hosts", "digits")
 
 
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """kind, norm, drawn: of distinct entities (kind, norm, valid, script, gender), with all of drawn distinct and nobody's."""
+    """kind, norm, drawn: of distinct entities (kind, norm, valid, script, gender), with all of drawn distinct and nobody's, but for initials."""
     now = cut(surrogates(entities.withColumn("key", F.lit(key)).withColumn("attempt", F.lit(0))), "surrogates")
     while True:
         same = Window.partitionBy("kind", "drawn").orderBy("attempt", "norm")
@@ -130,7 +142,7 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
         real = now.select("kind", F.expr("CASE WHEN kind = 'first' THEN substring_index(norm, '/', 1) ELSE norm END").alias("form")).distinct().withColumn("taken", F.lit(True))
         form = F.expr("CASE WHEN kind IN ('first', 'last') THEN lower(drawn) ELSE drawn END")
         judged = now.withColumn("nth", F.row_number().over(same)).withColumn("form", form).join(real, ["kind", "form"], "left")
-        clash = (F.col("nth") > 1) | F.col("taken").isNotNull()
+        clash = ((F.col("nth") > 1) | F.col("taken").isNotNull()) & (F.col("kind") != "initial")
         if not now_clashes(judged, clash):
             return now.select("kind", "norm", "drawn")
         again = surrogates(judged.where(clash).select("kind", "norm", "valid", "script", "gender", "key", (F.col("attempt") + 1).alias("attempt")))
@@ -143,14 +155,39 @@ def now_clashes(judged: DataFrame, clash) -> bool:
     return not judged.where(clash).select("kind").isEmpty()
 
 
+def _pattern(own):
+    """ENTITY, or with it the names that a text has as its own."""
+    return F.when(own.isNull(), F.lit(ENTITY)).otherwise(F.concat(F.lit(ENTITY), own))
+
+
+def _bare(name):
+    return F.regexp_replace(name, "['’]s$", "")
+
+
+def _own_names():
+    """An alternative for the names behind titles in the text, as whole words, the longest first; null where there are none."""
+    titled = F.filter(F.regexp_extract_all("text", F.lit(f"({PERSON})"), 1), lambda n: ~n.rlike("^\\p{Lu}$"))
+    forms = F.array_distinct(F.flatten(F.transform(titled, lambda n: F.array(_bare(n), F.upper(_bare(n))))))
+    longest = F.transform(F.array_sort(F.transform(forms, lambda n: F.struct((-F.length(n)).alias("less"), n.alias("n")))), lambda x: x["n"])
+    listed = F.concat(F.lit("|(?<![\\p{L}\\p{N}_])(?:"), F.array_join(longest, "|"), F.lit(")(?![\\p{L}\\p{N}_])"))
+    return F.when(F.col("text").rlike(HINT_NAMES) & (F.size(titled) > 0), listed)
+
+
 def mentions(rows: DataFrame) -> DataFrame:
-    """doc, th, pos, hit, kind, norm, valid, script, gender: a row for each entity that a text mentions."""
+    """doc, th, own, pos, hit, kind, norm, valid, script, gender: a row for each entity that a text mentions.
+
+    Kind is name where a name of the text stands without a title.
+    """
     text = F.col("text")
     hinted = text.rlike(HINT) | ((F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))) & text.rlike(HINT_SECRET)) | text.rlike(HINT_NAMES)
-    found = rows.where(hinted).select("doc", "th", F.regexp_extract_all("text", F.lit(f"({ENTITY})"), 1).alias("hits"), F.split("text", ENTITY, -1).alias("rest"))
-    around = "transform(hits, (h, i) -> struct(h as hit, right(rest[i], 24) as before, left(rest[i + 1], 2) as after))"
-    each = found.select("doc", "th", F.posexplode(F.expr(around)).alias("pos", "e"))
-    each = each.select("doc", "th", "pos", "e.*")
+    named = rows.where(hinted).select("doc", "th", "text", _own_names().alias("own"))
+    pattern = _pattern(F.col("own"))
+    found = named.select("doc", "th", "own", F.regexp_extract_all("text", F.concat(F.lit("("), pattern, F.lit(")")), 1).alias("hits"), F.split("text", pattern, -1).alias("rest"))
+    # what stands before, with up to three entities in it
+    chain = ", ".join(f"coalesce(right(get(rest, i - {k}), 24), ''), coalesce(get(hits, i - {k}), '')" for k in (3, 2, 1))
+    around = f"transform(hits, (h, i) -> struct(h as hit, right(rest[i], 24) as before, concat({chain}, right(rest[i], 24)) as chain, left(rest[i + 1], 2) as after, coalesce(get(hits, i + 1), '') as following))"
+    each = found.select("doc", "th", "own", F.posexplode(F.expr(around)).alias("pos", "e"))
+    each = each.select("doc", "th", "own", "pos", "e.*")
     digits = F.expr("regexp_replace(hit, '[^0-9]', '')")
     kind = F.expr(
         rf"""CASE WHEN hit LIKE '%@%' THEN 'email'
@@ -160,34 +197,47 @@ def mentions(rows: DataFrame) -> DataFrame:
         WHEN hit rlike r'^[+(]|^[0-9]{{3}}[.\-][0-9]{{3}}[.\-][0-9]{{4}}$' THEN 'phone'
         WHEN hit rlike r'^[0-9 \-]+$' THEN 'card'
         WHEN hit rlike '^[A-Z]{{2}}[0-9]{{2}}' THEN 'iban'
-        WHEN before rlike {_q(TITLE + '$')} AND after = ' ' THEN 'first' ELSE 'last' END"""
+        WHEN NOT chain rlike {_q(f'{TITLE}{PARTS}$')} THEN 'name'
+        WHEN hit rlike r'^\p{{Lu}}$' THEN 'initial'
+        WHEN after = ' ' AND following rlike {_q(f'^(?:{NAME}|[\\p{{Lu}}])$')} THEN 'first' ELSE 'last' END"""
     )
     script = F.expr(r"CASE WHEN hit rlike r'\p{IsCyrillic}' THEN 'cyrillic' WHEN hit rlike r'\p{IsGreek}' THEN 'greek' WHEN hit rlike r'\p{IsHangul}' THEN 'hangul' WHEN hit rlike r'\p{IsHan}' THEN 'han' ELSE 'latin' END")
-    gender = F.expr(f"CASE WHEN kind <> 'first' THEN '' WHEN before rlike {_q(f'(?:{TITLES_F})[.]? $')} THEN 'f' WHEN before rlike {_q(f'(?:{TITLES_M})[.]? $')} THEN 'm' ELSE 'n' END")
-    norm = F.when(F.col("kind").isin("ssn", "phone", "card"), digits).when(F.col("kind") == "iban", F.expr("replace(hit, ' ', '')")).when(F.col("kind").isin("email", "first", "last", "hex"), F.when(F.col("kind") == "hex", F.col("hit")).otherwise(F.lower("hit"))).otherwise(F.col("hit"))
+    gender = F.expr(f"CASE WHEN kind <> 'first' THEN '' WHEN chain rlike {_q(f'(?<![\\p{{L}}])(?:{TITLES_F})[.]? {PARTS}$')} THEN 'f' WHEN chain rlike {_q(f'(?<![\\p{{L}}])(?:{TITLES_M})[.]? {PARTS}$')} THEN 'm' ELSE 'n' END")
+    norm = F.when(F.col("kind").isin("ssn", "phone", "card"), digits).when(F.col("kind") == "iban", F.expr("replace(hit, ' ', '')")).when(F.col("kind").isin("first", "last", "initial", "name"), F.lower(_bare(F.col("hit")))).when(F.col("kind") == "email", F.lower("hit")).otherwise(F.col("hit"))
     each = each.withColumn("kind", kind).withColumn("norm", norm).withColumn("script", script).withColumn("gender", gender)
     valid = F.expr(f"CASE WHEN kind = 'card' THEN {_LUHN.format(d='norm')} = 0 ELSE false END")
     # a first name of another gender is another entity
-    return each.withColumn("valid", valid).withColumn("norm", F.expr("CASE WHEN kind = 'first' THEN concat(norm, '/', gender) ELSE norm END")).drop("before", "after")
+    return each.withColumn("valid", valid).withColumn("norm", F.expr("CASE WHEN kind = 'first' THEN concat(norm, '/', gender) ELSE norm END")).drop("before", "chain", "after", "following")
+
+
+def resolved(found: DataFrame) -> DataFrame:
+    """found with the kind, norm and gender of names without a title: those of the first titled mention in the same text."""
+    same = Window.partitionBy("doc", "th", F.lower(_bare(F.col("hit"))))
+    titled = F.min(F.when(F.col("kind").isin("first", "last"), F.struct("pos", "kind", "norm", "gender"))).over(same)
+    open_ = F.col("kind") == "name"
+    now = found.withColumn("titled", titled)
+    new = {"kind": F.when(open_, F.coalesce("titled.kind", F.lit("last"))).otherwise(F.col("kind")), "norm": F.when(open_, F.coalesce("titled.norm", "norm")).otherwise(F.col("norm")), "gender": F.when(open_, F.coalesce("titled.gender", F.lit(""))).otherwise(F.col("gender"))}
+    return now.select(*[new[c].alias(c) if c in new else c for c in found.columns])
 
 
 #: The surrogate in the form of what it replaces: separators as they stand, capitals where all letters are.
 _RENDER = r"""CASE WHEN kind IN ('ssn', 'phone', 'card', 'iban') THEN array_join(transform(sequence(1, length(hit)), i -> CASE WHEN substr(hit, i, 1) rlike '[0-9A-Za-z]' THEN substr(drawn, length(regexp_replace(substr(hit, 1, i), '[^0-9A-Za-z]', '')), 1) ELSE substr(hit, i, 1) END), '')
+    WHEN kind IN ('first', 'last') THEN concat(CASE WHEN upper(hit) = hit AND lower(hit) <> hit THEN upper(drawn) ELSE drawn END, regexp_extract(hit, r'[\x27’]s$', 0))
     WHEN kind = 'email' AND upper(hit) = hit THEN upper(drawn) ELSE drawn END"""
 
 
 def replacements(rows: DataFrame, key: str) -> DataFrame:
-    """doc, th, put, kinds: the surrogates of a text in order, and their kinds."""
-    found = cut(mentions(rows).dropDuplicates(["doc", "th", "pos"]), "mentions")
+    """doc, th, own, put, kinds: the surrogates of a text in order, and their kinds; own is its names' part of the pattern."""
+    found = cut(resolved(mentions(rows).dropDuplicates(["doc", "th", "pos"])), "mentions")
     entities = found.groupBy("kind", "norm").agg(F.max("valid").alias("valid"), F.min("script").alias("script"), F.min("gender").alias("gender"))
     named = distinct_surrogates(entities, key)
     put = found.join(named, ["kind", "norm"]).withColumn("put", F.expr(_RENDER))
-    listed = put.groupBy("doc", "th").agg(F.array_sort(F.collect_list(F.struct("pos", "put", "kind"))).alias("all"))
-    return listed.select("doc", "th", F.col("all.put").alias("put"), F.col("all.kind").alias("kinds"))
+    listed = put.groupBy("doc", "th").agg(F.max("own").alias("own"), F.array_sort(F.collect_list(F.struct("pos", "put", "kind"))).alias("all"))
+    return listed.select("doc", "th", "own", F.col("all.put").alias("put"), F.col("all.kind").alias("kinds"))
 
 
 def _replaced():
-    pieces = F.split("text", ENTITY, -1)
+    pieces = F.split("text", _pattern(F.col("own")), -1)
     woven = F.concat_ws("", F.flatten(F.zip_with(pieces, F.col("put"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))))
     return F.when(F.col("put").isNull(), F.col("text")).otherwise(woven)
 
@@ -200,7 +250,8 @@ def surrogate_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """One row for each row of docs: doc_id, text (replaced), n_entities, kinds.
 
     Null and empty texts stay as they are, with no entities. Rows that repeat give the same. A null doc_id is like any
-    other. Other columns are ignored; no rows give none. Names are found behind a title only.
+    other. Other columns are ignored; no rows give none. Names are found behind a
+    title, and elsewhere in the same text as whole words.
     """
     rows = pick(docs, doc_id="bigint", text="string").select("doc_id", "text", *_names())
     joined = rows.join(replacements(rows, key), ["doc", "th"], "left")
