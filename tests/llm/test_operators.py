@@ -426,3 +426,15 @@ def test_names_go_without_their_title_too(spark):
     a, smith, b, c, meyer = re.fullmatch(r"Dr\. ([A-Z])\. (\w+) and Prof\. ([A-Z])\.([A-Z])\. (\w+) met\. \2 and \5 won't", by[3].text).groups()
     assert (a, smith, meyer) != ("J", "Smith", "Meyer") and a == b != "J" and c != "R"
     assert by[4].text == data[3][1] and by[5].text == f"Mr. {last}'s house and {last}"
+
+
+def test_packing_pads_least_of_all_boundaries(spark):
+    """A third of the items has 17 tokens; any lengths may be boundaries."""
+    from itertools import combinations
+
+    rnd = random.Random(4)
+    lengths = [17] * 20 + [rnd.randint(0, 30) for _ in range(40)]
+    got = packing.pack_lengths(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long"), 32, 256, 3).collect()
+    pad = lambda bs: sum(min(b for b in bs if b >= x) - x for x in lengths)
+    best = min(pad((*c, max(lengths))) for k in range(3) for c in combinations(range(1, max(lengths)), k))
+    assert sum(r.bucket - r.n_tokens for r in got) == best and len({r.bucket for r in got}) <= 3

@@ -1,7 +1,7 @@
 """Packing into length buckets of least padding (operator 6).
 
 Texts become items of at most max_len tokens (longer ones are cut into several, none is dropped). A histogram of all
-items' lengths, in cells of CELL tokens, goes to the driver; its size is bounded by max_len / CELL whatever the
+items' lengths, in cells of CELL tokens (one: each length by itself), goes to the driver; its size is bounded by max_len / CELL whatever the
 corpus. Dynamic programming over it finds the bucket boundaries with the least padding. Inside a bucket items stand in
 an order by hash, and every run of budget / boundary of them is a batch: its padded size keeps to the token budget.
 
@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from tidemark.llm._common import arrow_map, cut, pick
 from tidemark.llm.bpe import Encoder, default_tokenizer, opened
 
-MAX_LEN, BUDGET, BUCKETS, CELL = 2048, 65_536, 16, 8
+MAX_LEN, BUDGET, BUCKETS, CELL = 2048, 65_536, 16, 1
 #: Items that a chunk of a bucket has about.
 CHUNK = 50_000
 
@@ -50,9 +50,9 @@ def best_boundaries(counts: np.ndarray, sums: np.ndarray, buckets: int, cell: in
     k = min(buckets, len(used))
     # cost[i]: the least padding of the first i used cells with so many buckets
     cost, choice = np.r_[0.0, np.full(len(used), np.inf)], []
+    # the last bucket holds cells i..j - 1 and pads to the top of cell j - 1
+    pad = tops[None, :] * (n[None, 1:] - n[:-1, None]) - (s[None, 1:] - s[:-1, None])
     for _ in range(k):
-        # the last bucket holds cells i..j - 1 and pads to the top of cell j - 1
-        pad = tops[None, :] * (n[None, 1:] - n[:-1, None]) - (s[None, 1:] - s[:-1, None])
         total = np.where(np.tri(len(used), dtype=bool).T, cost[:-1, None] + pad, np.inf)
         choice.append(total.argmin(0))
         cost = np.r_[0.0 if not choice[:-1] else cost[0], total.min(0)]
