@@ -438,3 +438,14 @@ def test_packing_pads_least_of_all_boundaries(spark):
     pad = lambda bs: sum(min(b for b in bs if b >= x) - x for x in lengths)
     best = min(pad((*c, max(lengths))) for k in range(3) for c in combinations(range(1, max(lengths)), k))
     assert sum(r.bucket - r.n_tokens for r in got) == best and len({r.bucket for r in got}) <= 3
+
+
+def test_licences_inside_longer_texts(spark):
+    mit, apache = licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["Apache-2.0"][1]
+    parts = mit.replace("conditions: The above", "conditions:\n\nThe above").replace("Software. THE", "Software.\n\nTHE")
+    header = apache.replace("License. You may obtain", "License.\nYou may obtain").replace("at http", "at\n\n  http").replace("2.0 Unless", "2.0\n\nUnless")
+    prose = "seven lamps over the river and a house "
+    data = [(1, prose * 40 + "\n\n" + parts + "\n\n" + prose * 40), (2, prose + "\n" + header + "\n" + prose * 9), (3, "Licensed under the MIT License. See LICENSE for details."), (4, (prose + "Released under CC0 1.0. ") * 3 + prose), (5, prose * 30 + "rights of the software")]
+    got = {r.doc_id: r for r in licenses.licence_scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {i: (r.n_notices, r.licence, r.dice) for i, r in got.items()} == {1: (1, "MIT", 1.0), 2: (1, "Apache-2.0", 1.0), 3: (1, "MIT", 1.0), 4: (3, "CC0-1.0", 1.0), 5: (0, None, None)}
+    assert (got[1].notices[0].at, got[1].notices[0].words) == (40 * 8, len(licenses.words(mit)))

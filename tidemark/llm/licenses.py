@@ -1,10 +1,12 @@
 """Licence notices by likeness to templates, with DataFrame functions only (operator 9).
 
-A unit is a line, a block of lines without an empty one between, or the whole text. Units and templates become words
-(letters and digits, lower case) and bags of word bigrams; a unit is a notice where the Dice coefficient with a
-template is at least THRESHOLD. Since both bags' sizes are known from the word counts, a template of a bigrams can only
-reach t with a unit of t / (2 - t) * a to (2 - t) / t * a of them: others are pruned. So is a unit with none of the
-template's probes: as many of its bigrams as a unit could lack and still reach t, and one more.
+The whole text and the templates become words (letters and digits, lower case) and bags of word bigrams; a window of
+words, across lines and paragraphs, is a notice where the Dice coefficient with a template is at least THRESHOLD. A
+template of a bigrams can only reach t with t / (2 - t) * a to (2 - t) / t * a of them: no other windows are looked at. Templates
+are pruned for texts with none of their probes: as many of a template's bigrams as a window could lack and still reach t,
+and one more. Windows start and end at bigrams of the template, as all best ones do; each start gives its best end.
+
+Of windows that overlap the one stays that shares most: 2 * shared - t * (both sizes) is greatest.
 
 All of it is one map over the scan, without a shuffle.
 """
@@ -72,43 +74,48 @@ def _template(name: str, text: str, t: float) -> Column:
     # a unit of m bigrams must share t / 2 * (n + m) >= t / 2 * (n + low) of them
     may_lack = n - math.ceil(t / 2 * (n + low) - 1e-9)
     probes = sorted(bag, key=lambda x: (-len(x), x))[: may_lack + 1]
+    need = math.ceil(t / 2 * (n + low) - 1e-9)
     return F.struct(
-        F.lit(name).alias("name"), F.lit(n).alias("n"), F.lit(low).alias("low"), F.lit(high).alias("high"),
+        F.lit(name).alias("name"), F.lit(n).alias("n"), F.lit(need).alias("need"), F.lit(high).alias("high"),
         F.array(*[F.lit(f" {p} ") for p in sorted(set(probes))]).alias("probes"),
-        F.array(*[F.struct(F.lit(b).alias("b"), F.lit(c).alias("c")) for b, c in sorted(Counter(bag).items())]).alias("bag"),
+        F.array(*[F.lit(b) for b in sorted(set(bag))]).alias("bag"),
+        F.array(*[F.lit(Counter(bag)[b]) for b in sorted(set(bag))]).alias("counts"),
     )
 
 
-def _units(text: str) -> str:
-    """SQL: kind, at and text of the units; blocks and the whole text only where they are more than a line."""
-    lines = f"transform(split({text}, '\\n', -1), (x, i) -> struct('line' AS kind, i AS at, x AS unit))"
-    blocks = f"transform(filter(transform(split({text}, r'\\n[ \\t\\r]*\\n', -1), (x, i) -> struct('block' AS kind, i AS at, x AS unit)), x -> contains(x.unit, '\\n')), x -> x)"
-    whole = f"CASE WHEN {text} rlike r'\\n[ \\t\\r]*\\n' THEN array(struct('text' AS kind, 0 AS at, {text} AS unit)) ELSE array() END"
-    return f"concat({lines}, {blocks}, {whole})"
-
-
 def licence_scan(docs: DataFrame, threshold: float = THRESHOLD, templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row for each row of docs: doc_id, n_notices, licence, dice, notices (array of kind, at, licence, dice).
+    """One row for each row of docs: doc_id, n_notices, licence, dice, notices (array of at, words, licence, dice).
 
-    Each unit gives its best template (of equals the first by name); licence and dice are the best unit's (of equals the first).
-    Null and empty texts and those without notices have none: 0, null, null and an empty array. Rows that repeat give
-    the same; a null doc_id is like any other. Other columns are ignored; no rows give none.
+    Notices are windows that do not overlap, in the order of the text, at and words counted in its words; licence and dice are
+    those of the likest notice (of equals the first). Null and empty texts and those without notices have none: 0, null,
+    null and an empty array. Rows that repeat give the same; a null doc_id is like any other. Other columns are ignored; no
+    rows give none.
     """
     rows = pick(docs, doc_id="bigint", text="string")
     table = F.array(*[_template(name, t, threshold) for name, ts in (templates or TEMPLATES).items() for t in ts])
-    low = min(len(words(t)) - 1 for ts in (templates or TEMPLATES).values() for t in ts)
-    least = math.ceil(threshold / (2 - threshold) * low - 1e-9)
-    plain = "trim(regexp_replace(lower(u.unit), '[^\\\\p{L}\\\\p{N}]+', ' '))"
-    normal = rows.select("doc_id", F.expr(f"transform({_units('coalesce(text, chr(0))')}, u -> struct(u.kind, u.at, {plain} AS plain))").alias("units")).withColumn("templates", table)
-    counted = normal.withColumn("units", F.expr("transform(units, u -> struct(u.kind, u.at, u.plain, length(u.plain) - length(replace(u.plain, ' ', '')) AS m))"))
-    # m is the number of bigrams: one less than that of words
-    near = counted.withColumn("units", F.expr(f"filter(units, u -> u.m >= {least} AND exists(templates, t -> u.m BETWEEN t.low AND t.high AND exists(t.probes, p -> contains(concat(' ', u.plain, ' '), p))))"))
-    split = near.withColumn("units", F.expr("transform(units, u -> struct(u.kind, u.at, u.m, transform(sequence(0, u.m - 1), i -> concat_ws(' ', slice(split(u.plain, ' '), i + 1, 2))) AS bag))"))
-    shared = "aggregate(t.bag, 0, (a, x) -> a + least(x.c, size(filter(u.bag, y -> y = x.b))))"
-    scored = split.withColumn(
-        "units",
-        F.expr(f"transform(units, u -> struct(u.kind, u.at, array_sort(transform(filter(templates, t -> u.m BETWEEN t.low AND t.high), t -> struct(-2D * {shared} / (u.m + t.n) AS less, t.name AS licence)))[0] AS best))"),
+    plain = "trim(regexp_replace(lower(coalesce(text, '')), '[^\\\\p{L}\\\\p{N}]+', ' '))"
+    normal = rows.select("doc_id", F.expr(plain).alias("plain")).withColumn("padded", F.expr("concat(' ', plain, ' ')")).withColumn("templates", table)
+    near = normal.select("doc_id", "plain", F.expr("filter(templates, t -> exists(t.probes, p -> contains(padded, p)))").alias("templates"))
+    ws = near.withColumn("ws", F.expr("CASE WHEN size(templates) > 0 THEN split(plain, ' ') ELSE array() END"))
+    pairs = ws.select("doc_id", "templates", F.expr("CASE WHEN size(ws) > 1 THEN zip_with(slice(ws, 1, size(ws) - 1), slice(ws, 2, size(ws) - 1), (a, b) -> concat(a, ' ', b)) ELSE array() END").alias("bs"))
+    # i: places of the template's bigrams; c: how many of this one the template has
+    placed = "filter(transform(bs, (b, i) -> struct(i AS i, b AS b, array_position(t.bag, b) AS k)), x -> x.k > 0)"
+    hits = pairs.select("doc_id", F.expr(f"transform(templates, t -> struct(t.name, t.n, t.need, t.high, transform({placed}, x -> struct(x.i, x.b, element_at(t.counts, cast(x.k AS int)) AS c)) AS hits))").alias("found"))
+    # q: the place of the c-th same bigram before; a window that holds it cannot count this one too
+    same = "filter(slice(f.hits, greatest(1, j + 1 - f.high), least(j, f.high)), y -> y.b = x.b AND y.i < x.i)"
+    spent = hits.select("doc_id", F.expr(f"transform(found, f -> struct(f.name, f.n, f.need, f.high, transform(f.hits, (x, j) -> struct(x.i, coalesce(get(transform({same}, y -> y.i), size({same}) - x.c), -1) AS q)) AS hits))").alias("found"))
+    best = (
+        "aggregate(slice(f.hits, j + 1, f.high), named_struct('cnt', 0, 'shared', 0, 'm', 0, 'dice', 0D), (s, y) -> CASE WHEN y.i - x.i + 1 > f.high THEN s ELSE"
+        " CASE WHEN 2D * (s.cnt + int(y.q < x.i)) / (y.i - x.i + 1 + f.n) > s.dice"
+        " THEN named_struct('cnt', s.cnt + int(y.q < x.i), 'shared', s.cnt + int(y.q < x.i), 'm', y.i - x.i + 1, 'dice', 2D * (s.cnt + int(y.q < x.i)) / (y.i - x.i + 1 + f.n))"
+        " ELSE named_struct('cnt', s.cnt + int(y.q < x.i), 'shared', s.shared, 'm', s.m, 'dice', s.dice) END END)"
     )
-    notices = scored.select("doc_id", F.expr(f"transform(filter(units, u -> -u.best.less >= {threshold}D - 1e-12D), u -> struct(u.kind, u.at, u.best.licence AS licence, -u.best.less AS dice))").alias("notices"))
+    reach = "get(f.hits, j + f.need - 1).i - x.i + 1 <= f.high"
+    each = f"flatten(transform(found, f -> transform(filter(transform(f.hits, (x, j) -> struct(x.i AS at, f.name AS licence, f.n AS n, CASE WHEN {reach} THEN {best} END AS w)), z -> z.w.dice >= {threshold}D - 1e-12D), z -> struct({threshold}D * (z.n + z.w.m) - 2D * z.w.shared AS less, z.at, z.licence, z.w.m + 1 AS words, z.w.dice AS dice))))"
+    windows = spent.select("doc_id", F.expr(f"array_sort({each})").alias("windows"))
+    kind = "array<struct<less:double,at:int,licence:string,words:int,dice:double>>"
+    kept = f"aggregate(windows, cast(array() AS {kind}), (kept, w) -> CASE WHEN exists(kept, k -> w.at < k.at + k.words AND k.at < w.at + w.words) THEN kept ELSE concat(kept, array(w)) END)"
+    apart = windows.select("doc_id", F.expr(kept).alias("kept"))
+    notices = apart.select("doc_id", F.expr("array_sort(transform(kept, k -> struct(k.at, k.words, k.licence, k.dice)))").alias("notices"))
     first = notices.withColumn("top", F.when(F.size("notices") > 0, F.expr("notices[array_sort(transform(notices, (n, i) -> struct(-n.dice AS less, i AS i)))[0].i]")))
     return first.select("doc_id", F.size("notices").cast("long").alias("n_notices"), F.col("top.licence").alias("licence"), F.col("top.dice").alias("dice"), "notices")
