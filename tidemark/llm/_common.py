@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,12 +20,33 @@ def pick(df: DataFrame, **want: str) -> DataFrame:
 
     A column that is absent comes as null, so that a caller needs no special case for it.
     """
-    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    out = []
-    for name, kind in want.items():
-        at = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        out.append((F.col(f"_c{at[0]}") if at else F.lit(None)).cast(kind).alias(name))
-    return plain.select(*out)
+    return _placed(df).select(*_wanted(df, want))
+
+
+def place(columns: list[str], name: str) -> int | None:
+    """Where the column is: the first of exactly this name, else the first that differs in case only."""
+    at = [i for i, c in enumerate(columns) if c == name] or [i for i, c in enumerate(columns) if c.lower() == name.lower()]
+    return at[0] if at else None
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
+def _wanted(df: DataFrame, want: dict[str, str]) -> list:
+    found = {name: place(df.columns, name) for name in want}
+    return [(F.lit(None) if found[name] is None else F.col(f"_c{found[name]}")).cast(kind).alias(name) for name, kind in want.items()]
+
+
+def carried(df: DataFrame, **want: str) -> DataFrame:
+    """row, a struct of all columns by place, beside the wanted ones as pick() gives them: names may clash in any way."""
+    return _placed(df).select(F.struct(*[f"_c{i}" for i in range(len(df.columns))]).alias("row"), *_wanted(df, want))
+
+
+def restored(df: DataFrame, columns: list[str], **new) -> DataFrame:
+    """The columns that carried() put into row, under their own names, those that pick() would find for new replaced by it."""
+    own = {place(columns, name): value for name, value in new.items()}
+    return df.select(*[(own[i] if i in own else F.col(f"row._c{i}")).alias(c) for i, c in enumerate(columns)])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +56,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder's URI in the storage that driver and executors share (spark.checkpoint.dir).
 
-    Only where the setting is absent, as in tests on one machine, a temporary folder is set.
+    Only where the setting is absent on one machine, as in tests, a temporary folder is set; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"

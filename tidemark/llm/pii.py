@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm._common import cut, pick, remove
+from tidemark.llm._common import carried, cut, pick, remove, restored
 
 #: A deployment sets its own; with the key nobody can tell from a surrogate which entity it stands for.
 DEFAULT_KEY = "tidemark"
@@ -260,9 +260,6 @@ def surrogate_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 
 def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """docs with personal data in text replaced and n_chars set anew there; all rows and columns stay."""
-    cols = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").cast("string").alias("text"))
-    rows = rows.select("row", "text", *_names())
+    rows = carried(docs, doc_id="bigint", text="string", n_chars="bigint").select("row", "text", "n_chars", *_names())
     joined = rows.join(replacements(rows, key), ["doc", "th"], "left").withColumn("new_text", _replaced())
-    new = {"text": F.col("new_text"), "n_chars": F.when(F.col("put").isNull(), F.col("row.n_chars")).otherwise(F.length("new_text").cast("long"))}
-    return joined.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in cols])
+    return restored(joined, docs.columns, text=F.col("new_text"), n_chars=F.when(F.col("put").isNull(), F.col("n_chars")).otherwise(F.length("new_text").cast("long")))
