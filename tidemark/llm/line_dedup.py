@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm._common import cut, partitions, pick
+from tidemark.llm._common import carried, cut, partitions, pick, restored
 
 #: What a key loses at both ends: space, tab, line feed, vertical tab, form feed, carriage return.
 ENDS = " \t\n\x0b\x0c\r"
@@ -53,14 +53,15 @@ def first_occurrences(occ: DataFrame, parts: int) -> DataFrame:
 
 
 def frequent_lines(occ: DataFrame, min_docs: int, parts: int) -> DataFrame:
-    """h1, h2 of the lines found in at least min_docs documents."""
+    """h1, h2, salt of the lines found in at least min_docs documents, a row for each salt that has some of them."""
     parts_of = first_occurrences(occ, parts).groupBy("h1", "h2", "salt").agg(F.sum("new_doc").alias("docs"))
-    return parts_of.groupBy("h1", "h2").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("h1", "h2")
+    whole = parts_of.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.collect_list("salt").alias("salts"))  # SALTS at most
+    return whole.where(F.col("docs") >= min_docs).select("h1", "h2", F.explode("salts").alias("salt"))
 
 
 def drop_bitmaps(occ: DataFrame, frequent: DataFrame) -> DataFrame:
     """doc, th, words: bit pos % 64 of words[pos / 64] is 1 where that line goes; rows without such lines are absent."""
-    bits = occ.join(frequent, ["h1", "h2"], "left_semi").groupBy("doc", "th", F.expr("pos div 64").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pos % 64 as int)))").alias("bits"))
+    bits = occ.join(frequent, ["h1", "h2", "salt"], "left_semi").groupBy("doc", "th", F.expr("pos div 64").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pos % 64 as int)))").alias("bits"))
     sparse = bits.groupBy("doc", "th").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
     dense = F.expr("transform(sequence(0, array_max(map_keys(m))), w -> coalesce(try_element_at(m, w), 0L))")
     return sparse.select("doc", "th", dense.alias("words"))
@@ -107,9 +108,6 @@ def _dropped() -> Column:
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """docs with the frequent lines gone from text and n_chars set anew where lines went; all rows and columns stay."""
-    cols = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").cast("string").alias("text"))
-    rows = rows.select("row", "text", *_names())
+    rows = carried(docs, doc_id="bigint", text="string", n_chars="bigint").select("row", "text", "n_chars", *_names())
     joined = rows.join(_bitmaps(rows, min_docs, min_chars), ["doc", "th"], "left").withColumn("kept", F.when(F.col("words").isNull(), F.col("text")).otherwise(_kept()))
-    new = {"text": F.col("kept"), "n_chars": F.when(F.col("words").isNull(), F.col("row.n_chars")).otherwise(F.length("kept").cast("long"))} if "n_chars" in cols else {"text": F.col("kept")}
-    return joined.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in cols])
+    return restored(joined, docs.columns, text=F.col("kept"), n_chars=F.when(F.col("words").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long")))
