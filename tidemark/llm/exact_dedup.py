@@ -1,7 +1,7 @@
 """Exact duplicates by an exchange of Golomb-coded fingerprints (operator 4).
 
 1. Each task of the scan hashes its normalised texts to 64 bits, sorts the distinct hashes, splits them by owner (the high
-   bits) and sends each owner a Golomb-Rice coded message with a bitmap of those that the task itself holds twice.
+   bits; there are as many owners as the rows ask for) and sends each owner a Golomb-Rice coded message with a bitmap of those that the task itself holds twice.
 2. An owner decodes the messages and answers each with a bitmap of the hashes that occur more than once.
 3. The scan runs again: rows whose hash is a suspect bring their normalised text along (once for each text and task)
    for comparison byte by byte under their SHA-256; all others are alone. A row whose hash its task never sent counts as a suspect, so
@@ -29,44 +29,43 @@ from pyspark.sql import functions as F
 from tidemark.llm._common import arrow_map, cut, partitions, pick, scratch
 
 BLANKS = b" \t\n\v\f\r"
+#: Hashes that an owner judges, at most about; there are as many owners as that takes.
+OWNED = 2_000_000
 #: Bytes of texts that a task of step 3 remembers to compare with later copies.
 SEEN_BYTES = 32_000_000
 
 
 def golomb_encode(values: np.ndarray, k: int) -> bytes:
-    """Ascending unsigned integers as Golomb-Rice coded gaps: quotient in unary, then k low bits."""
+    """Ascending unsigned integers as Golomb-Rice coded gaps: all quotients in unary, then, from a new byte on, k low bits each."""
     gaps = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
-    quotient = (gaps >> np.uint64(k)).astype(np.int64)
-    ends = np.cumsum(quotient + 1 + k)
-    bits = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    ones = np.repeat(ends - k - 1 - quotient, quotient) + (np.arange(int(quotient.sum())) - np.repeat(np.cumsum(quotient) - quotient, quotient))
-    bits[ones] = 1
-    for i in range(k):
-        bits[ends - k + i] = (gaps >> np.uint64(k - 1 - i)).astype(np.uint8) & 1
-    return np.packbits(bits).tobytes()
+    ends = np.cumsum((gaps >> np.uint64(k)).astype(np.int64) + 1)
+    unary = np.ones(int(ends[-1]) if len(ends) else 0, np.uint8)
+    unary[ends - 1] = 0
+    low = (gaps[:, None] >> np.arange(k - 1, -1, -1, dtype=np.uint64)) & np.uint64(1)
+    return np.packbits(unary).tobytes() + np.packbits(low.astype(np.uint8).ravel()).tobytes()
 
 
 def golomb_decode(data: bytes, n: int, k: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
     bits = np.unpackbits(np.frombuffer(data, np.uint8))
-    zeros = np.flatnonzero(bits == 0)
-    gaps = np.zeros(n, np.uint64)
-    at, z = 0, 0
-    stops = np.zeros(n, np.int64)
-    zero_list = zeros.tolist()
-    quotients = np.zeros(n, np.int64)
-    for i in range(n):
-        while zero_list[z] < at:
-            z += 1
-        stop = zero_list[z]
-        quotients[i] = stop - at
-        stops[i] = stop
-        at = stop + 1 + k
-    gaps = quotients.astype(np.uint64) << np.uint64(k)
-    for i in range(k):
-        gaps |= bits[stops + 1 + i].astype(np.uint64) << np.uint64(k - 1 - i)
+    stops = np.flatnonzero(bits == 0)[:n]
+    gaps = (np.diff(stops, prepend=-1) - 1).astype(np.uint64) << np.uint64(k)
+    if k:
+        first = -(-(int(stops[-1]) + 1) // 8) * 8
+        low = bits[first : first + n * k].reshape(n, k).astype(np.uint64)
+        gaps |= (low << np.arange(k - 1, -1, -1, dtype=np.uint64)).sum(1, dtype=np.uint64)
     return np.cumsum(gaps, dtype=np.uint64)
 
 
+def among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which values the ascending ones hold."""
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(ascending, values)
+    return ascending[np.minimum(at, len(ascending) - 1)] == values
+
+
 def rice_parameter(n: int, span: int) -> int:
     """About log2 of the mean gap."""
     return max(0, (span // max(n, 1)).bit_length() - 1)
@@ -104,7 +103,7 @@ def answers(sent: DataFrame) -> DataFrame:
         lists = [golomb_decode(r["hashes"], r["n"], r["k"]) for r in rows]
         every, counts = np.unique(np.concatenate(lists), return_counts=True)
         shared = every[counts > 1]
-        maps = [np.packbits(np.isin(x, shared, assume_unique=True) | np.unpackbits(np.frombuffer(r["twice"], np.uint8))[: r["n"]].astype(bool)) for x, r in zip(lists, rows)]
+        maps = [np.packbits(among(x, shared) | np.unpackbits(np.frombuffer(r["twice"], np.uint8))[: r["n"]].astype(bool)) for x, r in zip(lists, rows)]
         return pa.table({c: table.column(c) for c in ("sender", "owner", "n", "k", "hashes")} | {"bitmap": pa.array([zlib.compress(m.tobytes()) for m in maps], pa.binary())}).cast(SCHEMA)
 
     return sent.groupBy("owner").applyInArrow(run, "sender int, owner int, n int, k int, hashes binary, bitmap binary")
@@ -151,7 +150,7 @@ def judged(docs: DataFrame, folder: str) -> DataFrame:
                     bad, sent = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
             texts = [normalise(t) for t in p["text"]]
             h = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
-            suspect = (np.isin(h, bad) | ~np.isin(h, sent)).tolist()
+            suspect = (among(h, bad) | ~among(h, sent)).tolist()
             shas, bodies = [hashlib.sha256(t).hexdigest() for t in texts], []
             for t, s, sha in zip(texts, suspect, shas):
                 if not s or seen.get(sha) == t:
@@ -175,7 +174,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = pick(docs, doc_id="bigint", text="string")
-    owner_bits = min(16, max(0, (partitions(spark) - 1).bit_length()))
+    owner_bits = (partitions(spark, docs.count(), OWNED) - 1).bit_length()
     folder = scratch(spark, "answers")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root)
