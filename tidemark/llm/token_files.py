@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm._common import arrow_map, partitions, pick, scratch
 from tidemark.llm.bpe import Encoder, default_tokenizer, opened
 
-#: Stands for a null doc_id in the files; such rows come first.
+#: Stands for a null doc_id in the files; such rows come first, and the manifest has their number.
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -29,26 +29,36 @@ def doc_bounds(docs: DataFrame, parts: int) -> list[int]:
     """At most parts - 1 ascending doc_ids that split the rows about evenly, from a scan of that column only."""
     if parts < 2:
         return []
-    got = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0]
+    got = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).first()[0]
     return sorted(set(got or []))
 
 
 def encode_ids(docs: DataFrame, bounds: list[int], tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, shard, ids as bytes with the end id."""
+    """doc_id, shard, ids as bytes with the end id; rows without a doc_id are in the first shard."""
 
     def run(parts):
         enc, cuts = opened(Encoder, tokenizer), np.array(bounds, np.int64)
         end = np.array([end_id], enc.dtype).tobytes()
         for p in parts:
             ids = [b + end for b in enc.encode_bytes([(t or "").encode() for t in p["text"]])]
-            keys = [NO_ID if d is None else d for d in p["doc_id"]]
-            yield {"doc_id": keys, "shard": np.searchsorted(cuts, np.array(keys, np.int64)).tolist(), "ids": ids}
+            keys = np.array([NO_ID if d is None else d for d in p["doc_id"]], np.int64)
+            yield {"doc_id": p["doc_id"], "shard": np.searchsorted(cuts, keys).tolist(), "ids": ids}
 
     return arrow_map(docs, run, "doc_id bigint, shard int, ids binary")
 
 
+def settle(store, tmp: str, name: str) -> None:
+    """Renames tmp; where an earlier attempt of the task has put the same file there, and the store won't replace it, that one stays."""
+    try:
+        store.move(tmp, name)
+    except OSError:
+        if store.get_file_info(name).type != fs.FileType.File:
+            raise
+        store.delete_file(tmp)
+
+
 def write_shards(encoded: DataFrame, parts: int, folder: str, width: int) -> DataFrame:
-    """Writes the shards; a row for each: shard, n_docs, n_tokens."""
+    """Writes the shards; a row for each: shard, n_docs, n_null (rows without a doc_id, its first ones), n_tokens."""
 
     def run(batches):
         store, root = fs.FileSystem.from_uri(folder)
@@ -58,12 +68,14 @@ def write_shards(encoded: DataFrame, parts: int, folder: str, width: int) -> Dat
         def close():
             for f in files:
                 f.close()
-            for kind, data in (("doc", docs), ("off", ends)):
+            ids = np.array([NO_ID if d is None else d for d in docs], "<i8")
+            for kind, data in (("doc", ids), ("off", np.array(ends, "<i8"))):
                 with store.open_output_stream(f"{tmp}.{kind}") as out:
-                    out.write(np.array(data, "<i8").tobytes())
+                    out.write(data.tobytes())
             for kind in ("bin", "doc", "off"):
-                store.move(f"{tmp}.{kind}", f"{root}/{now:06d}.{kind}")
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(docs)], pa.int64()), pa.array([total], pa.int64())], ["shard", "n_docs", "n_tokens"])
+                settle(store, f"{tmp}.{kind}", f"{root}/{now:06d}.{kind}")
+            row = (now, len(docs), docs.count(None), total)
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["shard", "n_docs", "n_null", "n_tokens"])
 
         for b in batches:
             for doc, shard, ids in zip(b.column(0), b.column(1), b.column(2)):
@@ -81,18 +93,36 @@ def write_shards(encoded: DataFrame, parts: int, folder: str, width: int) -> Dat
         if files:
             yield close()
 
-    ordered = encoded.repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "ids")
-    return ordered.mapInArrow(run, "shard int, n_docs bigint, n_tokens bigint")
+    # shard i is partition i: no task has two of them while another has none
+    ordered = encoded.repartitionById(parts, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids")
+    return ordered.mapInArrow(run, "shard int, n_docs bigint, n_null bigint, n_tokens bigint")
 
 
-def open_array(folder: str, name: str, dtype: str) -> np.ndarray:
-    """A file of integers, memory-mapped where the store is a local folder."""
-    store, root = fs.FileSystem.from_uri(folder)
-    if isinstance(store, fs.LocalFileSystem):
-        path = f"{root}/{name}"
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    with store.open_input_file(f"{root}/{name}") as f:
-        return np.frombuffer(f.read(), dtype)
+class Numbers:
+    """A file of integers: memory-mapped where the store is a local folder, else read where it is asked for."""
+
+    def __init__(self, folder: str, name: str, dtype: str) -> None:
+        store, root = fs.FileSystem.from_uri(folder)
+        path, self.dtype, self.mapped = f"{root}/{name}", np.dtype(dtype), None
+        if isinstance(store, fs.LocalFileSystem):
+            self.n = os.path.getsize(path) // self.dtype.itemsize
+            self.mapped = np.memmap(path, dtype, "r") if self.n else np.zeros(0, dtype)
+        else:
+            self.file = store.open_input_file(path)
+            self.n = self.file.size() // self.dtype.itemsize
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at: slice) -> np.ndarray:
+        if self.mapped is not None:
+            return self.mapped[at]
+        lo, hi, _ = at.indices(self.n)
+        return np.frombuffer(self.file.read_at(max(0, hi - lo) * self.dtype.itemsize, lo * self.dtype.itemsize), self.dtype)
+
+
+#: Documents that are read from a shard's files at a time.
+READ = 5_000
 
 
 def read_shards(spark: SparkSession, manifest: list[dict], folder: str, dtype: str) -> DataFrame:
@@ -100,21 +130,20 @@ def read_shards(spark: SparkSession, manifest: list[dict], folder: str, dtype: s
 
     def run(parts):
         for p in parts:
-            for shard, base in zip(p["shard"], p["base"]):
-                name = f"{shard:06d}"
-                ids, ends, docs = open_array(folder, f"{name}.bin", dtype), open_array(folder, f"{name}.off", "<i8"), open_array(folder, f"{name}.doc", "<i8")
-                for i in range(0, len(docs), 5_000):
-                    e = ends[i : i + 5_001].tolist()
-                    own = docs[i : i + 5_000].tolist()
-                    yield {"doc_id": [None if d == NO_ID else d for d in own], "start": [base + x for x in e[:-1]], "n_tokens": [y - x for x, y in zip(e, e[1:])], "ids_crc32": [zlib.crc32(ids[x:y].astype("<u4").tobytes()) for x, y in zip(e, e[1:])]}
-
-    rows = [(m["shard"], m["base"]) for m in manifest]
-    shards = spark.createDataFrame(rows, "shard int, base bigint").repartition(max(1, len(rows)), "shard")
+            for shard, base, nulls in zip(p["shard"], p["base"], p["n_null"]):
+                ids, ends, docs = (Numbers(folder, f"{shard:06d}.{kind}", t) for kind, t in (("bin", dtype), ("off", "<i8"), ("doc", "<i8")))
+                for i in range(0, len(docs), READ):
+                    e = ends[i : i + READ + 1].tolist()
+                    own = [None if i + j < nulls else d for j, d in enumerate(docs[i : i + READ].tolist())]
+                    yield {"doc_id": own, "start": [base + x for x in e[:-1]], "n_tokens": [y - x for x, y in zip(e, e[1:])], "ids_crc32": [zlib.crc32(ids[x:y].astype("<u4").tobytes()) for x, y in zip(e, e[1:])]}
+
+    rows = [(m["shard"], m["base"], m["n_null"]) for m in manifest]
+    shards = spark.createDataFrame(rows, "shard int, base bigint, n_null bigint").repartition(max(1, len(rows)), "shard")
     return arrow_map(shards, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, folder: str | None = None) -> tuple[str, list[dict], str]:
-    """Encodes docs and writes the files; gives the folder, the manifest (shard, n_docs, n_tokens, base) and the ids' type."""
+    """Encodes docs and writes the files; gives the folder, the manifest (shard, n_docs, n_null, n_tokens, base) and the ids' type."""
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
     docs = pick(docs, doc_id="bigint", text="string")
     folder = folder or scratch(spark, "tokens")
