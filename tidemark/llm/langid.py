@@ -16,13 +16,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import arrow_map, pick
+from tidemark.llm._common import arrow_map, pick, place
 
 #: Labelled rows that the model is fitted on, for each language, about; chosen by a hash of doc_id.
 SAMPLE = 1_500
+#: Languages that are learned, those with the most labelled rows; bounds the model that goes to driver and workers.
+LANGUAGES = 64
+#: Below this score a text's language counts as not told. Held-out texts of one language score far higher.
+LEAST_SCORE = 0.2
 #: Log-probability that a change of language costs.
 PENALTY = 12.0
 #: Trigrams are hashed to so many cells.
@@ -80,10 +84,10 @@ class Model:
 
 
 def sample_rate(labelled: DataFrame, size: int) -> DataFrame:
-    """labelled with only about size rows of each language, by a hash of doc_id."""
+    """labelled with only about size rows of each of the LANGUAGES most frequent languages, by a hash of doc_id."""
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     unit = F.expr("pmod(xxhash64(doc_id), 1000003) / 1000003D")
-    rates = {r["lang"]: size / r["n"] for r in counts.collect()}  # a row for each language
+    rates = {r["lang"]: size / r["n"] for r in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     rate = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(float(x))) for lang, x in rates.items()], F.lit(0.0))
     return labelled.where(unit < rate)
 
@@ -105,7 +109,7 @@ def fit(labelled: DataFrame, size: int = SAMPLE) -> Model:
             yield {"lang": [lang] * len(SCRIPTS), "cell": [-1 - i for i in range(len(SCRIPTS))], "n": letters[lang].tolist()}
 
     counts = arrow_map(sample_rate(labelled, size), count, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    table = counts.toArrow()  # at most CELLS rows for each language
+    table = counts.toArrow()  # at most CELLS rows for each of LANGUAGES
     langs = sorted(set(table.column("lang").to_pylist()))
     at = np.array([langs.index(x) for x in table.column("lang").to_pylist()], np.int64)
     cell, n = table.column("cell").to_numpy().astype(np.int64), table.column("n").to_numpy()
@@ -170,15 +174,25 @@ def label(text: str, model: Model, penalty: float = PENALTY) -> tuple[str, float
     return model.langs[own[best]], float(letters[best] / letters.sum() * min(1.0, sure)), spans
 
 
+def sent(spark: SparkSession, model: Model):
+    """Gives a function that a worker calls for the model: a broadcast of at most LANGUAGES x CELLS x 2 bytes."""
+    packed = (json.dumps(model.langs), model.weights.astype(np.float16).tobytes(), model.allowed.tobytes())
+    shared = spark.sparkContext.broadcast(packed)
+
+    def received() -> Model:
+        langs, weights, allowed = shared.value
+        langs = json.loads(langs)
+        return Model(langs, np.frombuffer(weights, np.float16).reshape(CELLS, len(langs)).astype(np.float32), np.frombuffer(allowed, bool).reshape(len(SCRIPTS), len(langs)))
+
+    return received
+
+
 def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
     """doc_id, lang_pred, score, n_spans, spans of each row of docs."""
-    packed = (json.dumps(model.langs), model.weights.astype(np.float16).tobytes(), model.allowed.tobytes())
-    sent = docs.sparkSession.sparkContext.broadcast(packed)  # CELLS x languages x 2 bytes
+    received = sent(docs.sparkSession, model)
 
     def run(parts):
-        langs, weights, allowed = sent.value
-        langs = json.loads(langs)
-        own = Model(langs, np.frombuffer(weights, np.float16).reshape(CELLS, len(langs)).astype(np.float32), np.frombuffer(allowed, bool).reshape(len(SCRIPTS), len(langs)))
+        own = received()
         for p in parts:
             done = [label(t or "", own, penalty) for t in p["text"]]
             yield {"doc_id": p["doc_id"], "lang_pred": [d[0] for d in done], "score": [d[1] for d in done], "n_spans": [len(d[2]) for d in done], "spans": [[{"first": a, "words": n, "lang": x} for a, n, x in d[2]] for d in done]}
@@ -204,23 +218,20 @@ def language_id(docs: DataFrame, size: int = SAMPLE, penalty: float = PENALTY) -
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_spans", "spans")
 
 
-def keep_languages(docs: DataFrame, least_score: float = 0.0, size: int = SAMPLE, penalty: float = PENALTY) -> DataFrame:
+def keep_languages(docs: DataFrame, least_score: float = LEAST_SCORE, size: int = SAMPLE, penalty: float = PENALTY) -> DataFrame:
     """docs without the rows whose language is und or has a score under least_score; all columns stay."""
     rows = pick(docs, doc_id="bigint", text="string", lang="string")
     labelled = rows.where("doc_id is not null and lang is not null and text is not null").where(~held_out())
-    model = fit(labelled, size)
-    packed = (json.dumps(model.langs), model.weights.astype(np.float16).tobytes(), model.allowed.tobytes())
-    sent = docs.sparkSession.sparkContext.broadcast(packed)
-    at = docs.columns.index("text")
+    received = sent(docs.sparkSession, fit(labelled, size))
+    at = place(docs.columns, "text")
 
     def run(batches):
-        langs, weights, allowed = sent.value
-        langs = json.loads(langs)
-        own = Model(langs, np.frombuffer(weights, np.float16).reshape(CELLS, len(langs)).astype(np.float32), np.frombuffer(allowed, bool).reshape(len(SCRIPTS), len(langs)))
+        own = received()
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
                 done = [label(t or "", own, penalty) for t in part.column(at).cast(pa.string()).to_pylist()]
-                yield part.filter(pa.array([x != "und" and s >= least_score for x, s, _ in done]))
+                yield part.filter(pa.array([x != "und" and s >= least_score for x, s, _ in done], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
