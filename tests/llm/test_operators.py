@@ -1,9 +1,11 @@
 """The corpus operators on a small table with every awkward row, each held against a plain version."""
 
+import base64
 import hashlib
 import random
 import re
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -100,6 +102,12 @@ def test_token_files(docs, empty, tok):
     assert token_files.token_files(empty).count() == 0
 
 
+def test_token_files_with_the_least_doc_id(spark):
+    data = [(None, "no id"), (-(1 << 63), "the least id"), (None, ""), (3, "three")]
+    got = sorted(token_files.token_files(spark.createDataFrame(data, "doc_id long, text string")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, -(1 << 63), 3]
+
+
 def plain_fingerprint(text, k=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     shingles = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or ([" ".join(words)] if words else [])
@@ -134,38 +142,39 @@ def test_near_copies(spark):
     for _ in range(40):
         base = [rnd.choice(words) for _ in range(rnd.randint(150, 400))]
         texts.append(base)
-        for edits in (1, 2, 30):
+        for edits in (1, 2, 3, 5, 30):
             t = base[:]
             for _ in range(edits):
                 t[rnd.randrange(len(t))] = rnd.choice(words)
             texts.append(t)
     texts += [["short", "one"], ["short", "two"], []]
-    got = {r.doc_id: r.keep_id for r in simhash.near_copies(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
     sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            alike = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
-            assert got[i] == got[j] if alike >= 0.9 else True
-            assert got[i] != got[j] if alike < 0.5 else True
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root = [root[j] if x == root[i] else x for x in root]
+    got = {r.doc_id: r.keep_id for r in simhash.near_copies(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got == {i: root.index(x) for i, x in enumerate(root)}
 
 
 def test_near_copies_at_the_threshold(spark, monkeypatch):
-    """Of candidates, pairs alike to 0.8 itself fall together, and pairs just below (0.796) stay apart."""
+    """Pairs alike to 0.8 itself fall together, whatever their fingerprints; pairs just below (0.796) stay apart."""
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
     data, want = [], {}
     for shingles, alike in ((180, True), (176, False)):  # four edits far apart change 20 shingles: 160 of 200, 156 of 196
-        while sum(v == alike for v in want.values()) < 40:
+        for _ in range(100):
             base = [word() for _ in range(shingles + 4)]
             other = base[:]
             for at in (20, 60, 100, 140):
                 other[at] = word()
-            x, y = " ".join(base), " ".join(other)
-            if (simhash.fingerprint(x, 2) ^ simhash.fingerprint(y, 2)).bit_count() <= 8:
-                want[len(data)] = alike
-                data += [(len(data), x), (len(data) + 1, y)]
-    for group in (simhash.GROUP, 1):
-        monkeypatch.setattr(simhash, "GROUP", group)
+            want[len(data)] = alike
+            data += [(len(data), " ".join(base)), (len(data) + 1, " ".join(other))]
+    for small in (False, True):
+        if small:
+            monkeypatch.setattr(simhash, "GROUP", 1)
+            monkeypatch.setattr(simhash, "BUCKET", 1)
         got = {r.doc_id: r.keep_id for r in simhash.near_copies(spark.createDataFrame(data, "doc_id long, text string")).collect()}
         assert {i: got[i] == got[i + 1] for i in want} == want
 
@@ -202,10 +211,9 @@ def test_simhash_chains_and_large_buckets(spark, monkeypatch):
     df = spark.createDataFrame([(x,) for x in fps], "fp long")
     got = {r.node: r.root for r in simhash.components(simhash.links(df)).collect()}
     u = np.array(fps, np.int64).view(np.uint64)
-    a, b = simhash.spanning_links(u, 4)
     root = {x: x for x in fps}
     find = lambda x: x if root[x] == x else find(root[x])
-    for i, j in zip(a, b):
+    for i, j in zip(*np.nonzero(np.bitwise_count(u[:, None] ^ u[None, :]) <= 4)):
         x, y = find(fps[i]), find(fps[j])
         root[max(x, y)] = min(x, y)
     assert {x: got.get(x, x) for x in fps} == {x: find(x) for x in fps}
@@ -238,6 +246,47 @@ def test_golomb():
         assert (exact_dedup.golomb_decode(exact_dedup.golomb_encode(values, k), len(values), k) == values).all()
 
 
+def plain_tree(text):
+    """The fingerprint by a walk over the text's words, without arrays."""
+    data, h, code = text.encode(), xxhash.xxh3_128_digest, lambda d: base64.urlsafe_b64encode(d[:6]).decode()
+    paragraphs = []
+    for line in re.findall(rb"[^\n]*\n|[^\n]+", data):
+        n, at, leaves = len(line), data.index(line) if len(paragraphs) == 0 else paragraphs[-1][2], []
+        end = at + n
+        bits, start = (1 if n <= 256 else 3), at
+        for i in range(at, end):
+            led = int.from_bytes((b"\0\0\0\0" + data)[i : i + 4], "big")
+            if i + 1 == end or data[i] == 32 and (led * 2654435761 & 0xFFFFFFFF) >> (32 - bits) == 0:
+                leaves.append(h(data[start : i + 1]))
+                start = i + 1
+        paragraphs.append((h(b"P" + b"".join(leaves)), leaves, end, n))
+    sections, now = [], []
+    for p in paragraphs:
+        now.append(p)
+        if p[0][0] < 64:
+            sections.append(now)
+            now = []
+    sections += [now] if now else []
+    root = h(b"R" + b"".join(h(b"S" + b"".join(p[0] for p in s)) for s in sections))
+    shown = lambda p: code(p[0]) + ("" if len(p[1]) == 1 or len(paragraphs) >= 32 and p[3] <= 256 else "".join(map(code, p[1])))
+    return root.hex() + ":" + "/".join(",".join(map(shown, s)) for s in sections)
+
+
+def plain_leaves(fp):
+    return [p[i : i + 8] for s in fp[33:].split("/") for p in s.split(",") for i in (range(8, len(p), 8) if len(p) > 8 else [0])] if fp[33:] else []
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    last = [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for j, y in enumerate(b):
+            now.append(last[j] + 1 if x == y else max(last[j + 1], now[-1]))
+        last = now
+    return last[-1]
+
+
 def test_merkle(docs, empty, spark):
     got = merkle.fingerprint_edits(docs)
     assert got.count() == len(rows()) and merkle.fingerprint_edits(empty).count() == 0
@@ -247,52 +296,87 @@ def test_merkle(docs, empty, spark):
     ids = sorted(texts, reverse=True)
     by = {r.doc_id: r for r in merkle.fingerprint_edits(some).collect()}
     for a, b in zip(ids, ids[1:] + ids[:1]):
-        new = merkle.edited(texts[a], texts[b])
-        fa, fb, fe = (merkle.fingerprint(t) for t in (texts[a], texts[b], new))
+        k = len(texts[a]) // 3
+        new = texts[a][: len(texts[a]) - k] + texts[b][:k]
+        fa, fb, fe = map(plain_tree, (texts[a], texts[b], new))
         assert (by[a].edited_sha256, by[a].n_chars, by[a].fingerprint, by[a].edited_fingerprint) == (hashlib.sha256(new.encode()).hexdigest(), len(texts[a]), fa, fe)
-        assert by[a].near_edited == merkle.likeness(fa, fe) and by[a].near_next == merkle.likeness(fa, fb)
+        for near, x, y, same_text in ((by[a].near_edited, fa, fe, texts[a] == new), (by[a].near_next, fa, fb, texts[a] == texts[b])):
+            u, v = plain_leaves(x), plain_leaves(y)
+            most = 2 * common(u, v) / (len(u) + len(v)) if len(u) + len(v) < 2000 and u + v else 1.0
+            assert (near == 1.0) == same_text and 0 <= near <= most + 1e-9
+        assert bool(by[a].edits) == (texts[a] != new)
+        u, v = plain_leaves(fa), plain_leaves(fe)
+        assert len(u) - sum(e.gone for e in by[a].edits) == len(v) - sum(e.come for e in by[a].edits)
     alone = merkle.fingerprint_edits(some.where("doc_id = 1")).collect()
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def test_merkle_over_many_ranges(spark, monkeypatch):
+    """Every range gets the row behind its last, also with repeated and null doc_ids."""
+    monkeypatch.setattr(merkle, "partitions", lambda spark, rows, per: 7)
+    texts = {i * 3: f"text of {i} " * (i % 9 + 1) for i in range(200)}
+    data = [*texts.items(), (None, "without an id")]
+    got = {r.doc_id: r for r in merkle.fingerprint_edits(spark.createDataFrame(data, "doc_id long, text string").repartition(5)).collect()}
+    order = sorted(texts, reverse=True)
+    for a, b in zip([*order, None], [*order[1:], None, order[0]]):
+        x, y = dict(data)[a], dict(data)[b]
+        k = len(x) // 3
+        assert got[a].edited_sha256 == hashlib.sha256((x[: len(x) - k] + y[:k]).encode()).hexdigest()
+
+
 def test_merkle_tells_where():
-    text = "\n".join(f"paragraph {i} has some words of its own number {i * 7}" for i in range(40))
-    other = text.replace("number 70", "number seventy")
-    a, b = merkle.fingerprint(text), merkle.fingerprint(other)
-    assert merkle.likeness(a, a) == 1.0 and 0.9 < merkle.likeness(a, b) < 1.0
-    assert 1 <= len(merkle.differing(a, b)) <= 3
+    lines = [f"paragraph {i} has some words of its own number {i * 7}" for i in range(40)]
+    fp = lambda ls: merkle.fingerprint("\n".join(ls) + "\n")
+    at = lambda n: (lambda ns: [(s, k) for s, x in enumerate(ns) for k in range(len(x))][n])([x.split(",") for x in fp(lines)[33:].split("/")])
+    changed = lines[:10] + ["paragraph 10 is another one"] + lines[11:]
+    assert [(e[:2], e[3:]) for e in merkle.compared(fp(lines), fp(changed))[1]] == [(at(10), (1, 1))]
+    moved = lines[:5] + lines[6:30] + [lines[5]] + lines[30:]
+    assert [(e[:2], e[3:]) for e in merkle.compared(fp(lines), fp(moved))[1]] == [(at(5), (1, 0)), (at(30), (0, 1))]
+    twice = lines[:20] + [lines[19]] + lines[20:]
+    assert [e[3:] for e in merkle.compared(fp(lines), fp(twice))[1]] == [(0, 1)] and [e[3:] for e in merkle.compared(fp(twice), fp(lines))[1]] == [(1, 0)]
+    assert merkle.likeness(fp(lines), fp(lines)) == 1.0 and 0.9 < merkle.likeness(fp(lines), fp(changed)) < 1.0
+    assert merkle.likeness(fp(lines), fp(lines[::-1])) < 0.2
+    text = " ".join(lines)
+    assert merkle.compared(merkle.fingerprint(text), merkle.fingerprint(text.replace("number 70", "number seventy")))[1][0][3] <= 2
     assert b"".join(merkle.pieces(text.encode())) == text.encode()
-    assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("")) == 1.0 and merkle.likeness(merkle.fingerprint(""), a) == 0.0
+    assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("")) == 1.0 and merkle.likeness(merkle.fingerprint(""), fp(lines)) == 0.0
+    rnd = random.Random(2)
+    words = lambda: " ".join(str(rnd.randrange(10**12)) for _ in range(20_000))
+    assert merkle.likeness(merkle.fingerprint(words()), merkle.fingerprint(words())) == 0.0
 
 
-def test_packing(docs, empty):
+def test_packing(docs, empty, tok):
     got = packing.pack(docs, max_len=64, budget=256, buckets=5).collect()
-    enc = bpe.Encoder(bpe.default_tokenizer())
-    total = sum(len(b) // 2 for b in enc.encode_bytes([(r[1] or "").encode() for r in rows()]))
-    assert sum(r.n_tokens for r in got) == total and all(r.n_tokens <= r.bucket <= 64 for r in got)
+    want = sorted((r[0] is not None, r[0] or 0, i, tuple(ids[i : i + 64])) for r in rows() for ids in [tok.encode(r[1] or "", add_special_tokens=False).ids] for i in range(0, max(1, len(ids)), 64))
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.first, tuple(np.frombuffer(r.ids, "<u2").tolist())) for r in got) == want
+    lengths = [len(w[3]) for w in want]
+    tops = sorted({r.bucket for r in got})
+    assert all(len(r.ids) == 2 * r.n_tokens and r.padding == r.bucket - r.n_tokens and r.bucket == min(t for t in tops if t >= r.n_tokens) for r in got)
+    pad = lambda bs: sum(min(b for b in bs if b >= x) - x for x in lengths)
+    assert sum(r.padding for r in got) == min(pad((*c, max(lengths))) for k in range(4) for c in combinations(sorted(set(lengths) - {0, max(lengths)}), k)) or len(tops) == 5
     batches = {}
     for r in got:
         batches.setdefault(r.batch_id, []).append(r)
     for b in batches.values():
         assert len({r.bucket for r in b}) == 1 and len(b) * b[0].bucket <= 256 and sorted(r.slot for r in b) == list(range(len(b)))
     assert sorted(batches) == list(range(len(batches)))
+    full = [b for b in batches.values() if len(b) == 256 // b[0].bucket]
+    assert len(batches) - len(full) <= len(tops)
     assert packing.pack(empty).count() == 0
 
 
 def test_boundaries_are_best():
     rnd = np.random.default_rng(1)
-    for _ in range(20):
-        counts = rnd.integers(0, 9, 8)
-        lengths = np.concatenate([rnd.integers(i * 4 + 1, i * 4 + 5, n) for i, n in enumerate(counts)] or [[]]).astype(int)
+    for _ in range(40):
+        counts = rnd.integers(0, 9, 14) * rnd.integers(0, 2, 14)
+        lengths = np.repeat(np.arange(14), counts)
         if not len(lengths):
+            assert packing.best_boundaries(counts, 3) == []
             continue
-        sums = np.array([lengths[(lengths > i * 4) & (lengths <= i * 4 + 4)].sum() for i in range(8)])
-        from itertools import combinations
-
-        tops = [(i + 1) * 4 for i in range(8) if counts[i]]
         pad = lambda bs: sum(min(b for b in bs if b >= x) - x for x in lengths)
-        best = min(pad(c + (tops[-1],)) for k in range(3) for c in combinations(tops[:-1], min(k, len(tops) - 1)))
-        found = packing.best_boundaries(counts, sums, 3, 4)
+        top = max(1, int(lengths.max()))
+        best = min(pad((*c, top)) for k in range(3) for c in combinations(range(1, top), k))
+        found = packing.best_boundaries(counts, 3)
         assert len(found) <= 3 and pad(found) == best
 
 
@@ -306,6 +390,8 @@ def test_language(docs, empty, spark):
     assert langid.language_id(empty).count() == 0
     nothing = langid.language_id(spark.createDataFrame([(1, "words here", None)], "doc_id long, text string, lang string")).first()
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
+    letters = {r[0] for r in rows() if r[0] not in (100, 101, 102, 103)}
+    assert not letters <= {r.doc_id for r in langid.keep_languages(docs, least_score=0.9).collect()}
     kept = langid.keep_languages(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows()} - {100, 101, 102, 103}
 
@@ -430,14 +516,12 @@ def test_names_go_without_their_title_too(spark):
 
 def test_packing_pads_least_of_all_boundaries(spark):
     """A third of the items has 17 tokens; any lengths may be boundaries."""
-    from itertools import combinations
-
     rnd = random.Random(4)
     lengths = [17] * 20 + [rnd.randint(0, 30) for _ in range(40)]
-    got = packing.pack_lengths(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long"), 32, 256, 3).collect()
+    got = packing.pack_lengths(spark.createDataFrame([(i, n, bytes(2 * n)) for i, n in enumerate(lengths)], "doc_id long, n_tokens long, ids binary"), 32, 256, 3).collect()
     pad = lambda bs: sum(min(b for b in bs if b >= x) - x for x in lengths)
     best = min(pad((*c, max(lengths))) for k in range(3) for c in combinations(range(1, max(lengths)), k))
-    assert sum(r.bucket - r.n_tokens for r in got) == best and len({r.bucket for r in got}) <= 3
+    assert sum(r.padding for r in got) == best and len({r.bucket for r in got}) <= 3
 
 
 def test_licences_inside_longer_texts(spark):
@@ -449,3 +533,26 @@ def test_licences_inside_longer_texts(spark):
     got = {r.doc_id: r for r in licenses.licence_scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert {i: (r.n_notices, r.licence, r.dice) for i, r in got.items()} == {1: (1, "MIT", 1.0), 2: (1, "Apache-2.0", 1.0), 3: (1, "MIT", 1.0), 4: (3, "CC0-1.0", 1.0), 5: (0, None, None)}
     assert (got[1].notices[0].at, got[1].notices[0].words) == (40 * 8, len(licenses.words(mit)))
+
+
+def test_stages_with_clashing_names(spark):
+    """Columns that differ in case only, in names and in kind: the stages take the exact ones and keep all."""
+    data = [(r[0], r[1], r[2], r[4], "other text", "not a number", b"x") for r in rows()]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, n_chars long, TEXT string, Doc_ID string, N_CHARS binary")
+    for stage in (langid.keep_languages, line_dedup.drop_frequent_lines, simhash.drop_near_copies, pii.replace_pii):
+        kept = stage(docs)
+        out = kept.toDF(*[f"c{i}" for i in range(7)]).collect()
+        assert kept.columns == docs.columns and len(out) > 40 and {(r.c4, r.c5, bytes(r.c6)) for r in out} == {("other text", "not a number", b"x")}
+    other = spark.createDataFrame([(1, "Mr. Smith\n12"), (2, None)], "DOC_ID int, Text string")
+    for stage in (line_dedup.drop_frequent_lines, simhash.drop_near_copies, pii.replace_pii):
+        assert stage(other).count() == 2 and stage(other).columns == ["DOC_ID", "Text"]
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.llm import _common
+
+    away = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://head:7077"))
+    with pytest.raises(ValueError):
+        _common.scratch(away, "x")
