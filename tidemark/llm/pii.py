@@ -2,8 +2,9 @@
 
 Entities are found by one pattern. Each distinct one (its norm: case or separators do not matter where they carry no
 meaning) gets one surrogate for the whole corpus, drawn with a key, so that mentions of the same entity stay mentions
-of the same one. A name is detected behind a title; what the same text calls by it elsewhere, without a title, goes
-too. The surrogate has the type, length, letter case, separators and script of what it replaces, names also
+of the same one. A name is detected behind a title or words that introduce one; what the same text calls by it
+elsewhere goes too. A number of 13 to 19 digits in a row whose check digit is wrong is no card and stays; so do
+addresses with parts above 255. The surrogate has the type, length, letter case, separators and script of what it replaces, names also
 gender and place (first or last); cards keep a valid check digit, addresses go to reserved ranges and domains. A
 check over all entities finds surrogates that two would share, or that are somebody's real data; the later of them draw
 again, until all are distinct. Texts without entities never enter a shuffle of their own: only places and surrogates do.
@@ -23,14 +24,17 @@ DEFAULT_KEY = "tidemark"
 TITLES_F = "Mrs|Ms|Miss|Frau|Mme|Mlle|Sra|Srta|Señora|Doña|Г-жа|Κα"
 TITLES_M = "Mr|Herr|Sr|Señor|Don|Г-н|Κος"
 TITLES_N = "Dr|Prof"
+#: What introduces a name without a title.
+INTRODUCED = "[Mm]y name is|[Nn]ame:|Contact:|Author:|Ich heiße|Mein Name ist|Je m['’]appelle|Me llamo|Mi nombre es"
 #: A look at one letter comes first here and below: nearly all places of a text fail there, at the least cost.
-TITLE = f"(?<![\\p{{L}}])(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\\.? "
+TITLE = f"(?<![\\p{{L}}])(?:{TITLES_F}|{TITLES_M}|{TITLES_N}|{INTRODUCED})\\.? "
 #: A capital and small letters, or letters of a script without case.
 NAME = "(?:\\p{Lu}[\\p{Ll}'’\\-]+(?:\\p{Lu}\\p{Ll}+)?|[\\p{IsHan}\\p{IsHangul}]{1,4})"
 SHORT_NAME = "(?:\\p{Lu}[\\p{Ll}'’\\-]{1,20}(?:\\p{Lu}\\p{Ll}{1,20})?|[\\p{IsHan}\\p{IsHangul}]{1,4})"
 
 EMAIL = "(?<![A-Za-z0-9._%+\\-])[A-Za-z0-9._%+\\-]++@[A-Za-z0-9\\-]+(?:\\.[A-Za-z0-9\\-]+)+"
-IP = "(?<![0-9.])(?:[0-9]{1,3}\\.){3}[0-9]{1,3}(?![0-9]|\\.[0-9])"
+OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+IP = f"(?<![0-9.])(?:{OCTET}\\.){{3}}{OCTET}(?![0-9]|\\.[0-9])"
 SSN = "(?<![0-9\\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\\-])"
 PHONE = "(?:\\+[0-9]{1,3}[ .\\-]?)?\\([0-9]{2,4}\\)[ .\\-]?[0-9]{3,4}[ .\\-]?[0-9]{3,4}(?![0-9])|\\+[0-9]{1,3}(?:[ .\\-]?[0-9]{2,4}){2,5}(?![0-9])|(?<![0-9.\\-])[0-9]{3}[.\\-][0-9]{3}[.\\-][0-9]{4}(?![0-9])"
 CARD = "(?<![0-9A-Za-z])[0-9](?:[ \\-]?[0-9]){12,18}(?![0-9A-Za-z])"
@@ -47,7 +51,7 @@ PERSON = f"(?=[\\p{{Lu}}\\p{{IsHan}}\\p{{IsHangul}}])(?<=[ .])(?<={TITLE}{PARTS}
 ENTITY = "|".join((SECRET, HEX, IP, SSN, CARD, PHONE, EMAIL, IBAN, PERSON))
 #: Texts with an entity have one of these, told faster than the entities themselves.
 HINT = "[0-9@]"
-HINT_NAMES = f"(?=[DFHMPSГК]){TITLE}"
+HINT_NAMES = f"(?=[DFHMPSГКmnACIJN]){TITLE}"
 HINT_SECRET = f"(?i)(?:{SECRET_NAME})[\"']?\\s*[=:]"
 
 #: First names by gender, and what last names are built of, by script.
@@ -174,9 +178,9 @@ def _own_names():
 
 
 def mentions(rows: DataFrame) -> DataFrame:
-    """doc, th, own, pos, hit, kind, norm, valid, script, gender: a row for each entity that a text mentions.
+    """doc, th, own, pos, hit, kind, norm, valid, script, gender: a row for each place of a text that the pattern takes.
 
-    Kind is name where a name of the text stands without a title.
+    Kind is name where a name of the text stands without a title, and none for numbers that only look like cards.
     """
     text = F.col("text")
     hinted = text.rlike(HINT) | ((F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))) & text.rlike(HINT_SECRET)) | text.rlike(HINT_NAMES)
@@ -206,8 +210,9 @@ def mentions(rows: DataFrame) -> DataFrame:
     norm = F.when(F.col("kind").isin("ssn", "phone", "card"), digits).when(F.col("kind") == "iban", F.expr("replace(hit, ' ', '')")).when(F.col("kind").isin("first", "last", "initial", "name"), F.lower(_bare(F.col("hit")))).when(F.col("kind") == "email", F.lower("hit")).otherwise(F.col("hit"))
     each = each.withColumn("kind", kind).withColumn("norm", norm).withColumn("script", script).withColumn("gender", gender)
     valid = F.expr(f"CASE WHEN kind = 'card' THEN {_LUHN.format(d='norm')} = 0 ELSE false END")
+    plain = F.expr("CASE WHEN kind = 'card' AND NOT valid AND hit = norm THEN 'none' ELSE kind END")
     # a first name of another gender is another entity
-    return each.withColumn("valid", valid).withColumn("norm", F.expr("CASE WHEN kind = 'first' THEN concat(norm, '/', gender) ELSE norm END")).drop("before", "chain", "after", "following")
+    return each.withColumn("valid", valid).withColumn("kind", plain).withColumn("norm", F.expr("CASE WHEN kind = 'first' THEN concat(norm, '/', gender) ELSE norm END")).drop("before", "chain", "after", "following")
 
 
 def resolved(found: DataFrame) -> DataFrame:
@@ -229,11 +234,12 @@ _RENDER = r"""CASE WHEN kind IN ('ssn', 'phone', 'card', 'iban') THEN array_join
 def replacements(rows: DataFrame, key: str) -> DataFrame:
     """doc, th, own, put, kinds: the surrogates of a text in order, and their kinds; own is its names' part of the pattern."""
     found = cut(resolved(mentions(rows).dropDuplicates(["doc", "th", "pos"])), "mentions")
-    entities = found.groupBy("kind", "norm").agg(F.max("valid").alias("valid"), F.min("script").alias("script"), F.min("gender").alias("gender"))
+    entities = found.where("kind <> 'none'").groupBy("kind", "norm").agg(F.max("valid").alias("valid"), F.min("script").alias("script"), F.min("gender").alias("gender"))
     named = distinct_surrogates(entities, key)
-    put = found.join(named, ["kind", "norm"]).withColumn("put", F.expr(_RENDER))
+    # named is cut: Spark splits the mentions of an entity that very many texts have over tasks
+    put = found.join(named, ["kind", "norm"], "left").withColumn("put", F.when(F.col("drawn").isNull(), F.col("hit")).otherwise(F.expr(_RENDER)))
     listed = put.groupBy("doc", "th").agg(F.max("own").alias("own"), F.array_sort(F.collect_list(F.struct("pos", "put", "kind"))).alias("all"))
-    return listed.select("doc", "th", "own", F.col("all.put").alias("put"), F.col("all.kind").alias("kinds"))
+    return listed.select("doc", "th", "own", F.col("all.put").alias("put"), F.array_remove("all.kind", "none").alias("kinds")).where(F.size("kinds") > 0)
 
 
 def _replaced():
@@ -250,12 +256,12 @@ def surrogate_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """One row for each row of docs: doc_id, text (replaced), n_entities, kinds.
 
     Null and empty texts stay as they are, with no entities. Rows that repeat give the same. A null doc_id is like any
-    other. Other columns are ignored; no rows give none. Names are found behind a
-    title, and elsewhere in the same text as whole words.
+    other. Other columns are ignored; no rows give none. Names are found behind a title or an introduction, and
+    elsewhere in the same text as whole words.
     """
     rows = pick(docs, doc_id="bigint", text="string").select("doc_id", "text", *_names())
     joined = rows.join(replacements(rows, key), ["doc", "th"], "left")
-    return joined.select("doc_id", _replaced().alias("text"), F.coalesce(F.size("put"), F.lit(0)).cast("long").alias("n_entities"), F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
+    return joined.select("doc_id", _replaced().alias("text"), F.coalesce(F.size("kinds"), F.lit(0)).cast("long").alias("n_entities"), F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
 
 
 def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
