@@ -535,6 +535,56 @@ def test_licences_inside_longer_texts(spark):
     assert (got[1].notices[0].at, got[1].notices[0].words) == (40 * 8, len(licenses.words(mit)))
 
 
+def test_surrogates_of_made_texts(spark):
+    """Texts put together of plain parts and entities: the plain parts stay, and entities map one to one, in type and form."""
+    rnd = random.Random(9)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def luhn(d):
+        return (sum(int(c) for c in d[-1::-2]) + sum(sum(divmod(2 * int(c), 10)) for c in d[-2::-2])) % 10 == 0
+
+    def card():
+        d = "4" + digits(14)
+        return next(d + c for c in "0123456789" if luhn(d + c))
+
+    surnames = [a + b for a in ("Schmidt", "Muller", "Novak", "Rossi", "Garcia", "Lopez") for b in ("", "sen", "ova", "ez")]
+    pools = {"Mrs.": pii.FIRST["latin"][0].split(), "Mr.": pii.FIRST["latin"][1].split(), "Dr.": ["Tatum", "Rene"], "My name is": ["Anna", "John", "Wei"]}
+    made = {
+        "email": lambda: f"u{digits(4)}.x@mail{rnd.randrange(5)}.org", "ip": lambda: ".".join(str(rnd.randrange(1, 240)) for _ in range(4)), "ssn": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        "phone": lambda: f"+1 ({digits(3)}) 555-{digits(4)}", "card": card, "secret": lambda: "zq" + digits(10), "hex": lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(38)) + "a1",
+    }
+    pool = {k: [f() for _ in range(25)] for k, f in made.items()}
+    shape = {"email": r"[a-z]\d{4}\.[a-z]@[a-z0-9]+\.example", "ip": r"(\d{1,3}\.){3}\d{1,3}", "ssn": r"\d{3}-\d\d-\d{4}", "phone": r"\+1 \(\d{3}\) \d{3}-\d{4}", "card": r"\d{16}", "secret": r"[a-z]{2}\d{10}", "hex": r"[0-9a-f]{40}"}
+    data, parts = [], {}
+    for i in range(400):
+        own = []
+        for _ in range(rnd.randint(0, 6)):
+            own.append((None, rnd.choice(["plain words with 12 and 3.5, ", "version 1.2.3 of it; ", "at 10:30 they left. ", "number 1234567890123 is no card. ", "999.300.1.2 is no address. "])))
+            kind = rnd.choice([*made, "name"])
+            if kind == "name":
+                title = rnd.choice(list(pools))
+                first, last = rnd.choice(pools[title]), rnd.choice(surnames)
+                own += [(None, title + " "), (f"first/{title}", first), (None, " "), ("last", last), (None, " was here and "), ("last", last), (None, " left. ")]
+            else:
+                own += [(None, "token = " if kind == "secret" else ""), (kind, rnd.choice(pool[kind])), (None, " then ")]
+        parts[i] = own
+        data.append((i, "".join(x for _, x in own)))
+    got = {r.doc_id: r for r in pii.surrogate_pii(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    names = {}
+    for i, own in parts.items():
+        found = re.fullmatch("".join(re.escape(x) if k is None else "([^\\s]+(?: \\(\\d+\\) [\\d-]+)?)" for k, x in own), got[i].text)
+        assert found and got[i].n_entities == sum(k is not None for k, _ in own)
+        for (kind, real), new in zip([x for x in own if x[0]], found.groups()):
+            assert names.setdefault((kind.replace("My name is", "Dr."), real), new) == new != real
+            if kind in shape:
+                assert re.fullmatch(shape[kind], new) and len(new) == len(real) or kind in ("email", "ip")
+            assert kind != "card" or luhn(new)
+            assert kind not in ("first/Mrs.", "first/Mr.") or all(x in pii.FIRST["latin"][kind == "first/Mr."].split() for x in new.split("-"))
+    for kind in {k.split("/")[0] for k, _ in names}:
+        own = [v for (k, _), v in names.items() if k.split("/")[0] == kind]
+        assert len(own) == len(set(own)) and not {r.lower() for _, r in names} & {x.lower() for x in own}
+
+
 def test_stages_with_clashing_names(spark):
     """Columns that differ in case only, in names and in kind: the stages take the exact ones and keep all."""
     data = [(r[0], r[1], r[2], r[4], "other text", "not a number", b"x") for r in rows()]
