@@ -1,11 +1,15 @@
 """The verbs: detect, extract, tables, map, load, render and dict, each from DataFrames to DataFrames.
 
 pipeline() is all of them over a folder. `python -m tidemark.jobs VERB IN OUT` runs one and ends with 1 where a file failed.
+tables, map, load and render take documents, or with --raw the JSON that extract wrote. load and pipeline add to the
+warehouse in OUT/warehouse: attachments that come again replace theirs, all others stay.
 """
 
 from __future__ import annotations
 
+import argparse
 import os
+import shlex
 import sys
 from dataclasses import dataclass
 
@@ -14,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
-from tidemark.operators import grid, keys, lines, records, survey, warehouse
+from tidemark.operators import grid, keys, lines, records, sinks, survey, warehouse
 from tidemark.operators.classify import classify_title
 from tidemark.plans import dictionaries
 from tidemark.plans.staging import staged
 from tidemark.sources import read as R
-from tidemark.sources.sniff import document_format, extension, scan_files
+from tidemark.sources.sniff import document_format, extension, in_order, scan_files
 
 
 def setting(name: str, default: str | None = None, files: tuple[str, ...] = (".env", "application.properties")) -> str | None:
@@ -56,8 +60,8 @@ def detect(files: DataFrame) -> DataFrame:
     return survey.survey(joined.select("path", "ext", "text_chars", "n_images", F.when(F.col("error").isNotNull(), kind).alias("kind"), F.col("message").alias("error")))
 
 
-def extract(files: DataFrame, engine: str | None = None, ocr_command: list[str] | None = None) -> DataFrame:
-    return R.read_documents(files, engine, ocr_command)
+def extract(files: DataFrame, engine: str | None = None, ocr_command: list[str] | None = None, image_folder: str | None = None) -> DataFrame:
+    return R.read_documents(files, engine, ocr_command, image_folder)
 
 
 def tables(raw: DataFrame, synonyms: DataFrame) -> DataFrame:
@@ -122,13 +126,30 @@ def load_rows(mapped: Mapped, images: DataFrame, failures: DataFrame) -> dict[st
     return {n: df if n == "OS_ATCH_FILE_DTL" else df.join(fine, ["NOTI_SN", "ATCH_SN"], "left_semi") for n, df in out.items()}
 
 
-def pipeline(spark: SparkSession, folder: str, ocr_command: list[str] | None = None, threshold: int = 5000) -> tuple[Mapped, DataFrame]:
-    """(what was mapped, failures) of all documents below a folder; each file is parsed once."""
-    raw = extract(scan_files(spark, folder), None, ocr_command).persist()
-    bad = raw.where("error IS NOT NULL")
+def images_of(raw: DataFrame) -> DataFrame:
+    """(NOTI_SN, ATCH_SN, pos, name, path) of raw documents' images, by the keys in the documents' names."""
+    key = keys.file_key(F.element_at(F.split("doc", "/"), -1))
+    return R.image_rows(raw).select(key["noti_sn"].alias("NOTI_SN"), key["atch_sn"].alias("ATCH_SN"), "pos", "name", "path")
+
+
+def failures_of(raw: DataFrame) -> DataFrame:
+    """The failures among read documents, with their kinds, as warehouse.failure_rows takes them."""
     key = keys.file_key("atch_file_nm")
-    failures = bad.select(key["noti_sn"].alias("NOTI_SN"), key["atch_sn"].alias("ATCH_SN"), F.col("atch_file_nm").alias("file_name"), F.col("atch_file_path").alias("file_path"), F.lit("extract").alias("stage"), survey.classify_failure(F.when(F.col("message").contains("empty"), 0).otherwise(1), F.nullif("actl_file_extn_nm", F.lit("")), F.col("file_extn_nm"), F.col("protection"), F.col("error"), F.col("message")).alias("kind"), "message")
-    return map_documents(raw.where("error IS NULL"), threshold), failures
+    size = F.when(F.col("message").contains("empty"), 0).otherwise(1)
+    kind = survey.classify_failure(size, F.nullif("actl_file_extn_nm", F.lit("")), F.col("file_extn_nm"), F.col("protection"), F.col("error"), F.col("message"))
+    bad = raw.where("error IS NOT NULL")
+    return bad.select(key["noti_sn"].alias("NOTI_SN"), key["atch_sn"].alias("ATCH_SN"), F.col("atch_file_nm").alias("file_name"), F.col("atch_file_path").alias("file_path"), F.lit("extract").alias("stage"), kind.alias("kind"), "message")
+
+
+def mapped_parts(raw: DataFrame, threshold: int = 5000) -> tuple[Mapped, DataFrame, DataFrame]:
+    """(what was mapped, images, failures) of read documents, which are staged once: nothing is parsed twice."""
+    raw = staged(raw, "raw")
+    return map_documents(raw.where("error IS NULL"), threshold), images_of(raw.where("error IS NULL")), failures_of(raw)
+
+
+def pipeline(spark: SparkSession, folder: str, ocr_command: list[str] | None = None, threshold: int = 5000, engine: str | None = None, image_folder: str | None = None) -> tuple[Mapped, DataFrame, DataFrame]:
+    """(what was mapped, images, failures) of all documents below a folder; each file is parsed once."""
+    return mapped_parts(extract(scan_files(spark, folder), engine, ocr_command, image_folder), threshold)
 
 
 def render(raw: DataFrame) -> DataFrame:
@@ -139,36 +160,65 @@ def render(raw: DataFrame) -> DataFrame:
     return pages.select("doc", html_document("html", "doc").alias("html"))
 
 
+def review(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The reports on what map wrote: extras, and types of notices."""
+    from tidemark.operators.render import extras_report, types_report
+
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    return {"extras": extras_report(read("files"), read("values")), "notice_types": types_report(read("files"))}
+
+
 def main(args: list[str]) -> int:
-    verb, source, target = args
-    spark = SparkSession.builder.appName(f"tidemark {verb}").getOrCreate()
-    if verb == "dict":
-        from tidemark.operators.render import item_document, type_document
+    parser = argparse.ArgumentParser(prog="tidemark")
+    parser.add_argument("verb", choices=["detect", "extract", "tables", "map", "load", "render", "dict", "pipeline"])
+    parser.add_argument("source", help="a folder of documents; with --raw, of the JSON that extract wrote; for dict, of what map wrote")
+    parser.add_argument("target")
+    parser.add_argument("--engine", help="reads all files, whatever they are, and takes none for a scan")
+    parser.add_argument("--ocr", default=setting("ocr.command"), help="the command that reads scans")
+    parser.add_argument("--threshold", type=int, default=int(setting("load.max-body-chars", "5000")))
+    parser.add_argument("--raw", action="store_true")
+    parser.add_argument("--review", action="store_true", help="dict: reports on what map wrote, too")
+    a = parser.parse_args(args)
+    spark = SparkSession.builder.appName(f"tidemark {a.verb}").getOrCreate()
+    if a.verb == "dict":
+        from tidemark.operators.render import item_document, standard_document, type_document
 
         dictionaries.checked(spark)
-        for name, text in (("items", item_document()), ("types", type_document())):
-            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/{name}")
+        texts = {"items": item_document(), "types": type_document(), "standard": standard_document()} | (review(spark, a.source) if a.review else {})
+        for name, text in texts.items():
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.target}/{name}")
         return 0
-    files = scan_files(spark, source)
-    if verb == "detect":
-        out = {"survey": detect(files)}
-    elif verb == "extract":
-        out = {"raw": extract(files)}
-    elif verb == "tables":
-        out = {"tables": tables(extract(files), dictionaries.synonym_dim(spark))}
-    elif verb == "render":
-        out = {"html": render(extract(files))}
-    elif verb in ("map", "load", "pipeline"):
-        mapped, failures = pipeline(spark, source)
-        images = spark.createDataFrame([], "NOTI_SN int, ATCH_SN int, pos int, name string, path string")
-        out = {"files": mapped.files, "values": mapped.values, "rows": mapped.rows, "failures": failures} if verb == "map" else load_rows(mapped, images, warehouse.failure_rows(failures)) | {"failures": failures}
+    images = f"{a.target}/images" if a.verb in ("extract", "map", "load", "pipeline") else None
+    if a.raw:
+        good, lost = R.read_json(spark, a.source, R.READ_SCHEMA)
+        raw = good.unionByName(lost.select(F.col("path").alias("atch_file_path"), F.element_at(F.split("path", "/"), -1).alias("atch_file_nm"), F.lit("json").alias("file_extn_nm"), F.lit("JSONDecodeError").alias("error"), F.lit("the file is no JSON").alias("message")), allowMissingColumns=True)
     else:
-        raise SystemExit(f"no verb is called {verb}")
+        raw = extract(scan_files(spark, a.source), a.engine, shlex.split(a.ocr) if a.ocr else None, images) if a.verb != "detect" else None
+    if a.verb == "detect":
+        found = detect(scan_files(spark, a.source))
+        in_order(found).write.mode("overwrite").parquet(f"{a.target}/survey")
+        sinks.summary_text(survey.survey_totals(spark.read.parquet(f"{a.target}/survey"))).show(truncate=False)
+        return int(not spark.read.parquet(f"{a.target}/survey").where("status = 'FAILED'").isEmpty())
+    if a.verb == "extract":
+        raw = staged(raw, "raw")
+        raw.write.mode("overwrite").parquet(f"{a.target}/raw")
+        sinks.write_json(raw, a.target, "json")
+        return int(not raw.where("error IS NOT NULL").isEmpty())
+    if a.verb in ("tables", "render"):
+        out = tables(raw, dictionaries.synonym_dim(spark)) if a.verb == "tables" else render(raw)
+        out.write.mode("overwrite").parquet(f"{a.target}/{'tables' if a.verb == 'tables' else 'html'}")
+        return 0
+    mapped, found, failures = mapped_parts(raw, a.threshold)
+    failures = staged(failures, "failures")
+    out = {"files": mapped.files, "values": mapped.values, "rows": mapped.rows}
     for name, df in out.items():
-        df.write.mode("overwrite").parquet(f"{target}/{name}")
-    if verb == "detect":
-        return int(not spark.read.parquet(f"{target}/survey").where("status = 'FAILED'").isEmpty())
-    return int("failures" in out and not spark.read.parquet(f"{target}/failures").isEmpty())
+        df.write.mode("overwrite").parquet(f"{a.target}/{name}")
+    if a.verb in ("load", "pipeline"):
+        rows = load_rows(mapped, found, warehouse.failure_rows(failures))
+        warehouse.load(warehouse.open_store(spark, f"{a.target}/warehouse"), rows)
+        sinks.summary_text(warehouse.load_stats(rows["OS_ATCH_FILE_DTL"], rows["OS_NOTI_ITEM_VAL_DTL"])).show(truncate=False)
+    sinks.failures_report(failures, mapped.files.count() + failures.count()).write.mode("overwrite").json(f"{a.target}/failures")
+    return int(not failures.isEmpty())
 
 
 if __name__ == "__main__":

@@ -160,3 +160,48 @@ def type_document(version: str = "1") -> str:
     lines = [f"# 종류 사전 (판 {version})", "", "| 코드 | 이름 | 상위 | 우선순위 | 규칙 |", "| --- | --- | --- | --- | --- |"]
     lines += [f"| {t.code} | {t.name} | {t.family} | {t.priority} | {' / '.join('+'.join(r) for r in t.rules) or '—'} |" for t in sorted(types(), key=lambda t: (-t.priority, t.code))]
     return "\n".join(lines)
+
+
+def standard_document(version: str = "1") -> str:
+    """The standard of the warehouse as Markdown: domains with their types, and every table's columns."""
+    from tidemark.operators import warehouse
+
+    domains = sorted({d for t in warehouse.TABLES for _, d, _ in warehouse.columns(t)})
+    lines = [f"# 표준 사전 (판 {version})", "", "## 도메인", "", "| 도메인 | 유형 | 길이 |", "| --- | --- | --- |"]
+    lines += [f"| {d} | {warehouse.SQL_TYPES.get(d, 'STRING')} | {warehouse.TEXT_LIMITS.get(d, '—')} |" for d in domains]
+    for table in warehouse.TABLES:
+        lines += ["", f"## {table}", "", "| 컬럼 | 도메인 | 널 | 키 |", "| --- | --- | --- | --- |"]
+        lines += [f"| {n} | {d} | {'Y' if null else 'N'} | {'PK' if n in warehouse.keys(table) else '—'} |" for n, d, null in warehouse.columns(table)]
+    return "\n".join(lines)
+
+
+def extras_report(files: DataFrame, values: DataFrame, top: int = 200) -> str:
+    """What labels no item knows, most frequent first, and how many records have each item; values(doc, record, key, mapped, value)."""
+    from tidemark.operators import views
+    from tidemark.plans.dictionaries import items
+
+    spark = files.sparkSession
+    records = values.select("doc", "record").distinct().count()
+    unknown = views.unmapped_labels(values.where("NOT mapped").select(F.col("key").alias("label"), "doc", F.col("record").alias("pos"), "value"))
+    n = unknown.agg(F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("values")).first()
+    codes = [i.code for i in items() if i.scope == "attribute"]
+    coverage = views.field_coverage(values, spark.createDataFrame([(c,) for c in codes], "item_cd string"), records)
+    by_code = {r["item_cd"]: r for r in coverage.collect()}  # a row for each item, told in the dictionary's order
+    lines = ["# 미매핑 항목 검토", "", f"문서 {files.count():,} · 레코드 {records:,} · 미매핑 {n['kinds']:,}종 {n['values']:,}건", "", "## 미매핑 라벨", ""]
+    lines += [markdown_table(unknown.orderBy(F.desc("n"), "label"), ["라벨", "건수", "문서", "예"], ["label", "n", "n_docs", "example"], top), "", "## 항목 채움", "", "| 항목 | 건수 | 비율 |", "| --- | --- | --- |"]
+    lines += [f"| {c} | {by_code[c]['n']} | {by_code[c]['percent']} |" for c in codes if c in by_code]
+    return "\n".join(lines)
+
+
+def types_report(files: DataFrame, top: int = 200) -> str:
+    """How many attachments are of each type, and the titles that no type takes."""
+    from tidemark.operators import views
+    from tidemark.plans.dictionaries import types
+
+    spark = files.sparkSession
+    n = files.agg(F.count("NOTI_KND_CD").alias("told"), F.count(F.when(F.col("NOTI_KND_CD").isNull() & F.col("NOTI_TTL").isNotNull(), 1)).alias("odd"), F.count(F.when(F.col("NOTI_TTL").isNull(), 1)).alias("bare")).first()
+    every = spark.createDataFrame([(t.code,) for t in types()], "NOTI_KND_CD string")
+    lines = ["# 고시 종류 검토", "", f"분류 {n['told']:,} · 미분류 {n['odd']:,} · 제목 없음 {n['bare']:,}", "", "## 종류별", ""]
+    lines += [markdown_table(views.type_distribution(files, every).orderBy(F.desc("n"), "NOTI_KND_CD"), ["종류", "건수"], ["NOTI_KND_CD", "n"]), "", "## 미분류 제목", ""]
+    lines += [markdown_table(views.unclassified_titles(files).orderBy(F.desc("n"), "title"), ["제목", "건수", "예"], ["title", "n", "example"], top)]
+    return "\n".join(lines)

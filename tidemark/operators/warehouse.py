@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
+from tidemark.operators.store import Store
+from tidemark.plans.dictionaries import item_dim, type_dim
+from tidemark.plans.staging import staged
 
 # The domains' limits and the tables' columns (name, domain, whether it may be null), keys first.
 TEXT_LIMITS = {"NO": 50, "CD": 25, "NM": 300, "TTL": 500, "PATH": 1000, "DSCR": 1000, "SE": 4, "ID": 20, "URL": 2000}
@@ -151,7 +154,7 @@ def failure_rows(failures: DataFrame, boards: DataFrame | None = None) -> DataFr
     step = {"detect": "DTCT", "extract": "EXTC", "save": "SAVE", "load": "LOAD"}
     code = F.create_map(*[F.lit(x) for kv in step.items() for x in kv])
     out = failures.select(*ATTACHMENT, F.col("file_name").alias("ATCH_FILE_NM"), F.col("file_path").alias("ATCH_FILE_PATH"), F.lit("FAIL").alias("PROC_STTS_CD"), F.try_element_at(code, F.lower("stage")).alias("FAIL_STEP_CD"), F.col("kind").alias("FAIL_KND_CD"), F.nullif("message", F.lit("null")).alias("FAIL_MSG_CTNT"), F.lit("N").alias("SCAN_YN"))
-    return out if boards is None else out.join(F.broadcast(boards), "ATCH_FILE_PATH", "left")
+    return out if boards is None else out.join(boards, "ATCH_FILE_PATH", "left")
 
 
 def union_with_failures(files: DataFrame, failures: DataFrame) -> DataFrame:
@@ -185,6 +188,85 @@ def route_violations(files: DataFrame, values: DataFrame) -> tuple[DataFrame, Da
     return joined.select(*cols), values.join(bad.select(*ATTACHMENT), ATTACHMENT, "left_anti")
 
 
+def known_items(items: DataFrame, labels: DataFrame, codes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, labels) where items of codes that the dictionary lacks (of codes(NOTI_ITEM_CD)) have become labels of that name.
+
+    A label that the attachment's disposition has already stays as it is.
+    """
+    odd = items.join(codes.select("NOTI_ITEM_CD"), "NOTI_ITEM_CD", "left_anti")
+    slot = [*ATTACHMENT, "DSPS_SN", "ITEM_LBL_NM"]
+    moved = odd.groupBy(*ATTACHMENT, "DSPS_SN", F.col("NOTI_ITEM_CD").alias("ITEM_LBL_NM")).agg(F.min_by("ITEM_VAL_CTNT", "RPT_SN").alias("ITEM_VAL_CTNT"))
+    fresh = moved.join(labels.select(*slot), slot, "left_anti")
+    return items.join(codes.select("NOTI_ITEM_CD"), "NOTI_ITEM_CD", "left_semi"), labels.unionByName(fresh, allowMissingColumns=True)
+
+
+#: By what the rows of each table are replaced: an attachment's by the attachment, with all its children.
+REPLACED_BY = {t: ATTACHMENT if t in (*CHILDREN, "OS_ATCH_FILE_DTL") else keys(t) for t in TABLES}
+
+
+def open_store(spark: SparkSession, root: str, buckets: int = 64) -> Store:
+    return Store(spark, root, REPLACED_BY, buckets)
+
+
+def stamped(df: DataFrame, table: str, old: DataFrame | None = None) -> DataFrame:
+    """df with all of table's columns in order, typed; the time of the first registration stays where old has the key."""
+    now = F.current_timestamp()
+    spec = columns(table)
+    cols = {n: (F.col(n) if n in df.columns else F.lit(None)).cast(SQL_TYPES.get(d, "STRING")) for n, d, _ in spec}
+    cols |= {c: now for c in ("FRST_REG_DTM", "LAST_CHG_DTM") if c in cols}
+    out = df.select(*[v.alias(n) for n, v in cols.items()])
+    if old is None or "FRST_REG_DTM" not in cols:
+        return out
+    first = old.select(*keys(table), F.col("FRST_REG_DTM").alias("_first"))
+    return out.join(first, keys(table), "left").withColumn("FRST_REG_DTM", F.coalesce("_first", "FRST_REG_DTM")).select(*cols)
+
+
+def merged(old: DataFrame | None, new: DataFrame, table: str) -> DataFrame:
+    """The rows of new by key, with what they leave null as old has it."""
+    rows = stamped(new, table, old)
+    if old is None:
+        return rows
+    rest = [c for c in rows.columns if c not in keys(table)]
+    was = old.select(*keys(table), *[F.col(c).alias(f"_{c}") for c in rest])
+    return rows.join(was, keys(table), "left").select(*keys(table), *[F.coalesce(c, f"_{c}").alias(c) for c in rest]).select(*rows.columns)
+
+
+def load(store: Store, came: dict[str, DataFrame], posts: DataFrame | None = None, agencies: DataFrame | None = None) -> int:
+    """Loads came (rows by table, as jobs.load_rows gives them) as one version; its number.
+
+    Attachments that came replace theirs with all children, other attachments of their posts stay; posts that are not known get
+    a row; posts(NOTI_SN, ..) and agencies(INSTT_SN, ..) are merged, nulls leaving what was. Types and items come from the
+    dictionaries. A key that comes twice, or a type, post or agency that is named but is not there, ends the load before anything is
+    changed.
+    """
+    spark, old = store.spark, store.tables()
+    files = staged(came["OS_ATCH_FILE_DTL"], "files")
+    given = posts if posts is not None else spark.createDataFrame([], schema("OS_NOTI_BAS"))
+    named = files.select("NOTI_SN").distinct().join(given.select("NOTI_SN"), "NOTI_SN", "left_anti")
+    unknown = named if "OS_NOTI_BAS" not in old else named.join(old["OS_NOTI_BAS"].select("NOTI_SN"), "NOTI_SN", "left_anti")
+    changes = {
+        "OS_NOTI_KND_TC": merged(old.get("OS_NOTI_KND_TC"), type_dim(spark).select(F.col("type_cd").alias("NOTI_KND_CD"), F.col("type_nm").alias("NOTI_KND_NM"), F.col("family").alias("HRNK_NOTI_KND_NM")), "OS_NOTI_KND_TC"),
+        "OS_NOTI_ITEM_TC": merged(old.get("OS_NOTI_ITEM_TC"), item_dim(spark).select(F.col("item_cd").alias("NOTI_ITEM_CD"), F.col("item_nm").alias("NOTI_ITEM_NM"), F.col("series").alias("ITEM_SRS_NM"), F.col("value_type").alias("ITEM_VAL_TY_CD"), F.col("core_yn").alias("CORE_ITEM_YN")), "OS_NOTI_ITEM_TC"),
+        "OS_NOTI_BAS": merged(old.get("OS_NOTI_BAS"), given.unionByName(unknown, allowMissingColumns=True), "OS_NOTI_BAS"),
+    }
+    if agencies is not None:
+        changes["OS_INSTT_BAS"] = merged(old.get("OS_INSTT_BAS"), agencies, "OS_INSTT_BAS")
+    items, labels = known_items(came["OS_NOTI_ITEM_VAL_DTL"], came["OS_NOTI_LBL_VAL_DTL"], changes["OS_NOTI_ITEM_TC"])
+    rows = {"OS_ATCH_FILE_DTL": files, "OS_ATCH_IMG_DTL": came["OS_ATCH_IMG_DTL"], "OS_NOTI_ITEM_VAL_DTL": items, "OS_NOTI_LBL_VAL_DTL": labels}
+    changes = {n: staged(df, n) for n, df in (changes | {n: stamped(df, n) for n, df in rows.items()}).items()}
+    for name, df in changes.items():
+        if not repeated_keys(df.select(*keys(name)), keys(name)).isEmpty():
+            raise ValueError(f"{name} has a key twice")
+    for child, parent, by, _ in REFERENCES:
+        if child in changes:
+            there = [x.select(*by) for x in (old.get(parent), changes.get(parent)) if x is not None]
+            lost = changes[child] if not there else orphans(changes[child], there[0] if len(there) == 1 else there[0].union(there[1]), by)
+            if not lost.dropna(subset=by).isEmpty():
+                raise ValueError(f"{child} names a row of {parent} that is not there")
+    slots = files.select(*ATTACHMENT)
+    return store.commit({n: (df, slots if n in CHILDREN else None) for n, df in changes.items()})
+
+
 def load_stats(files: DataFrame, values: DataFrame) -> DataFrame:
     """One row: n_ok (without the skipped), n_failed, n_skipped, n_values."""
     rows = files.select(F.col("PROC_STTS_CD").alias("what")).unionByName(values.select(F.lit("VALUE").alias("what")))

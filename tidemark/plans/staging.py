@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,13 @@ from pyspark.sql import DataFrame
 def staged(df: DataFrame, label: str) -> DataFrame:
     """df written below spark.checkpoint.dir and read again: plans stay small, and a lost executor loses nothing.
 
-    Only where that setting is absent, as in tests on one machine, a temporary folder is set.
+    Only where that setting is absent on one machine, as in tests, a temporary folder is set; a cluster must name one.
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"

@@ -27,6 +27,7 @@ class Cell:
 class Document:
     content: list[dict] = field(default_factory=list)
     images: list[tuple[str, bytes, str | None]] = field(default_factory=list)  # (extension, bytes, caption)
+    first_page: tuple[int, int] | None = None  # its characters and images, where a format has pages
 
     def paragraph(self, text: str | None) -> None:
         if text and text.strip():
@@ -79,6 +80,43 @@ def reader_for(key: str, engine: str | None = None) -> Reader:
     return READERS[key]
 
 
+Detector = Callable[[Document], bool]
+DETECTORS: dict[str, Detector] = {}
+#: A document with fewer characters has no text.
+MIN_TEXT = 1
+
+
+def detects(*keys: str) -> Callable[[Detector], Detector]:
+    """Makes a detector of scans the one for some formats; the last that registers wins."""
+
+    def put(detector: Detector) -> Detector:
+        DETECTORS.update(dict.fromkeys(keys, detector))
+        return detector
+
+    return put
+
+
+def is_scan(key: str, doc: Document) -> bool:
+    """Whether a document is a picture of one, by its format's detector; a format without one is an error."""
+    if key not in DETECTORS:
+        raise ValueError(f"지원하지 않는 확장자: {key}")
+    return DETECTORS[key](doc)
+
+
+@detects("hwp", "hwp3", "hwpx", "hml")
+def images_only(doc: Document) -> bool:
+    """No text in the body, its tables and captions, but an image. Headers and footers are no part of the body."""
+    captions = sum(len("".join((c or "").split())) for _, _, c in doc.images)
+    return doc.text_chars + captions < MIN_TEXT and bool(doc.images)
+
+
+@detects("pdf")
+def image_first(doc: Document) -> bool:
+    """The first page speaks for all: annexes of pictures make no scan of a document, nor later text none of one."""
+    chars, images = doc.first_page or (0, 0)
+    return chars < MIN_TEXT and images > 0
+
+
 def sieve(images: list[tuple[str, bytes, str | None]]) -> Iterator[tuple[str, bytes, str | None]]:
     from tidemark.sources.images import accept
 

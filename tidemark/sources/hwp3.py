@@ -26,14 +26,46 @@ class Damaged(OSError):
     """A stream that ends or turns where it must not."""
 
 
+# Fixed values of the format: where each kind of character begins, and the standard's rows (KS X 1001) that they stand for.
+HANJA_AT, HANJA, HANJA_ROW = 0x4000, 4888, 0xCA
+RULES_AT, RULES = 0x3013, "+++++++++-|"
+BULLETS_AT, BULLETS = 0x2F00, (0xA1E0, 0xA1DB, 0xA1DE, 0xA1E2, 0xA1E4, 0xA2B7, 0xA2B9)
+SIGNS_AT, SIGNS_END, SIGNS_ROW, ROW = 0x3400, 0x37C0, 0xA1, 0x60
+KANA_PAGE, KANA_ROW = 0x1F, 0xAA
+SINGLE = {0x81: '"', 0x82: '"', 0x83: "'", 0x84: "'", 0x309B: "｢", 0x309D: "｣"} | {SIGNS_END + i: c for i, c in enumerate("한글과컴퓨터")}
+
+
+def _pair(row: int, cell: int, charset: str = "euc_kr") -> str:
+    """The character at a row and a cell of a charset, a box where there is none."""
+    try:
+        found = bytes((row, cell)).decode(charset)
+    except (UnicodeDecodeError, ValueError):
+        return UNKNOWN
+    return found if len(found) == 1 else UNKNOWN
+
+
 def decode_char(code: int) -> str:
-    """A character of the document: ASCII as it is, combined Hangul by its parts, others by the standard's table."""
+    """A character of the document, by the range that its code is in."""
+    page, low = code >> 8, code & 0xFF
     if code < 128:
         return chr(code)
-    try:
-        return struct.pack(">H", code).decode("johab")
-    except UnicodeDecodeError:
-        return UNKNOWN
+    if code >= 0x8000:
+        return _pair(page, low, "johab")
+    if code >= HANJA_AT:
+        row, cell = divmod(code - HANJA_AT, 94)
+        return _pair(HANJA_ROW + row, 0xA1 + cell) if code - HANJA_AT < HANJA else UNKNOWN
+    if code in SINGLE:
+        return SINGLE[code]
+    if RULES_AT <= code < RULES_AT + 7 * len(RULES):
+        return RULES[(code - RULES_AT) % len(RULES)]
+    if page == BULLETS_AT >> 8 and low < 16 * len(BULLETS) and code % 16 < 9:
+        return _pair(*divmod(BULLETS[low // 16] + (code % 16 >= 6), 256))
+    if page == KANA_PAGE:
+        return _pair(KANA_ROW + (low >= ROW), 0xA0 + low - ROW * (low >= ROW)) if low < 2 * ROW else UNKNOWN
+    if SIGNS_AT <= code < SIGNS_END and low < 0xC0:
+        row, cell = divmod(code - SIGNS_AT, ROW)
+        return _pair(SIGNS_ROW + row + 2 * (SIGNS_ROW + row == KANA_ROW), 0xA0 + cell)
+    return UNKNOWN
 
 
 class _Stream:

@@ -417,6 +417,8 @@ def read(data: bytes) -> Document:
     pdf, out, seen = Pdf(data), Document(), set()
     for page in pdf.pages:
         shown = draw(pdf, page)
+        if out.first_page is None:
+            out.first_page = (sum(len("".join(s[4].split())) for s in shown.spans), len(shown.images))
         grid = ruled_grid(shown.segments)
         items: list[tuple[float, int, object]] = []
         loose = shown.spans

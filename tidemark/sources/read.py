@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import subprocess
 import tempfile
 from collections.abc import Callable
@@ -15,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from tidemark.sources import hwp3, hwp5, pdf, xml_documents  # noqa: F401  they register themselves
-from tidemark.sources.document import ENGINES, RAW_SCHEMA, Document, reader_for, sieve
+from tidemark.sources.document import ENGINES, RAW_SCHEMA, Document, is_scan, reader_for, sieve
 from tidemark.sources.sniff import extension, routing_key
 
 READ_SCHEMA = RAW_SCHEMA + ", extc_engn_nm string, text_chars bigint, n_images int, protection string, error string, message string"
@@ -51,7 +53,6 @@ def run_ocr(command: list[str], data: bytes, ext: str, seconds: int = OCR_SECOND
         try:
             log, _ = process.communicate(timeout=seconds)
         except subprocess.TimeoutExpired:
-            import os
             import signal
 
             os.killpg(process.pid, signal.SIGKILL)  # with all that it started
@@ -82,20 +83,41 @@ def blocks_document(blocks: list[dict]) -> Document:
     return out
 
 
-def read_one(path: str, data: bytes, key: str, ext: str, engine: str | None = None, ocr: Callable[[bytes, str], Document] | None = None) -> dict:
-    """A row of READ_SCHEMA for a file."""
+def saver(folder: str) -> Callable[[str, str, bytes], str]:
+    """A function (document's path, name, bytes) -> path that puts files below a folder, each document's in one of its own.
+
+    Names of documents that are equal in two folders do not meet; a task that runs again writes the same files.
+    """
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{os.path.abspath(folder)}")
+
+    def save(document: str, name: str, data: bytes) -> str:
+        own = f"{root}/{hashlib.sha256(document.encode()).hexdigest()[:16]}"
+        store.create_dir(own)
+        with store.open_output_stream(f"{own}/{name}") as out:
+            out.write(data)
+        return f"{own}/{name}"
+
+    return save
+
+
+def read_one(path: str, data: bytes, key: str, ext: str, engine: str | None = None, ocr: Callable[[bytes, str], Document] | None = None, save: Callable[[str, str, bytes], str] | None = None) -> dict:
+    """A row of READ_SCHEMA for a file. An engine that is asked for reads as it is told: nothing is taken for a scan."""
     row = {"atch_file_nm": path.rpartition("/")[2], "atch_file_path": path, "file_extn_nm": ext, "actl_file_extn_nm": key, "scan_yn": False, "content": [], "images": [], "extc_engn_nm": engine or ENGINES.get(key), "text_chars": 0, "n_images": 0, "protection": None, "error": None, "message": None}
     try:
         if not data:
             raise OSError("the file is empty")
         doc = reader_for(key, engine)(data)
-        scanned = doc.text_chars < 1 and bool(doc.images)
+        scanned = not engine and is_scan(key, doc)
         row |= {"text_chars": doc.text_chars, "n_images": len(doc.images), "scan_yn": scanned}
-        if scanned and ocr and not engine:
+        if scanned and ocr:
             doc, row["extc_engn_nm"] = ocr(data, key), "ocr"
         stem = row["atch_file_nm"].rpartition(".")[0] or row["atch_file_nm"]
         row["content"] = doc.content
-        row["images"] = [{"name": f"{stem}_img{i}.{e}", "path": None, "size": len(raw), "caption": c, "ocr_text": None} for i, (e, raw, c) in enumerate(sieve(doc.images))]
+        for i, (e, raw, c) in enumerate(sieve(doc.images)):
+            name = f"{stem}_img{i}.{e}"
+            row["images"].append({"name": name, "path": save(path, name, raw) if save else None, "size": len(raw), "caption": c, "ocr_text": None})
     except Exception as e:  # a bad file is a row, never the end of a job
         from tidemark.operators.survey import describe_error, root_cause
 
@@ -103,21 +125,31 @@ def read_one(path: str, data: bytes, key: str, ext: str, engine: str | None = No
     return row
 
 
-def read_documents(files: DataFrame, engine: str | None = None, ocr_command: list[str] | None = None) -> DataFrame:
-    """READ_SCHEMA rows of files(path, content): each parsed once, for its text, its tables, its images and its state."""
+def read_documents(files: DataFrame, engine: str | None = None, ocr_command: list[str] | None = None, image_folder: str | None = None) -> DataFrame:
+    """READ_SCHEMA rows of files(path, content): each parsed once, for its text, its tables, its images and its state.
+
+    With a folder, images that pass the sieve are put there, and their rows have the paths.
+    """
     schema = to_arrow_schema(_parse_datatype_string(READ_SCHEMA))
     ocr = (lambda data, ext: run_ocr(ocr_command, data, ext)) if ocr_command else None
 
     def run(batches):
+        save = saver(image_folder) if image_folder else None
         for b in batches:
             for path, data, key, ext in zip(*b.columns):
-                row = read_one(path.as_py(), data.as_py() or b"", key.as_py() or "", ext.as_py() or "", engine, ocr)
+                row = read_one(path.as_py(), data.as_py() or b"", key.as_py() or "", ext.as_py() or "", engine, ocr, save)
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
     keyed = files.select("path", "content", routing_key("content", "path").alias("key"), extension("path").alias("ext"))
     return keyed.mapInArrow(run, READ_SCHEMA)
 
 
+def image_rows(raw: DataFrame) -> DataFrame:
+    """(doc, pos, name, path, caption) of raw documents' images, in order."""
+    each = raw.select(F.col("atch_file_path").alias("doc"), F.posexplode("images").alias("pos", "i"))
+    return each.select("doc", "pos", "i.name", "i.path", "i.caption")
+
+
 def image_table(files: DataFrame) -> DataFrame:
     """(path, img_no, ext, data) of the images that pass the sieve, in order; bytes leave the kernel only here."""
 

@@ -39,23 +39,29 @@ def tagged(files: DataFrame) -> DataFrame:
     return out.withColumn("mislabelled", F.coalesce(F.col("file_extn_nm") != F.col("actl_file_extn_nm"), F.lit(False)))
 
 
+def _any_case(ext: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" for c in ext)
+
+
 def scan_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, modificationTime, length, content) of the documents below a folder, whatever their names' case.
 
-    Plans that do not ask for content never read it. Spark's source passes over empty files, which a survey must tell of,
-    so those come from the store's listing.
+    Other files are never opened, and plans that do not ask for content never read it. Spark's source passes over empty
+    files, which a survey must tell of: they are what its listing has and its rows lack.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed, empty = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True), []
-    while listed.hasNext():
-        status = listed.next()
-        if status.getLen() == 0:
-            empty.append((status.getPath().toString(), status.getModificationTime()))
-    if empty:
-        rows = spark.createDataFrame(empty, "path string, ms long").select("path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
-        files = files.unionByName(rows)
-    return files.where(extension("path").isin(*EXTENSIONS))
+    names = "*.{" + ",".join(map(_any_case, EXTENSIONS)) + "}"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(path)
+    listed = files.inputFiles()
+    plain = lambda c: F.regexp_replace(F.expr(f"url_decode(replace({c}, '+', '%2B'))"), "^file:/+", "file:/")
+    every = spark.createDataFrame([(p,) for p in listed], "p string").select("p", plain("p").alias("k"))
+    there = files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("k"))
+    empty = every.join(there, "k", "left_anti").select(F.col("k").alias("path"), F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+    return files.unionByName(empty)
+
+
+def in_order(files: DataFrame) -> DataFrame:
+    """files by path, as a listing shows them; a sort over all, for what people read."""
+    return files.orderBy("path")
 
 
 def _byte(c: Column, i: int) -> Column:

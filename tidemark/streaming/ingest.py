@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import text as T
+from tidemark.operators.store import BUCKETS, Store
 
 
 def new_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,38 +23,22 @@ def available_now(stream: DataFrame, load: Callable[[DataFrame, int], None], che
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def replace_by_key(table: str, by: list[str]) -> Callable[[DataFrame, int], None]:
-    """A load that leaves the last batch's rows for each key in a Parquet table at a path, twice the same as once.
+def replace_by_key(table: str, by: list[str], buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A load that leaves the last batch's rows for each key in a table at a path, twice the same as once.
 
-    The new table is written beside the old one and the pointer file is moved last, so a reader sees one or the other.
+    Versions are numbered by the store, not by the batch: a batch that comes again, or a new checkpoint's first, is a
+    version of its own that replaces the same keys. Only the buckets of its keys are written.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fs = spark._jvm.org.apache.hadoop.fs.Path(table).getFileSystem(spark._jsc.hadoopConfiguration())
-        path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-        now = current(spark, table)
-        new = batch if now is None else now.join(batch.select(*by).distinct(), by, "left_anti").unionByName(batch)
-        target = f"{table}/v{batch_id:012d}"
-        new.write.mode("overwrite").parquet(target)
-        mark = fs.create(path(f"{table}/v{batch_id:012d}.done"), True)
-        mark.close()
-        for status in fs.listStatus(path(table)):
-            name = status.getPath().getName()
-            if name.startswith("v") and not name.startswith(f"v{batch_id:012d}"):
-                fs.delete(status.getPath(), True)
+        Store(batch.sparkSession, table, {"rows": by}, buckets).commit({"rows": (batch, None)})
 
     return load
 
 
 def current(spark: SparkSession, table: str) -> DataFrame | None:
     """The table as the last finished load left it; null before the first."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    done = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().endswith(".done"))
-    return spark.read.parquet(f"{table}/{done[-1].removesuffix('.done')}") if done else None
+    return Store(spark, table, {}).tables().get("rows")
 
 
 def once_by_source(posts: DataFrame, late: str | None = None, at: str = "ts") -> DataFrame:
