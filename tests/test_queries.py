@@ -5,6 +5,7 @@ import decimal
 import duckdb
 import pytest
 
+from tidemark.plans import document_queries  # noqa: F401
 from tidemark.plans.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -136,7 +136,7 @@ def failures_of(raw: DataFrame) -> DataFrame:
     """The failures among read documents, with their kinds, as warehouse.failure_rows takes them."""
     key = keys.file_key("atch_file_nm")
     size = F.when(F.col("message").contains("empty"), 0).otherwise(1)
-    kind = survey.classify_failure(size, F.nullif("actl_file_extn_nm", F.lit("")), F.col("file_extn_nm"), F.col("protection"), F.col("error"), F.col("message"))
+    kind = survey.classify_failure(size, F.col("sniffed"), F.col("file_extn_nm"), F.col("protection"), F.col("error"), F.col("message"))
     bad = raw.where("error IS NOT NULL")
     return bad.select(key["noti_sn"].alias("NOTI_SN"), key["atch_sn"].alias("ATCH_SN"), F.col("atch_file_nm").alias("file_name"), F.col("atch_file_path").alias("file_path"), F.lit("extract").alias("stage"), kind.alias("kind"), "message")
 

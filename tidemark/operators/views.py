@@ -120,6 +120,13 @@ def overlapping(values: DataFrame, files: DataFrame, low: str, high: str, code:
     return files.join(hit.select(*ATTACHMENT, "DSPS_SN", "ITEM_VAL_CTNT"), ATTACHMENT)
 
 
+def paired_values(items: DataFrame, code: str, where_code: str, where_value: str) -> DataFrame:
+    """Values of one item in the dispositions in which another has a given value."""
+    slot = [*ATTACHMENT, "DSPS_SN"]
+    at = items.where((F.col("NOTI_ITEM_CD") == where_code) & (F.col("ITEM_VAL_CTNT") == where_value)).select(*slot).distinct()
+    return items.where(F.col("NOTI_ITEM_CD") == code).join(at, slot, "left_semi")
+
+
 def failure_breakdown(files: DataFrame) -> DataFrame:
     return files.where("PROC_STTS_CD = 'FAIL'").groupBy("FAIL_STEP_CD", "FAIL_KND_CD").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "FAIL_STEP_CD", "FAIL_KND_CD")
 

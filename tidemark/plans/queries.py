@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -129,23 +129,24 @@ def not_run_today(spark, d):
     return views.not_crawled_on(agencies_of(spark, d), crawls_of(spark, d), "2024-01-02")
 
 
-@query("SELECT l_orderkey AS NOTI_SN, l_linenumber AS ATCH_SN, o_orderstatus AS board_no, l_linestatus AS body_no FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus IS DISTINCT FROM nullif(l_linestatus, 'F')")
+@query("SELECT l_orderkey AS NOTI_SN, l_linenumber AS ATCH_SN, nullif(o_orderstatus, 'P') AS board_no, nullif(l_linestatus, 'F') AS body_no FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE nullif(o_orderstatus, 'P') IS DISTINCT FROM nullif(l_linestatus, 'F')")
 def number_mismatches(spark, d):
-    posts = read(spark, d, "orders").select(F.col("o_orderkey").alias("NOTI_SN"), F.col("o_orderstatus").alias("NOTI_NO"))
+    """A number that is missing on one side only is another number; missing on both it is none."""
+    posts = read(spark, d, "orders").select(F.col("o_orderkey").alias("NOTI_SN"), F.nullif("o_orderstatus", F.lit("P")).alias("NOTI_NO"))
     files = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("NOTI_SN"), F.col("l_linenumber").alias("ATCH_SN"), F.nullif("l_linestatus", F.lit("F")).alias("NOTI_NO"))
-    out = views.number_mismatches(posts, files)
-    return out.withColumn("body_no", F.coalesce("body_no", F.lit("F")))
+    return views.number_mismatches(posts, files)
 
 
-@query("""SELECT l_orderkey AS NOTI_SN, l_linenumber AS ATCH_SN, strftime(o_orderdate, '%Y-%m-%d') AS s, strftime(l_shipdate, '%Y-%m-%d') AS e FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+@query("""SELECT DISTINCT l_orderkey AS NOTI_SN, l_linenumber AS ATCH_SN, CAST(l_suppkey AS INTEGER) AS DSPS_SN, '[' || strftime(o_orderdate, '%Y-%m-%d') || ',' || strftime(l_shipdate, '%Y-%m-%d') || ']' AS period FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 WHERE CAST(l_shipdate AS DATE) >= CAST(o_orderdate AS DATE) AND CAST(o_orderdate AS DATE) < DATE '1996-02-01' AND CAST(l_shipdate AS DATE) >= DATE '1996-01-01'""")
 def range_overlap(spark, d):
     """Periods as literals "[start,end]"; inverted ones are none."""
     li = read(spark, d, "lineitem").join(read(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     iso = lambda c: F.date_format(c, "yyyy-MM-dd")
-    rows = li.select(F.col("l_orderkey").alias("NOTI_SN"), F.col("l_linenumber").alias("ATCH_SN"), T.range_literal(iso("o_orderdate"), iso("l_shipdate")).alias("v"))
-    hit = rows.withColumn("p", T.literal_range("v")).where(T.overlaps(F.col("p"), F.lit("1996-01-01").cast("date"), F.lit("1996-02-01").cast("date")))
-    return hit.select("NOTI_SN", "ATCH_SN", F.col("p.start_dt").cast("string").alias("s"), F.col("p.end_dt").cast("string").alias("e"))
+    at = [F.col("l_orderkey").alias("NOTI_SN"), F.col("l_linenumber").alias("ATCH_SN")]
+    values = li.select(*at, F.col("l_suppkey").cast("int").alias("DSPS_SN"), F.lit("WORK_PRD").alias("NOTI_ITEM_CD"), T.range_literal(iso("o_orderdate"), iso("l_shipdate")).alias("ITEM_VAL_CTNT"))
+    out = views.overlapping(values, li.select(*at).distinct(), "1996-01-01", "1996-02-01")
+    return out.select("NOTI_SN", "ATCH_SN", "DSPS_SN", F.col("ITEM_VAL_CTNT").alias("period")).distinct()
 
 
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS s, strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS e, '[' || strftime(o_orderdate, '%Y-%m-%d') || ',' || strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') || ']' AS lit FROM orders""")
@@ -260,11 +261,18 @@ def unclassified_titles(spark, d):
     return views.unclassified_titles(_titles(spark, d).select(classify_title("title", PART_TYPES).alias("NOTI_KND_CD"), F.col("title").alias("NOTI_TTL")))
 
 
-@query("""SELECT * FROM (VALUES ('공유수면 점용ㆍ사용 변경허가 고시', 'OCU_CHG_PRM'), ('공유수면 매립 실시계획 변경 승인', 'RIM_CHG_APV'), ('점용·사용료 감면 고시', 'FEE_RED'), ('공유수면 관리 및 매립에 관한 법률에 따른 허가', 'OCU_PRM'),
-  ('방치선박 제거 공고', 'ETC_ABD_RMV'), ('입찰 공고', 'ETC_BID_NOT'), ('주간 식단표', NULL), ('공유수면 점용·사용 실시계획 신고 수리', 'IMP_RAC')) t(title, type_cd)""")
+TITLES = (
+    ("공유수면 점용ㆍ사용 변경허가 고시", "OCU_CHG_PRM"), ("공유수면 매립 실시계획 변경 승인", "RIM_CHG_APV"), ("점용·사용료 감면 고시", "FEE_RED"), ("공유수면 관리 및 매립에 관한 법률에 따른 허가", "OCU_PRM"),
+    ("방치선박 제거 공고", "ETC_ABD_RMV"), ("입찰 공고", "ETC_BID_NOT"), ("주간 식단표", None), ("공유수면 점용·사용 실시계획 신고 수리", "IMP_RAC"),
+)
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 8 " + " ".join(f"WHEN {i} THEN '{c}'" for i, (_, c) in enumerate(TITLES) if c) + " END AS type_cd FROM orders")
 def notice_types(spark, d):
-    titles = ["공유수면 점용ㆍ사용 변경허가 고시", "공유수면 매립 실시계획 변경 승인", "점용·사용료 감면 고시", "공유수면 관리 및 매립에 관한 법률에 따른 허가", "방치선박 제거 공고", "입찰 공고", "주간 식단표", "공유수면 점용·사용 실시계획 신고 수리"]
-    return spark.createDataFrame([(t,) for t in titles], "title string").select("title", classify_title("title").alias("type_cd"))
+    """The dictionary's own types over titles that also name a place and a number."""
+    title = F.element_at(F.array(*[F.lit(t) for t, _ in TITLES]), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    rows = read(spark, d, "orders").select("o_orderkey", F.concat(title, F.lit(" ("), "o_custkey", F.lit(")")).alias("title"))
+    return rows.select("o_orderkey", classify_title("title").alias("type_cd"))
 
 
 @query(r"SELECT doc_id, CAST(length(regexp_replace(text, '\s', '', 'g')) AS BIGINT) AS chars, length(regexp_replace(text, '\s', '', 'g')) > 5000 AS excluded FROM documents")
@@ -321,17 +329,35 @@ def gazette_agency(spark, d):
 # ---- bytes
 
 
-@query("""SELECT * FROM (VALUES ('a.hwp', 'hwp', false), ('b.hwp', 'hwp3', true), ('c.hwpx', 'hwpx', false), ('d.hwp', 'pdf', true), ('e.hml', 'hml', false), ('f.pdf', NULL, false)) t(path, fmt, mislabelled)""")
+DOCUMENT_HEADS = (("D0CF11E0A1B11AE1", "hwp"), (b"HWP Document File V3.00".hex(), "hwp3"), ("504B0304", "hwpx"), (b"%PDF-1.4".hex(), "pdf"), (b'<?xml version="1.0"?><HWPML>'.hex(), "hml"), (b"nothing".hex(), None))
+
+
+def _of(table: tuple, k, of: int) -> Column:
+    """One of a small table's entries by a number; nulls stay."""
+    return F.element_at(F.array(*[F.lit(row[of]) for row in table]), (k % len(table) + 1).cast("int"))
+
+
+@query("SELECT p_partkey, ['hwp', 'hwp3', 'hwpx', 'pdf', 'hml', NULL][p_partkey % 6 + 1] AS fmt, coalesce(['hwp', 'hwpx', 'pdf', 'hml'][p_partkey % 4 + 1] <> ['hwp', 'hwp3', 'hwpx', 'pdf', 'hml', NULL][p_partkey % 6 + 1], false) AS mislabelled FROM part")
 def format_sniff(spark, d):
-    rows = [("a.hwp", bytes.fromhex("D0CF11E0A1B11AE1") + b"x"), ("b.hwp", b"HWP Document File V3.00"), ("c.hwpx", b"PK\x03\x04"), ("d.hwp", b"%PDF-1.4"), ("e.hml", b'<?xml version="1.0"?><HWPML>'), ("f.pdf", b"nothing")]
-    return sniff.tagged(spark.createDataFrame(rows, "path string, content binary")).select("path", F.col("actl_file_extn_nm").alias("fmt"), "mislabelled")
+    """Every head under every extension, each with a part's name behind it."""
+    k = F.col("p_partkey")
+    content = F.concat(F.unhex(_of(DOCUMENT_HEADS, k, 0)), F.encode("p_name", "UTF-8"))
+    name = F.concat("p_partkey", F.lit("."), F.element_at(F.array(*map(F.lit, ("hwp", "HWPX", "pdf", "hml"))), (k % 4 + 1).cast("int")))
+    return sniff.tagged(read(spark, d, "part").select("p_partkey", name.alias("path"), content.alias("content"))).select("p_partkey", F.col("actl_file_extn_nm").alias("fmt"), "mislabelled")
+
 
+IMAGE_HEADS = (
+    ("FFD8FF", None, "jpg"), ("89504E470D0A1A0A", "x.gif", "png"), ("474946383961", None, "gif"), ("424D46000000", None, "bmp"), ("49492A00", None, "tif"), ("524946460000000057454250", None, "webp"), ("D7CDC69A", None, "wmf"), ("00000100", None, "ico"),
+    ("D0CF11E0A1B11AE1", None, "ole"), (b"<svg xmlns=''/>".hex(), None, "svg"), (b"abcd".hex(), "image/x-emf", "emf"), (b"abcd".hex(), "BIN0001.PCX", "pcx"), (b"abcd".hex(), "x.exe", "bin"),
+)
 
-@query("SELECT * FROM (VALUES (0, 'jpg'), (1, 'png'), (2, 'gif'), (3, 'bmp'), (4, 'tif'), (5, 'webp'), (6, 'wmf'), (7, 'ico'), (8, 'ole'), (9, 'svg'), (10, 'emf'), (11, 'pcx'), (12, 'bin')) t(i, kind)")
+
+@query("SELECT s_suppkey, [" + ", ".join(f"'{k}'" for _, _, k in IMAGE_HEADS) + "][s_suppkey % 13 + 1] AS kind FROM supplier")
 def image_sniff(spark, d):
-    heads = ["FFD8FF", "89504E470D0A1A0A", "474946383961", "424D46000000", "49492A00", "524946460000000057454250", "D7CDC69A", "00000100", "D0CF11E0A1B11AE1"]
-    rows = [(i, bytes.fromhex(h), None) for i, h in enumerate(heads)] + [(9, b"<svg xmlns=''/>", None), (10, b"abcd", "image/x-emf"), (11, b"abcd", "BIN0001.PCX"), (12, b"abcd", "x.exe")]
-    return spark.createDataFrame(rows, "i int, content binary, hint string").select("i", sniff.image_type("content", "hint").alias("kind"))
+    """What bytes say goes first, then a hint that is known, a name or a media type."""
+    k = F.col("s_suppkey")
+    rows = read(spark, d, "supplier").select("s_suppkey", F.concat(F.unhex(_of(IMAGE_HEADS, k, 0)), F.encode("s_name", "UTF-8")).alias("content"), _of(IMAGE_HEADS, k, 1).cast("string").alias("hint"))
+    return rows.select("s_suppkey", sniff.image_type("content", "hint").alias("kind"))
 
 
 # ---- grids
@@ -704,14 +730,8 @@ def _failures(bad, total):
     return sinks.failures_report(bad, total).agg(F.max("total").alias("total"), F.max("failed").alias("failed"), F.sum(F.col("file_name").cast("long")).alias("checksum"))
 
 
-@query("SELECT (SELECT count(*) FROM lineitem) AS total, count(*) AS failed, CAST(sum(l_linenumber) AS BIGINT) AS checksum FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 50 = 0")
-def failures_report(spark, d):
-    li = read(spark, d, "lineitem")
-    return _failures(li.where("l_returnflag = 'R' AND l_orderkey % 50 = 0"), li.count())
-
-
 @query("SELECT (SELECT count(*) FROM lineitem) AS total, count(*) AS failed, CAST(sum(l_linenumber) AS BIGINT) AS checksum FROM lineitem WHERE l_returnflag = 'R'")
-def failures_report_whole(spark, d):
+def failures_report(spark, d):
     """The report of all failures."""
     li = read(spark, d, "lineitem")
     return _failures(li.where("l_returnflag = 'R'"), li.count())

@@ -6,21 +6,25 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written below spark.checkpoint.dir and read again: plans stay small, and a lost executor loses nothing.
+def folder(spark: SparkSession, label: str) -> str:
+    """The URI of a new folder below spark.checkpoint.dir.
 
     Only where that setting is absent on one machine, as in tests, a temporary folder is set; a cluster must name one.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df written below spark.checkpoint.dir and read again: plans stay small, and a lost executor loses nothing."""
+    path = folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,9 +18,9 @@ from pyspark.sql.types import _parse_datatype_string
 
 from tidemark.sources import hwp3, hwp5, pdf, xml_documents  # noqa: F401  they register themselves
 from tidemark.sources.document import ENGINES, RAW_SCHEMA, Document, is_scan, reader_for, sieve
-from tidemark.sources.sniff import extension, routing_key
+from tidemark.sources.sniff import document_format, extension, routing_key
 
-READ_SCHEMA = RAW_SCHEMA + ", extc_engn_nm string, text_chars bigint, n_images int, protection string, error string, message string"
+READ_SCHEMA = RAW_SCHEMA + ", extc_engn_nm string, text_chars bigint, n_images int, protection string, error string, message string, sniffed string"
 #: Seconds that an OCR run may take.
 OCR_SECONDS = 3600
 
@@ -104,7 +104,7 @@ def saver(folder: str) -> Callable[[str, str, bytes], str]:
 
 def read_one(path: str, data: bytes, key: str, ext: str, engine: str | None = None, ocr: Callable[[bytes, str], Document] | None = None, save: Callable[[str, str, bytes], str] | None = None) -> dict:
     """A row of READ_SCHEMA for a file. An engine that is asked for reads as it is told: nothing is taken for a scan."""
-    row = {"atch_file_nm": path.rpartition("/")[2], "atch_file_path": path, "file_extn_nm": ext, "actl_file_extn_nm": key, "scan_yn": False, "content": [], "images": [], "extc_engn_nm": engine or ENGINES.get(key), "text_chars": 0, "n_images": 0, "protection": None, "error": None, "message": None}
+    row = {"atch_file_nm": path.rpartition("/")[2], "atch_file_path": path, "file_extn_nm": ext, "actl_file_extn_nm": key, "scan_yn": False, "content": [], "images": [], "extc_engn_nm": engine or ENGINES.get(key), "text_chars": 0, "n_images": 0, "protection": None, "error": None, "message": None, "sniffed": None}
     try:
         if not data:
             raise OSError("the file is empty")
@@ -136,11 +136,11 @@ def read_documents(files: DataFrame, engine: str | None = None, ocr_command: lis
     def run(batches):
         save = saver(image_folder) if image_folder else None
         for b in batches:
-            for path, data, key, ext in zip(*b.columns):
-                row = read_one(path.as_py(), data.as_py() or b"", key.as_py() or "", ext.as_py() or "", engine, ocr, save)
+            for path, data, key, ext, fmt in zip(*b.columns):
+                row = read_one(path.as_py(), data.as_py() or b"", key.as_py() or "", ext.as_py() or "", engine, ocr, save) | {"sniffed": fmt.as_py()}
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-    keyed = files.select("path", "content", routing_key("content", "path").alias("key"), extension("path").alias("ext"))
+    keyed = files.select("path", "content", routing_key("content", "path").alias("key"), extension("path").alias("ext"), document_format("content").alias("fmt"))
     return keyed.mapInArrow(run, READ_SCHEMA)
 
 
