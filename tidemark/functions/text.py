@@ -97,7 +97,8 @@ def inner_part(label: Column | str) -> Column:
 
 
 def is_label_line(c: Column | str) -> Column:
-    return F.coalesce(_col(c).rlike(LABEL_LINE), F.lit(False))
+    # a look for the colon first: most lines have none
+    return F.coalesce(F.when(_col(c).rlike("[:：]"), _col(c).rlike(LABEL_LINE)), F.lit(False))
 
 
 def line_number(c: Column | str) -> Column:
@@ -113,26 +114,31 @@ def keeps_unknown_label(label: Column | str, value: Column | str) -> Column:
     return F.coalesce((size > 0) & (size <= MAX_LABEL) & ~label.rlike(r"\p{Nd}") & pairs & value.rlike(r"[\p{L}\p{Nd}]"), F.lit(False))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value made once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def date_iso(c: Column | str) -> Column:
     """The first date as yyyy-mm-dd text. The first notation that is found decides, even if its numbers are out of range.
 
     Days go to 31 in any month: whether the calendar has the date is for the loader to say.
     """
-    text = _col(c)
+    found = F.coalesce(*[group(c, pattern, 0) for pattern in (DATE_KOREAN, DATE_NUMERIC, DATE_SHORT)])
 
-    def made(pattern: str, century: str) -> Column:
-        y, m, d = (F.regexp_extract(text, pattern, i) for i in (1, 2, 3))
+    def made(n: Column) -> Column:
+        y, m, d = (F.get(n, F.lit(i)) for i in range(3))
         ok = m.try_cast("int").between(1, 12) & d.try_cast("int").between(1, 31)
-        return F.when(ok, F.concat_ws("-", F.concat(F.lit(century), y), F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
+        return F.when(ok, F.concat_ws("-", F.concat(F.when(F.length(y) == 2, "20").otherwise(""), y), F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
 
-    return F.when(text.rlike(DATE_KOREAN), made(DATE_KOREAN, "")).when(text.rlike(DATE_NUMERIC), made(DATE_NUMERIC, "")).when(text.rlike(DATE_SHORT), made(DATE_SHORT, "20"))
+    return let(F.regexp_extract_all(found, F.lit(r"([0-9]+)"), 1), made)
 
 
 def range_halves(c: Column | str) -> Column:
     """struct(lo, hi) of a period's two texts, null unless both have content."""
-    parts = F.split(trim_control(F.replace(_col(c), F.lit("까지"), F.lit(""))), RANGE_MARK, 2)
-    lo, hi = trim_control(F.get(parts, F.lit(0))), trim_control(F.get(parts, F.lit(1)))
-    return F.when((F.size(parts) == 2) & ~is_blank(lo) & ~is_blank(hi), F.struct(lo.alias("lo"), hi.alias("hi")))
+    parts = F.transform(F.split(trim_control(F.replace(_col(c), F.lit("까지"), F.lit(""))), RANGE_MARK, 2), lambda p: trim_control(p))
+    lo, hi = (lambda p: F.get(p, F.lit(0))), (lambda p: F.get(p, F.lit(1)))
+    return let(parts, lambda p: F.when((F.size(p) == 2) & ~is_blank(lo(p)) & ~is_blank(hi(p)), F.struct(lo(p).alias("lo"), hi(p).alias("hi"))))
 
 
 def range_literal(start: Column | str, end: Column | str) -> Column:

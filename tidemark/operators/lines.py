@@ -28,26 +28,33 @@ def label_pairs(lines: DataFrame) -> DataFrame:
     A line that begins with a colon is the value of a line before that is no pair itself. A pair without a value takes
     the next line unless that is a pair. Pairs that end without a value are dropped.
     """
-    near = lines.withColumn("before", F.lag("text").over(by_line())).withColumn("after", F.lead("text").over(by_line()))
-    goes_on = F.col("text").rlike("^[:：]") & F.col("before").isNotNull() & ~T.is_label_line("before")
-    own = T.trim_control(F.regexp_extract("text", T.LABEL_LINE, 2))
-    value = F.when((own == "") & F.col("after").isNotNull() & ~T.is_label_line("after"), T.trim_control("after")).otherwise(own)
-    pairs = near.where(goes_on | T.is_label_line("text")).select(
+    told = lines.withColumn("is_pair", T.is_label_line("text"))  # once a line: the window carries it to the neighbours
+    near = told
+    for name, side in (("before", F.lag), ("after", F.lead)):
+        near = near.withColumn(name, side("text").over(by_line())).withColumn(f"{name}_pair", side("is_pair").over(by_line()))
+    goes_on = F.col("text").rlike("^[:：]") & F.col("before").isNotNull() & ~F.col("before_pair")
+    kept = near.withColumn("goes_on", goes_on).where("goes_on OR is_pair")
+    own = kept.withColumn("own", T.trim_control(F.when(F.col("goes_on"), F.expr("substr(text, 2)")).otherwise(F.regexp_extract("text", T.LABEL_LINE, 2))))
+    next_ = ~F.col("goes_on") & (F.col("own") == "") & F.col("after").isNotNull() & ~F.col("after_pair")
+    pairs = own.select(
         "doc",
         "line_no",
-        F.when(goes_on, F.col("before")).otherwise(F.regexp_extract("text", T.LABEL_LINE, 1)).alias("label"),
-        F.when(goes_on, T.trim_control(F.expr("substr(text, 2)"))).otherwise(value).alias("value"),
-        F.when(goes_on, T.line_number("before")).otherwise(T.line_number("text")).alias("number"),
+        F.when(F.col("goes_on"), F.col("before")).otherwise(F.regexp_extract("text", T.LABEL_LINE, 1)).alias("label"),
+        F.when(next_, T.trim_control("after")).otherwise(F.col("own")).alias("value"),
+        T.line_number(F.when(F.col("goes_on"), F.col("before")).otherwise(F.col("text"))).alias("number"),
     )
     return pairs.where(~T.is_blank("value"))
 
 
-def with_items(df: DataFrame, synonyms: DataFrame, label: str = "label", out: str = "item_cd") -> DataFrame:
+def with_items(df: DataFrame, synonyms: DataFrame, label: str = "label", out: str = "item_cd", normal: str | None = None) -> DataFrame:
     """df with out, the item that a label names: by its whole, else its part before brackets, else that inside.
 
-    synonyms(label, item_cd) is a dictionary; Spark broadcasts it while it is below the threshold.
+    synonyms(label, item_cd) is a dictionary; Spark broadcasts it while it is below the threshold. normal: the column that
+    has the label in its normal form already, if any. Labels without brackets have no parts to look for.
     """
-    keys = df.withColumn("_n", T.normalise_label(label)).withColumn("_o", T.outer_part("_n")).withColumn("_i", T.inner_part("_n"))
+    own = F.col(normal) if normal else T.normalise_label(label)
+    bracket = F.contains("_n", F.lit("("))
+    keys = df.withColumn("_n", own).withColumn("_o", F.when(bracket, T.outer_part("_n"))).withColumn("_i", F.when(bracket, T.inner_part("_n")))
     for key in ("_n", "_o", "_i"):
         keys = keys.join(synonyms.select(F.col("label").alias(key), F.col("item_cd").alias(key + "_hit")), key, "left")
     return keys.select(*df.columns, F.coalesce("_n_hit", "_o_hit", "_i_hit").alias(out))
@@ -55,9 +62,9 @@ def with_items(df: DataFrame, synonyms: DataFrame, label: str = "label", out: st
 
 def pair_facts(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
     """facts(doc, pos, number, label, item_cd, value) of pairs: known labels, and unknown ones worth keeping (normalised)."""
-    known = with_items(pairs, synonyms)
-    kept = known.where(F.col("item_cd").isNotNull() | T.keeps_unknown_label(T.normalise_label("label"), "value"))
-    return kept.select("doc", F.col("line_no").alias("pos"), "number", T.normalise_label("label").alias("label"), "item_cd", "value")
+    known = with_items(pairs.withColumn("normal", T.normalise_label("label")), synonyms, normal="normal")
+    kept = known.where(F.col("item_cd").isNotNull() | T.keeps_unknown_label("normal", "value"))
+    return kept.select("doc", F.col("line_no").alias("pos"), "number", F.col("normal").alias("label"), "item_cd", "value")
 
 
 def nearest_captions(lines: DataFrame) -> DataFrame:

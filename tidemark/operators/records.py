@@ -62,23 +62,23 @@ def normalise_records(values: DataFrame) -> DataFrame:
     Dates that are none become unknown labels under their item; so does a period neither half of which is a date. A key
     that is there already is never replaced by what is found here.
     """
-    mapped = values.where("mapped").groupBy(*RECORD).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
+    # a record's values are few: one shuffle brings them together, and all else happens inside the row
+    whole = values.groupBy(*RECORD).agg(F.collect_list(F.struct("key", "mapped", "value")).alias("v"))
+    one = whole.withColumn("m", F.map_from_entries(F.transform(F.filter("v", lambda x: x["mapped"]), lambda x: F.struct(x["key"], x["value"]))))
     get = lambda k: F.try_element_at("m", F.lit(k))
-    one = mapped.withColumn("apv", T.approval_parts(get("APV_NO"))).withColumn("apv_dt", F.coalesce(get("APV_DT"), F.col("apv.date")))
-    one = one.withColumn("halves", T.range_halves(get(PERIOD)))
-    start, end = F.coalesce(get(PERIOD_START), T.date_iso("halves.lo")), F.coalesce(get(PERIOD_END), T.date_iso("halves.hi"))
+    one = one.withColumn("apv", T.approval_parts(get("APV_NO"))).withColumn("halves", T.range_halves(get(PERIOD))).withColumn("noti_dt", T.date_iso(get("NOTI_DT")))
+    one = one.withColumn("apv_dt", F.coalesce(get("APV_DT"), F.col("apv.date"))).withColumn("apv_iso", T.date_iso("apv_dt"))
+    one = one.withColumn("start", F.coalesce(get(PERIOD_START), T.date_iso("halves.lo"))).withColumn("end", F.coalesce(get(PERIOD_END), T.date_iso("halves.hi")))
     fields = {
-        "APV_NO": F.col("apv.number"), "NOTI_DT": T.date_iso(get("NOTI_DT")), "APV_DT": T.date_iso("apv_dt"), PERIOD_START: start, PERIOD_END: end,
+        "APV_NO": F.col("apv.number"), "NOTI_DT": F.col("noti_dt"), "APV_DT": F.col("apv_iso"), PERIOD_START: F.col("start"), PERIOD_END: F.col("end"),
         "APLC_ADDR": F.coalesce(get("APLC_ADDR"), T.address(get("APLC_NM"))),
     }
-    extras = {"NOTI_DT": F.when(T.date_iso(get("NOTI_DT")).isNull(), get("NOTI_DT")), "APV_DT": F.when(T.date_iso("apv_dt").isNull(), F.col("apv_dt")), PERIOD: F.when(start.isNull() & end.isNull(), get(PERIOD))}
-    made = [F.struct(F.lit(k).alias("key"), F.lit(True).alias("mapped"), v.alias("value")) for k, v in fields.items()]
-    made += [F.struct(F.lit(k).alias("key"), F.lit(False).alias("mapped"), v.alias("value")) for k, v in extras.items()]
-    changed = one.select(*RECORD, F.explode(F.array(*made)).alias("e")).select(*RECORD, "e.*").where("value IS NOT NULL")
-    rest = values.where(~(F.col("mapped") & F.col("key").isin(*fields, PERIOD)))
+    extras = {"NOTI_DT": F.when(F.col("noti_dt").isNull(), get("NOTI_DT")), "APV_DT": F.when(F.col("apv_iso").isNull(), F.col("apv_dt")), PERIOD: F.when(F.col("start").isNull() & F.col("end").isNull(), get(PERIOD))}
+    made = [F.struct(F.lit(k).alias("key"), F.lit(mapped).alias("mapped"), v.alias("value")) for kind, mapped in ((fields, True), (extras, False)) for k, v in kind.items()]
+    one = one.withColumn("rest", F.filter("v", lambda x: ~(x["mapped"] & x["key"].isin(*fields, PERIOD)))).withColumn("made", F.filter(F.array(*made), lambda x: x["value"].isNotNull()))
     # an unknown label that was there first stays
-    every = rest.withColumn("late", F.lit(0)).unionByName(changed.withColumn("late", F.lit(1)))
-    return every.groupBy(*RECORD, "key", "mapped").agg(F.min_by("value", "late").alias("value"))
+    fresh = F.filter("made", lambda x: ~F.exists("rest", lambda r: (r["key"] == x["key"]) & (r["mapped"] == x["mapped"])))
+    return one.select(*RECORD, F.explode(F.concat("rest", fresh)).alias("e")).select(*RECORD, "e.*")
 
 
 def split_values(values: DataFrame, fields: DataFrame) -> DataFrame:
@@ -87,14 +87,19 @@ def split_values(values: DataFrame, fields: DataFrame) -> DataFrame:
     fields(item_cd, scope). Keys of the attachment itself are neither. A period is one literal, and only where both halves are
     there in order. Labels that are one but for blanks around them come once, unknown items before others.
     """
-    known = values.where("mapped").join(fields.select(F.col("item_cd").alias("key"), "scope"), "key", "left")
-    part = F.col("key").isin(PERIOD_START, PERIOD_END)
-    items = known.where((F.col("scope") == "attribute") & ~part & ~T.is_blank("value")).select(*RECORD, F.lit("item").alias("target"), F.col("key").alias("name"), "value")
-    ends = known.where(part).groupBy(*RECORD).agg(F.max(F.when(F.col("key") == PERIOD_START, F.col("value"))).alias("s"), F.max(F.when(F.col("key") == PERIOD_END, F.col("value"))).alias("e"))
-    period = ends.select(*RECORD, F.lit("item").alias("target"), F.lit(PERIOD).alias("name"), T.range_literal("s", "e").alias("value")).where("value IS NOT NULL")
-    loose = known.where(F.col("scope").isNull() & ~part).select(*RECORD, "key", "value", F.lit(0).alias("rank")).unionByName(values.where("NOT mapped").select(*RECORD, "key", "value", F.lit(1).alias("rank")))
-    labels = loose.where(~T.is_blank("key") & ~T.is_blank("value")).groupBy(*RECORD, F.trim("key").alias("name")).agg(F.min_by("value", F.struct("rank", "key")).alias("value"))
-    return items.unionByName(period).unionByName(labels.select(*RECORD, F.lit("label").alias("target"), "name", "value"))
+    known = values.join(fields.select(F.col("item_cd").alias("key"), "scope"), "key", "left").withColumn("scope", F.when(F.col("mapped"), F.col("scope")))
+    rows = known.groupBy(*RECORD).agg(F.collect_list(F.struct("key", "mapped", "scope", "value")).alias("v"))
+    part = lambda x: x["key"].isin(PERIOD_START, PERIOD_END) & x["mapped"]
+    out = lambda target, name, value: F.struct(F.lit(target).alias("target"), name.alias("name"), value.alias("value"))
+    items = F.transform(F.filter("v", lambda x: (x["scope"] == "attribute") & ~part(x) & ~T.is_blank(x["value"])), lambda x: out("item", x["key"], x["value"]))
+    end = lambda k: F.get(F.filter("v", lambda x: x["mapped"] & (x["key"] == k)), F.lit(0))["value"]
+    period = F.filter(F.array(out("item", F.lit(PERIOD), T.range_literal(end(PERIOD_START), end(PERIOD_END)))), lambda x: x["value"].isNotNull())
+    loose = F.filter("v", lambda x: x["scope"].isNull() & ~part(x) & ~T.is_blank(x["key"]) & ~T.is_blank(x["value"]))
+    sorted_ = F.array_sort(F.transform(loose, lambda x: F.struct(F.trim(x["key"]).alias("name"), (~x["mapped"]).alias("late"), x["key"].alias("key"), x["value"].alias("value"))))
+    rows = rows.select(*RECORD, F.concat(items, period).alias("items"), sorted_.alias("loose"))
+    first = F.filter("loose", lambda x, i: (i == 0) | (F.get("loose", i - 1)["name"] != x["name"]))
+    labels = F.transform(first, lambda x: out("label", x["name"], x["value"]))
+    return rows.select(*RECORD, F.explode(F.concat("items", labels)).alias("e")).select(*RECORD, "e.*")
 
 
 def number_dispositions(rows: DataFrame, records: DataFrame) -> DataFrame:

@@ -29,12 +29,24 @@ def image_counts(images: DataFrame) -> DataFrame:
     return images.groupBy(*ATTACHMENT).agg(F.count(F.lit(1)).cast("int").alias("ATCH_IMG_CNT"))
 
 
+def attachment_summary(values: DataFrame, images: DataFrame, codes=CORE) -> DataFrame:
+    """pivot_items and image_counts in one: values and images go through one shuffle by attachment, and repeats fold in it."""
+    at = [F.col(c) for c in ATTACHMENT]
+    none = F.lit(None).cast("string")
+    own = values.where(F.col("NOTI_ITEM_CD").isin(*codes)).select(*at, "NOTI_ITEM_CD", "ITEM_VAL_CTNT", F.lit(0).alias("n"))
+    both = own.unionByName(images.select(*at, none.alias("NOTI_ITEM_CD"), none.alias("ITEM_VAL_CTNT"), F.lit(1).alias("n")))
+    once = both.repartition(*ATTACHMENT).groupBy(*ATTACHMENT, "NOTI_ITEM_CD", "ITEM_VAL_CTNT").agg(F.sum("n").alias("n"))
+    listed = lambda c: F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("NOTI_ITEM_CD") == c, F.col("ITEM_VAL_CTNT")))), " | "), F.lit(""))
+    return once.groupBy(*ATTACHMENT).agg(*[listed(c).alias(f"{c}_VAL_CTNT") for c in codes], F.sum("n").cast("int").alias("ATCH_IMG_CNT"))
+
+
 def core_item_view(files: DataFrame, posts: DataFrame, agencies: DataFrame, types: DataFrame, values: DataFrame, images: DataFrame, codes=CORE) -> DataFrame:
     """A row for each attachment that is OK: who, what kind, its core items and how many images."""
     ok = files.where("PROC_STTS_CD = 'OK'").select(*ATTACHMENT, "NOTI_KND_CD")
-    out = ok.join(posts.select("NOTI_SN", "INSTT_SN", "CHRG_DEPT_NM", "CHRG_PSN_NM"), "NOTI_SN")
+    # by attachment first, where both sides lie together already; posts last, on what is left
+    out = ok.join(attachment_summary(values, images, codes), ATTACHMENT, "left")
+    out = out.join(posts.select("NOTI_SN", "INSTT_SN", "CHRG_DEPT_NM", "CHRG_PSN_NM"), "NOTI_SN")
     out = out.join(agencies.select("INSTT_SN", "INSTT_NM"), "INSTT_SN", "left").join(types.select("NOTI_KND_CD", "NOTI_KND_NM"), "NOTI_KND_CD", "left")
-    out = out.join(pivot_items(values, codes), ATTACHMENT, "left").join(image_counts(images), ATTACHMENT, "left")
     return out.select(*ATTACHMENT, "INSTT_NM", "CHRG_DEPT_NM", "CHRG_PSN_NM", "NOTI_KND_NM", *[f"{c}_VAL_CTNT" for c in codes], F.coalesce("ATCH_IMG_CNT", F.lit(0)).alias("ATCH_IMG_CNT"))
 
 
