@@ -70,6 +70,61 @@ def test_bpe(docs, empty, tok):
     assert first.ids == tok.encode(rows()[1][1], add_special_tokens=False).ids
 
 
+def test_shared_chunks_are_encoded_once(spark, tmp_path, monkeypatch):
+    """Every chunk that two tasks have is encoded by one of them, whatever the number of tasks that have it."""
+    rnd = random.Random(6)
+    passage = lambda n: " ".join(rnd.choice(WORDS["en"]) + str(rnd.randrange(99)) for _ in range(n))
+    common = [passage(900) for _ in range(3)]
+    data = [(i, f"{passage(300)} {common[i % 3]} {passage(300)}") for i in range(24)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(6).cache()
+    docs.count()
+    path = bpe.default_tokenizer()
+    folder = bpe.shared_chunks(docs, path, 8)
+    given = spark.read.parquet(folder)
+    enc = bpe.ChunkEncoder(path, cut_bits=8)
+    tasks = {}
+    for r in docs.selectExpr("spark_partition_id() AS task", "text").collect():
+        for c in enc.cut(r.text.encode()):
+            tasks.setdefault(bpe.chunk_key(c), set()).add(r.task)
+    shared = {(t, k) for k, ts in tasks.items() if len(ts) > 1 for t in ts}
+    assert len(shared) > 50 and {(r.task, bytes(r.key)) for r in given.collect()} == shared
+    by_key = {}
+    for r in given.collect():
+        by_key.setdefault(bytes(r.key), set()).add(bytes(r.ids))
+    assert all(len(v) == 1 for v in by_key.values())
+    docs.unpersist()
+
+
+def test_joints_widen_chunk_by_chunk(tok, monkeypatch):
+    """Where joints are said to disagree, windows of chunks take their place, at the latest the whole text; the ids stay the library's."""
+    rnd = random.Random(4)
+    text = " ".join(rnd.choice(WORDS["fr"] + ["don't", "x.y", "3.5"]) for _ in range(600))
+    want = tok.encode(text, add_special_tokens=False).ids
+    enc = bpe.ChunkEncoder(bpe.default_tokenizer(), cut_bits=5)
+    asked = []
+    real = enc.ids
+    for stubborn in (0, 3, 10_000):
+        calls = [0]
+
+        def ids(texts, calls=calls, stubborn=stubborn):
+            got = real(texts)
+            calls[0] += 1
+            if calls[0] == 1:  # the joints' windows: three of them come out wrong
+                return [g + [1] if i in (4, 5, 20) else g for i, g in enumerate(got)]
+            if len(texts) == 4 and calls[0] <= 1 + stubborn:
+                return [*got[:3], got[3] + [1]]
+            asked.append(len(texts))
+            return got
+
+        monkeypatch.setattr(enc, "ids", ids)
+        enc.learn(text.encode().split())
+        calls[0] = 0
+        (done,) = enc.encode([text.encode()])
+        assert [int(i) for i in done[1].split()] == want and done[0] == len(want) and done[2] == tok.decode(want, skip_special_tokens=False)
+        assert (1 in asked) == (stubborn == 10_000)
+        asked.clear()
+
+
 def test_chunks_meet_again():
     text = " ".join(random.Random(1).choice(WORDS["en"]) for _ in range(4000)).encode()
     assert b"".join(bpe.chunks(text, 6)) == text
