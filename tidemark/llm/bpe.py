@@ -202,14 +202,14 @@ class ChunkEncoder(Encoder):
         """(head, words, tail, left window, right window): words are whole, head and tail go on in the neighbours."""
         words = chunk.split()
         if not words:
-            return (b"", [], b"", chunk, chunk) if chunk else None
+            return (b"", [], b"", b"", b"") if chunk else None
         head = b"" if chunk[:1].isspace() else words[0]
         if head and len(head) == len(chunk):
             return None  # no white space at all
         tail = b"" if chunk[-1:].isspace() else words[-1]
         core = words[bool(head) : len(words) - bool(tail)]
-        if not core:
-            return head, core, tail, chunk, chunk
+        if not core:  # no witness here: what stands between head and tail is white space
+            return head, core, tail, head, tail
         first = chunk.index(core[0], len(head)) + len(core[0])
         last = chunk.rindex(core[-1], 0, len(chunk) - len(tail))
         return head, core, tail, chunk[:first], chunk[last:]
