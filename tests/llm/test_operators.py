@@ -452,6 +452,68 @@ def test_language(docs, empty, spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows()} - {100, 101, 102, 103}
 
 
+def plain_language(labelled, texts, penalty=langid.PENALTY):
+    """(language, score) of each text: trigrams counted in dictionaries, and the best path word by word."""
+
+    def words(text):
+        return re.findall(rb"[a-z\x80-\xff]+", (text or "").lower().encode())
+
+    def grams(w):
+        padded = b" " + w + b" "
+        return [((padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2]) * 2654435761 & 0xFFFFFFFF) >> 14 for i in range(len(w))]
+
+    def script(c):
+        if ord(c) < 128:
+            return "latin" if c.isalpha() else ""
+        return next((name for at, name in reversed(langid.RANGES) if at <= ord(c)), "")
+
+    langs = sorted({lang for _, lang in labelled})
+    counts, letters = {x: Counter() for x in langs}, {x: Counter() for x in langs}
+    for text, lang in labelled:
+        for w in words(text):
+            counts[lang].update(grams(w))
+        letters[lang].update(s for s in map(script, text) if s)
+    seen = set().union(*counts.values())
+    weights = {}
+    for g in seen:
+        logs = [np.log(counts[x][g] + 0.1) - np.log(counts[x].total() + 0.1 * len(seen)) for x in langs]
+        weights[g] = [float(np.float16(np.float32(v - sum(logs) / len(logs)))) for v in logs]
+    out = []
+    for text in texts:
+        ws = words(text)
+        if not text or not any(c.isalpha() for c in text) or not ws or not langs:
+            out.append(("und", 0.0))
+            continue
+        found = {s for s in map(script, text) if s}
+        own = [i for i, x in enumerate(langs) if any(letters[x][s] >= langid.SCRIPT_SHARE * max(letters[x].total(), 1) for s in found)] or list(range(len(langs)))
+        scores = [[sum(weights[g][i] for g in grams(w) if g in weights) for i in own] for w in ws]
+        paths, now = [[i] for i in range(len(own))], scores[0]
+        for row in scores[1:]:
+            top = max(range(len(own)), key=lambda i: now[i])
+            kept = [i if now[i] >= now[top] - penalty else top for i in range(len(own))]
+            paths = [paths[k] + [i] for i, k in enumerate(kept)]
+            now = [(now[i] if k == i else now[top] - penalty) + row[i] for i, k in enumerate(kept)]
+        path = paths[max(range(len(own)), key=lambda i: now[i])]
+        share = Counter()
+        for i, w in zip(path, ws):
+            share[i] += len(w)
+        best = max(range(len(own)), key=lambda i: share[i])
+        total = [sum(row[i] for row in scores) for i in range(len(own))]
+        sure = 1 / sum(np.exp(np.clip((t - total[best]) / max(1.0, len(ws) ** 0.5), -50, 50)) for t in total)
+        out.append((langs[own[best]], share[best] / share.total() * min(1.0, sure)))
+    return out
+
+
+def test_language_equals_a_plain_version(docs):
+    data = rows()
+    labelled = [(r[1], r[2]) for r in data if r[0] is not None and r[1] is not None and r[2] is not None and zlib.crc32(str(r[0]).encode()) % 5]
+    want = plain_language(labelled, [r[1] for r in data])
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.lang_pred, round(r.score, 4)) for r in langid.language_id(docs).collect()))
+    assert [g[:3] for g in got] == [w[:3] for w in sorted((r[0] is not None, r[0] or 0, x, round(s, 4)) for r, (x, s) in zip(data, want))]
+    by = {(r.doc_id, r.lang_pred): r.score for r in langid.language_id(docs).collect() if r.doc_id is not None and r.doc_id != 5}
+    assert all(by[(r[0], x)] == pytest.approx(s, abs=1e-3) for r, (x, s) in zip(data, want) if r[0] is not None and r[0] != 5)
+
+
 def test_mixed_text_has_spans(spark):
     rnd = random.Random(3)
     say = lambda lang, n: " ".join(rnd.choice(WORDS[lang]) for _ in range(n))

@@ -79,17 +79,19 @@ FROM d JOIN g USING (body)
 
 
 OP8_SQL = r"""
-WITH l AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS th FROM documents
+), l AS (
+  SELECT rid, doc_id, th, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d
 ), k AS (
-  SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+  SELECT rid, doc_id, th, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
 ), f AS (
-  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  -- a document is a doc_id with its text: rows that repeat both are one
+  SELECT key FROM (SELECT DISTINCT key, doc_id, th FROM k WHERE length(key) >= 1) GROUP BY key HAVING count(*) >= 10
 )
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM f)) AS n_dropped,
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM f)) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE key NOT IN (SELECT key FROM f)), '')) AS kept_sha256
-FROM k GROUP BY doc_id
+FROM k GROUP BY rid
 """
 
 
