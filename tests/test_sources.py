@@ -171,6 +171,20 @@ def test_pdf():
         pdf.read(b"no such thing")
 
 
+def test_pdf_with_merged_cells_and_two_tables():
+    show = lambda x, y, t: f"BT /F1 10 Tf {x} {y} Td ({t}) Tj ET"
+    line = lambda x0, y0, x1, y1: f"{x0} {y0} m {x1} {y1} l S"
+    # above: a head over two columns, and a cell over two rows on the left; below: a plain table
+    first = [line(100, y, 400, y) for y in (700, 650, 550)] + [line(200, 600, 400, 600), line(200, 550, 200, 650)] + [line(x, 550, x, 700) for x in (100, 300, 400)]
+    second = [line(100, y, 300, y) for y in (450, 400, 350)] + [line(x, 350, x, 450) for x in (100, 200, 300)]
+    words = [show(150, 670, "head"), show(310, 670, "top"), show(110, 600, "left"), *(show(x, y, t) for x, y, t in ((210, 620, "e"), (310, 620, "f"), (210, 570, "g"), (310, 570, "h")))]
+    words += [show(100, 500, "Between"), *(show(x, y, t) for x, y, t in ((110, 420, "a"), (210, 420, "b"), (110, 370, "c"), (210, 370, "d")))]
+    doc = pdf.read(pdf_bytes(" ".join(first + second + words).encode()))
+    assert [c.get("text") or c["grid"] for c in doc.content] == [[["head", "head", "top"], ["left", "e", "f"], ["left", "g", "h"]], "Between", [["a", "b"], ["c", "d"]]]
+    assert [(c["row"], c["col"], c["row_span"], c["col_span"]) for c in doc.content[0]["cells"]] == [(0, 0, 1, 2), (0, 2, 1, 1), (1, 0, 2, 1), (1, 1, 1, 1), (1, 2, 1, 1), (2, 1, 1, 1), (2, 2, 1, 1)]
+    assert doc.first_page[0] > 0
+
+
 def test_images():
     white = np.full((60, 80, 3), 255, np.uint8)
     drawn = white.copy()

@@ -394,6 +394,37 @@ def ruled_grid(segments: list[tuple[str, float, float, float]]) -> tuple[list[fl
     return (xs, ys) if len(xs) >= 2 and len(ys) >= 2 else None
 
 
+def ruled_parts(segments: list[tuple[str, float, float, float]]) -> list[list[tuple[str, float, float, float]]]:
+    """The rules of a page by table: upright ones that reach over common heights, and the level ones there, from the top."""
+    parts: list[list[float]] = []
+    for lo, hi in sorted((lo, hi) for kind, _, lo, hi in segments if kind == "V"):
+        if parts and lo <= parts[-1][1] + NEAR:
+            parts[-1][1] = max(parts[-1][1], hi)
+        else:
+            parts.append([lo, hi])
+    return [[s for s in segments if (lo - MISS <= s[1] <= hi + MISS if s[0] == "H" else lo <= s[2] and s[3] <= hi)] for lo, hi in parts]
+
+
+def ruled_cells(xs: list[float], ys: list[float], segments: list[tuple[str, float, float, float]]) -> list[Cell]:
+    """The cells of a grid: neighbours without a rule between them are one, as far as that makes a rectangle."""
+    upright = lambda r, c: any(k == "V" and abs(at - xs[c]) <= NEAR and lo - NEAR <= (ys[r] + ys[r + 1]) / 2 <= hi + NEAR for k, at, lo, hi in segments)
+    level = lambda r, c: any(k == "H" and abs(at - ys[r]) <= NEAR and lo - NEAR <= (xs[c] + xs[c + 1]) / 2 <= hi + NEAR for k, at, lo, hi in segments)
+    rows, cols, taken, out = len(ys) - 1, len(xs) - 1, set(), []
+    for r in range(rows):
+        for c in range(cols):
+            if (r, c) in taken:
+                continue
+            wide = 1
+            while c + wide < cols and (r, c + wide) not in taken and not upright(r, c + wide):
+                wide += 1
+            high = 1
+            while r + high < rows and not any(level(r + high, k) for k in range(c, c + wide)) and not any(upright(r + high, k) for k in range(c + 1, c + wide)):
+                high += 1
+            taken |= {(i, k) for i in range(r, r + high) for k in range(c, c + wide)}
+            out.append(Cell(r, c, high, wide))
+    return out
+
+
 def text_lines(spans) -> list[tuple[float, str]]:
     """(top, text) of lines: spans at about one height, from left to right, with a blank where they stand apart."""
     rows: list[list] = []
@@ -419,20 +450,19 @@ def read(data: bytes) -> Document:
         shown = draw(pdf, page)
         if out.first_page is None:
             out.first_page = (sum(len("".join(s[4].split())) for s in shown.spans), len(shown.images))
-        grid = ruled_grid(shown.segments)
         items: list[tuple[float, int, object]] = []
         loose = shown.spans
-        if grid:
+        for part in ruled_parts(shown.segments):
+            if not (grid := ruled_grid(part)):
+                continue
             xs, ys = grid
-            inside = lambda s: xs[0] <= (s[0] + s[2]) / 2 <= xs[-1] and ys[0] <= s[1] + s[3] / 2 <= ys[-1]
-            band = lambda s: ys[0] <= s[1] + s[3] / 2 <= ys[-1]
-            cells = []
-            for r in range(len(ys) - 1):
-                for c in range(len(xs) - 1):
-                    own = [s for s in shown.spans if inside(s) and xs[c] <= (s[0] + s[2]) / 2 < xs[c + 1] and ys[r] <= s[1] + s[3] / 2 < ys[r + 1]]
-                    cells.append(Cell(r, c, 1, 1, "\n".join(t for _, t in text_lines(own))))
+            across, down = (lambda s: (s[0] + s[2]) / 2), (lambda s: s[1] + s[3] / 2)
+            cells = ruled_cells(xs, ys, part)
+            for cell in cells:
+                own = [s for s in loose if xs[cell.col] <= across(s) < xs[cell.col + cell.col_span] and ys[cell.row] <= down(s) < ys[cell.row + cell.row_span]]
+                cell.text = "\n".join(t for _, t in text_lines(own))
             items.append((ys[0], 0, cells))
-            loose = [s for s in shown.spans if not band(s)]
+            loose = [s for s in loose if not ys[0] <= down(s) <= ys[-1]]
         items += [(top, 1, text) for top, text in text_lines(loose)]
         for _, kind, item in sorted(items, key=lambda x: (x[0], x[1])):
             if kind == 0:
