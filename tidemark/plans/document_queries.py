@@ -211,6 +211,8 @@ def image_measures(spark, d):
 # ---- notices as a whole
 
 NOTICE_SQL = "n AS (SELECT o_orderkey AS doc, '고시 제' || year(o_orderdate) || '-' || o_custkey || '호' AS no, strftime(o_orderdate, '%Y-%m-%d') AS dt, o_orderpriority AS loc, o_orderstatus AS st FROM orders)"
+#: Customers as posts: a day and a place for each.
+PERMIT_SQL = NOTICE_SQL.replace("FROM orders", "FROM (SELECT c_custkey AS o_orderkey, c_nationkey AS o_custkey, CAST(DATE '1995-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS DATE) AS o_orderdate, c_mktsegment AS o_orderpriority, c_name AS o_orderstatus FROM customer)")
 META_SQL = "SELECT doc, 'BODY_AGNCY_NM' AS key, '군산지방해양수산청' AS value FROM n UNION ALL SELECT doc, 'NOTI_NO', no FROM n UNION ALL SELECT doc, 'NOTI_DT', dt FROM n UNION ALL SELECT doc, 'NOTI_PSN', '군산지방해양수산청장' FROM n"
 
 
@@ -219,10 +221,12 @@ def _notice_lines():
     return [number, F.lit("공유수면 점용ㆍ사용 허가 고시"), F.date_format("o_orderdate", "yyyy. M. d."), F.concat(F.lit("1. 위치 : "), "o_orderpriority"), F.concat(F.lit("2. 담당부서 : "), "o_orderstatus"), F.lit("군산지방해양수산청장")]
 
 
-@query(f"WITH {NOTICE_SQL} {META_SQL} UNION ALL SELECT doc, 'NOTI_TTL', '공유수면 점용ㆍ사용 허가 고시' FROM n UNION ALL SELECT doc, 'LOC', loc FROM n UNION ALL SELECT doc, '담당부서', st FROM n")
+@query(f"WITH {PERMIT_SQL} {META_SQL} UNION ALL SELECT doc, 'NOTI_TTL', '공유수면 점용ㆍ사용 허가 고시' FROM n UNION ALL SELECT doc, 'LOC', loc FROM n UNION ALL SELECT doc, '담당부서', st FROM n")
 def notices_mapped(spark, d):
     """Whole notices through extraction and mapping: what the document says of itself, known items and unknown labels."""
-    files = make.documents(_notices(read(spark, d, "orders"), F.concat("o_orderkey", F.lit(".hml")), _notice_lines()), "hml")
+    day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 3000).cast("int"))
+    rows = read(spark, d, "customer").select(F.col("c_custkey").alias("o_orderkey"), F.col("c_nationkey").alias("o_custkey"), day.alias("o_orderdate"), F.col("c_mktsegment").alias("o_orderpriority"), F.col("c_name").alias("o_orderstatus"))
+    files = make.documents(_notices(rows, F.concat("o_orderkey", F.lit(".hml")), _notice_lines()), "hml")
     return jobs.map_documents(jobs.extract(files)).values.select(F.substring_index("doc", ".", 1).cast("long").alias("doc"), "key", "value")
 
 
