@@ -4,10 +4,10 @@ Entities are found by one pattern. Each distinct one (its norm: case or separato
 meaning) gets one surrogate for the whole corpus, drawn with a key, so that mentions of the same entity stay mentions
 of the same one. A name is detected behind a title or words that introduce one; what the same text calls by it
 elsewhere goes too. A number of 13 to 19 digits in a row whose check digit is wrong is no card and stays; so do
-addresses with parts above 255. The surrogate has the type, length, letter case, separators and script of what it replaces, names also
-gender and place (first or last); cards keep a valid check digit, addresses go to reserved ranges and domains. A
-check over all entities finds surrogates that two would share, or that are somebody's real data; the later of them draw
-again, until all are distinct. Texts without entities never enter a shuffle of their own: only places and surrogates do.
+addresses with parts above 255. The surrogate has the type, letter case, separators and script of what it replaces;
+names keep gender and place (first or last), all others their length; cards keep a valid check digit, addresses go to
+reserved ranges and domains. A check over all entities finds surrogates that two would share, or that are somebody's
+real data; the later of them draw again, until all are distinct. Texts without entities never enter a shuffle of their own: only places and surrogates do.
 """
 
 from __future__ import annotations
