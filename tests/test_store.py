@@ -142,3 +142,44 @@ def test_characters_of_hwp3():
     assert [got[c] for c in (0x41, 0x4000, 0x4000 + 4887, 0x3013, 0x301C, 0x301D, 0x2F00, 0x2F06, 0x81, 0x84, 0x309B, 0x309D, 0x37C0, 0x37C5, 0x1F01, 0x1F61)] == ["A", "伽", "詰", "+", "-", "|", "□", "■", '"', "'", "｢", "｣", "한", "터", "ぁ", "ァ"]
     assert all(got[c] == "□" for c in (0x4000 + 4888, 0x7FFF, 0x2F09, 0x34C0, 0x2020))
     assert got[0x3401] == bytes((0xA1, 0xA1)).decode("euc_kr") and got[0x3400 + 9 * 0x60 + 1] == bytes((0xAC, 0xA1)).decode("euc_kr")
+
+
+def test_jdbc_there_and_back(spark):
+    """Spark's own embedded database stands in for a server."""
+    from tidemark.operators import sinks
+
+    url, driver = "jdbc:derby:memory:tidemark;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    df = spark.range(1000).selectExpr("cast(id AS int) AS NOTI_SN", "concat('n', id) AS BBS_TTL").repartition(9)
+    sinks.write_jdbc(df, url, "POSTS", driver=driver)
+    back = sinks.read_jdbc(spark, url, "POSTS", "NOTI_SN", 4, driver=driver)
+    assert back.rdd.getNumPartitions() == 4 and rows(back, "NOTI_SN", "BBS_TTL") == sorted((i, f"n{i}") for i in range(1000))
+    sinks.write_jdbc(df.limit(0), url, "NOTHING", driver=driver)
+    assert sinks.read_jdbc(spark, url, "NOTHING", "NOTI_SN", driver=driver).count() == 0
+
+
+def test_tables_are_made_once(spark, tmp_path, monkeypatch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS notices LOCATION '{tmp_path}/notices'")
+    for _ in range(2):
+        warehouse.create_tables(spark, "notices")
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN notices").collect()} == {t.lower() for t in warehouse.TABLES}
+    got = {r.col_name: r.data_type for r in spark.sql("DESCRIBE notices.OS_ATCH_FILE_DTL").collect()}
+    assert got["NOTI_SN"] == "int" and got["NOTI_DT"] == "date" and list(got) == [c[0] for c in warehouse.columns("OS_ATCH_FILE_DTL")]
+    spark.sql("DROP DATABASE notices CASCADE")
+
+
+def test_settings(tmp_path, monkeypatch):
+    (tmp_path / ".env").write_text("# a comment\nexport OCR_COMMAND='from env file'\n")
+    (tmp_path / "application.properties").write_text("ocr.command=from properties\nload.max-body-chars = 7\n")
+    files = (str(tmp_path / ".env"), str(tmp_path / "application.properties"))
+    assert jobs.setting("ocr.command", "x", files) == "from env file" and jobs.setting("load.max-body-chars", "x", files) == "7" and jobs.setting("none.such", "x", files) == "x"
+    monkeypatch.setenv("OCR_COMMAND", "from the environment")
+    assert jobs.setting("ocr.command", "x", files) == "from the environment"
+
+
+def test_reserved_and_long_names(spark):
+    from tidemark.operators import governance
+
+    words = spark.createDataFrame([("NM", "name", "D_NM"), ("ORDER", "order", "D_NM")], "word string, meaning string, domain string")
+    names = spark.createDataFrame([("ORDER", "D_NM"), ("_".join(["NM"] * 11), "D_NM"), ("NM", "D_NM")], "name string, domain string")
+    got = {r.name[:5]: r.violations for r in governance.name_violations(names, words).collect()}
+    assert got == {"ORDER": ["reserved"], "NM_NM": ["longer than 30"], "NM": []}

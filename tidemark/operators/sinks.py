@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,15 @@ def summary_text(totals: DataFrame) -> DataFrame:
     return totals.select(F.explode(F.array(*[F.concat_ws(": ", F.lit(c), F.col(c).cast("string")) for c in cols])).alias("line"))
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 1000, connections: int = 5) -> None:
+def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 1000, connections: int = 5, **options: str) -> None:
     """Appends to a database's table over at most so many connections at once."""
-    df.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, batchsize=batch).mode("append").save()
+    df.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, batchsize=batch, **options).mode("append").save()
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, key: str, parts: int = 5, **options: str) -> DataFrame:
+    """A database's table in parts by ranges of a number column, over one connection a part; its least and greatest are asked first."""
+    read = lambda **how: spark.read.format("jdbc").options(url=url, **options, **how).load()
+    ends = read(query=f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}").first()
+    if ends[0] is None:
+        return read(dbtable=table)
+    return read(dbtable=table, partitionColumn=key, lowerBound=int(ends[0]), upperBound=int(ends[1]) + 1, numPartitions=parts)

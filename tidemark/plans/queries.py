@@ -698,10 +698,14 @@ def event_sessions(spark, d):
 # ---- names, sheets, sinks
 
 
-@query("""SELECT * FROM (VALUES ('INSTT_NM', ''), ('NOTI_XYZ', 'unknown word XYZ,no classifier at the end: XYZ'), ('NOTI_DT', 'domain should be D_DT'), ('ORDER', 'unknown word ORDER,no classifier at the end: ORDER,reserved')) t(name, violations)""")
+@query("""SELECT CASE WHEN c_custkey % 5 = 0 THEN 'INSTT_NM_' || c_custkey || '_NM' WHEN c_custkey % 5 = 1 THEN 'C' || c_custkey || '_DT' WHEN c_custkey % 5 = 2 THEN 'C' || c_custkey || '_XYZ' ELSE 'C' || c_custkey || '_NM' END AS name,
+  CASE WHEN c_custkey % 5 = 0 THEN 'unknown word ' || c_custkey WHEN c_custkey % 5 = 1 THEN 'unknown word C' || c_custkey || ',domain should be D_DT' WHEN c_custkey % 5 = 2 THEN 'unknown word C' || c_custkey || ',unknown word XYZ,no classifier at the end: XYZ' ELSE 'unknown word C' || c_custkey END AS violations FROM customer""")
 def name_governance(spark, d):
+    """Names of columns: words that the standard lacks, ends that classify nothing, and domains that are not their last word's."""
     words = spark.createDataFrame([("INSTT", "agency", None), ("NOTI", "notice", None), ("NM", "name", "D_NM"), ("DT", "date", "D_DT")], "word string, meaning string, domain string")
-    names = spark.createDataFrame([("INSTT_NM", "D_NM"), ("NOTI_XYZ", "D_NM"), ("NOTI_DT", "D_NM"), ("ORDER", "D_NM")], "name string, domain string")
+    k, own = F.col("c_custkey") % 5, F.concat(F.lit("C"), "c_custkey")
+    name = F.when(k == 0, F.concat(F.lit("INSTT_NM_"), "c_custkey", F.lit("_NM"))).when(k == 1, F.concat(own, F.lit("_DT"))).when(k == 2, F.concat(own, F.lit("_XYZ"))).otherwise(F.concat(own, F.lit("_NM")))
+    names = read(spark, d, "customer").select(name.alias("name"), F.lit("D_NM").alias("domain"))
     return governance.name_violations(names, words).select("name", F.array_join("violations", ",").alias("violations"))
 
 
