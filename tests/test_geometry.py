@@ -1,5 +1,7 @@
 """Rules and tiles on pages, and tables in markup."""
 
+import time
+
 from tidemark.operators import geometry, render
 
 
@@ -30,3 +32,14 @@ def test_html_tables():
 
 def test_documents():
     assert "| LOC |" in render.item_document() and "매립+준공" in render.type_document()
+
+
+def test_tiles_of_a_large_page_merge_in_time(spark):
+    n = 6000  # in two columns; comparing all with all again after each merge took minutes
+    rows = [(1, i, i % 2 * 100.0, i // 2 * 50.0, i % 2 * 100 + 100.0, i // 2 * 50 + 50.0, 200, 100) for i in range(n)]
+    tiles = spark.createDataFrame(rows, "page long, id long, x0 double, y0 double, x1 double, y1 double, width long, height long")
+    began = time.time()
+    (whole,) = geometry.merge_tiles(tiles, max_pixels=1 << 40).collect()
+    assert (whole.ids, whole.width, whole.height) == (list(range(n)), 400, n // 2 * 100) and time.time() - began < 20
+    limited = geometry.merge_tiles(tiles, max_pixels=4_000_000).collect()
+    assert max(r.width * r.height for r in limited) == 4_000_000 and sorted(i for r in limited for i in r.ids) == list(range(n))

@@ -5,11 +5,18 @@ segments(page, kind, at, lo, hi): V at x from top lo to bottom hi, H at y from l
 
 from __future__ import annotations
 
+import heapq
+import itertools
+import math
+from collections import defaultdict
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.plans.staging import spread
+
 # Fixed values, in points: how near coordinates are one, how long a rule's pieces must be together, how far it may miss.
 NEAR, V_LENGTH, H_LENGTH, MISS, LEAST = 3.0, 40.0, 100.0, 5.0, 3
 
@@ -77,33 +84,73 @@ def abutting(tiles: DataFrame, near: float = 1.0) -> DataFrame:
 def merge_tiles(tiles: DataFrame, near: float = 1.0, density_within: float = 0.02, max_pixels: int = 80_000_000) -> DataFrame:
     """tiles(page, id, x0, y0, x1, y1, width, height in pixels) merged until no two share a whole edge: page, ids, x0, y0, x1, y1, width, height.
 
-    Only tiles of one density merge, up to max_pixels; a page is a group, of the few images that a page has.
+    Only tiles of one density merge, up to max_pixels; a page is a group. The work grows with the tiles, by the edges they begin and end at.
     """
 
     def merge(table: pa.Table) -> pa.Table:
         boxes = [{**t, "ids": [t["id"]]} for t in table.to_pylist()]
-
-        def join(a, b):
-            for lo, hi, o_lo, o_hi, size, other in (("x0", "x1", "y0", "y1", "width", "height"), ("y0", "y1", "x0", "x1", "height", "width")):
+        width, reach = 8 * near or 1.0, near * 1.001  # a little more than near, for what rounding takes
+        order = lambda i: (boxes[i]["y0"], boxes[i]["x0"], boxes[i]["ids"], i)
+        cell = lambda v: math.floor(v / width)
+        near_cells = lambda v: {cell(v - reach), cell(v + reach)}
+        sides = (("x0", "x1", "y0", "y1", "width", "height"), ("y0", "y1", "x0", "x1", "height", "width"))
+        # boxes by side and the corners of the edge where they begin, and of that where they end, in cells
+        begin, end = defaultdict(dict), defaultdict(dict)
+
+        def places(i: int):
+            for k, (lo, hi, o_lo, o_hi, _, _) in enumerate(sides):
+                t = boxes[i]
+                yield begin, (k, cell(t[lo]), cell(t[o_lo]), cell(t[o_hi]))
+                yield end, (k, cell(t[hi]), cell(t[o_lo]), cell(t[o_hi]))
+
+        def put(i: int) -> None:
+            for index, at in places(i):
+                index[at][i] = None
+
+        def take(i: int) -> None:
+            for index, at in places(i):
+                del index[at][i]
+                if not index[at]:
+                    del index[at]
+
+        def beside(index: dict, i: int, mine: int):
+            """Boxes of an index whose edge may be the one of box i at its end (mine 1) or its beginning (0)."""
+            for k, side in enumerate(sides):
+                for at in itertools.product(*(near_cells(boxes[i][side[c]]) for c in (mine, 2, 3))):
+                    yield from (j for j in index.get((k, *at), ()) if j != i)
+
+        def joined(a, b):
+            for lo, hi, o_lo, o_hi, size, other in sides:
                 if abs(a[hi] - b[lo]) <= near and abs(a[o_lo] - b[o_lo]) <= near and abs(a[o_hi] - b[o_hi]) <= near:
                     da, db = a[size] / max(a[hi] - a[lo], 1e-9), b[size] / max(b[hi] - b[lo], 1e-9)
                     whole = {size: a[size] + b[size], other: max(a[other], b[other])}
                     if abs(da - db) <= density_within * max(da, db) and whole[size] * whole[other] <= max_pixels:
-                        return {**a, hi: b[hi], **whole, "ids": a["ids"] + b["ids"]}
+                        return {hi: b[hi], **whole}
             return None
 
-        changed = True
-        while changed:
-            changed = False
-            boxes.sort(key=lambda t: (t["y0"], t["x0"], t["ids"]))
-            for i, a in enumerate(boxes):
-                j = next((j for j, b in enumerate(boxes) if j != i and join(a, b)), None)
-                if j is not None:
-                    boxes[i] = join(a, boxes[j])
-                    del boxes[j]
-                    changed = True
-                    break
+        # the first box in order that has a partner takes the first that it has; only those beside a box that has grown are asked again
+        for i in range(len(boxes)):
+            put(i)
+        todo, waits, alive = [order(i) for i in range(len(boxes))], [True] * len(boxes), [True] * len(boxes)
+        heapq.heapify(todo)
+        while todo:
+            i = heapq.heappop(todo)[-1]
+            waits[i] = False
+            j = min((j for j in beside(begin, i, 1) if joined(boxes[i], boxes[j])), key=order, default=None) if alive[i] else None
+            if j is None:
+                continue
+            take(i)
+            take(j)
+            boxes[i].update(joined(boxes[i], boxes[j]))
+            boxes[i]["ids"].extend(boxes[j]["ids"])
+            alive[j] = False
+            put(i)
+            for k in {i, *beside(end, i, 0)}:
+                if not waits[k]:
+                    waits[k] = True
+                    heapq.heappush(todo, order(k))
+        boxes = sorted((b for b, there in zip(boxes, alive) if there), key=lambda t: (t["y0"], t["x0"], t["ids"]))
         names = ("page", "ids", "x0", "y0", "x1", "y1", "width", "height")
         return pa.Table.from_pylist([{n: b[n] for n in names} for b in boxes], schema=pa.schema([("page", pa.int64()), ("ids", pa.list_(pa.int64())), *[(n, pa.float64()) for n in names[2:6]], ("width", pa.int64()), ("height", pa.int64())]))
 
-    return tiles.groupBy("page").applyInArrow(merge, "page bigint, ids array<bigint>, x0 double, y0 double, x1 double, y1 double, width bigint, height bigint")
+    return spread(tiles, "page").groupBy("page").applyInArrow(merge, "page bigint, ids array<bigint>, x0 double, y0 double, x1 double, y1 double, width bigint, height bigint")

@@ -411,8 +411,8 @@ def tile_pairs(spark, d):
 
 @query(f"""WITH {TILES}, p AS (SELECT page, count(*) AS n FROM t GROUP BY 1) SELECT page, 400 AS width, n // 2 * 100 AS height, n // 2 * 2 AS tiles FROM p WHERE n >= 2 UNION ALL SELECT page, 200, 100, 1 FROM p WHERE n % 2 = 1""")
 def tile_merge(spark, d):
-    """All full rows of tiles become one picture; a tile that is left alone stays."""
-    out = geometry.merge_tiles(_tiles(spark, d))
+    """All full rows of tiles become one picture, however high; a tile that is left alone stays."""
+    out = geometry.merge_tiles(_tiles(spark, d), max_pixels=sys.maxsize)
     return out.select(F.col("page").cast("int").alias("page"), F.col("width").cast("int").alias("width"), F.col("height").cast("long").alias("height"), F.size("ids").cast("long").alias("tiles"))
 
 

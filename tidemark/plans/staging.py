@@ -28,3 +28,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt out by columns in tasks for all cores: a small file of rows that each cost much would be one task's.
+
+    The number is given, so that Spark does not put the few bytes together again.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *by)
