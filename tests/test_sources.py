@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.sources import hwp3, hwp5, images, pdf, xml_documents
+from tidemark.sources import hwp3, hwp5, images, make, pdf, xml_documents
 from tidemark.sources import read as R
 from tidemark.sources.compound import BrokenContainer, CompoundFile
 from tidemark.sources.document import reader_for
@@ -247,3 +247,16 @@ def test_json(spark, tmp_path):
     (tmp_path / "b.json").write_text("{broken")
     good, bad = R.read_json(spark, str(tmp_path))
     assert good.count() == 1 and bad.count() == 1
+
+
+def test_small_rows_are_read_in_many_tasks(spark):
+    rows = spark.range(0, 700, 1, 1).selectExpr("concat(id, '.hml') AS path", "array(if(id = 300, repeat('x', 1200000), 'text')) AS texts", "CAST(NULL AS array<array<string>>) AS cells", "CAST(NULL AS binary) AS picture")
+    files = make.documents(rows, "hml")
+    assert files.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism  # one task read them all
+    for raw in (R.read_documents(files), R.read_documents(files.coalesce(1))):  # some in a batch, the large one ends its own
+        assert raw.where("error IS NULL").select("atch_file_path").distinct().count() == raw.count() == 700
+
+
+def test_pdf_tokens():
+    text = b"%c(\n<</Na#20me/>>[(a(b)\\)c\\12)( x)<41 4>-.5 3. 12]Tj )<zz%(end\nR (open"
+    assert [t for t, _ in pdf.tokens(text)] == ["<<", "Na me", "", ">>", "[", b"a(b))c\n", b" x", b"A@", -0.5, 3.0, 12, "]", "Tj", "zz", "R", b"open"]

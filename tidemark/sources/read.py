@@ -23,6 +23,8 @@ from tidemark.sources.sniff import document_format, extension, routing_key
 READ_SCHEMA = RAW_SCHEMA + ", extc_engn_nm string, text_chars bigint, n_images int, protection string, error string, message string, sniffed string"
 #: Seconds that an OCR run may take.
 OCR_SECONDS = 3600
+#: Documents, and characters of them, that leave a worker together.
+BATCH_ROWS, BATCH_CHARS = 256, 1 << 20
 
 
 def protection_of(key: str, data: bytes) -> str | None:
@@ -135,10 +137,16 @@ def read_documents(files: DataFrame, engine: str | None = None, ocr_command: lis
 
     def run(batches):
         save = saver(image_folder) if image_folder else None
+        rows, chars = [], 0
         for b in batches:
             for path, data, key, ext, fmt in zip(*b.columns):
-                row = read_one(path.as_py(), data.as_py() or b"", key.as_py() or "", ext.as_py() or "", engine, ocr, save) | {"sniffed": fmt.as_py()}
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
+                rows.append(read_one(path.as_py(), data.as_py() or b"", key.as_py() or "", ext.as_py() or "", engine, ocr, save) | {"sniffed": fmt.as_py()})
+                chars += rows[-1]["text_chars"]
+                if len(rows) >= BATCH_ROWS or chars >= BATCH_CHARS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, chars = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     keyed = files.select("path", "content", routing_key("content", "path").alias("key"), extension("path").alias("ext"), document_format("content").alias("fmt"))
     return keyed.mapInArrow(run, READ_SCHEMA)
