@@ -79,3 +79,12 @@ def test_load(spark, mapped):
 
 def test_schemas_fit():
     assert READ_SCHEMA.startswith(RAW_SCHEMA)
+
+
+def test_documents_of_queries_are_parsed_once(spark, sf, monkeypatch):
+    from tidemark.plans import document_queries
+
+    real, plans = jobs.map_documents, []
+    monkeypatch.setattr(jobs, "map_documents", lambda raw, *a: plans.append(raw._jdf.queryExecution().toString()) or real(raw, *a))
+    assert document_queries.notices_mapped(spark, sf).count() == 7 * spark.read.parquet(f"{sf}/customer.parquet").count()
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]  # every branch of the mapping read the documents anew

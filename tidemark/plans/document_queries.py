@@ -227,7 +227,7 @@ def notices_mapped(spark, d):
     day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 3000).cast("int"))
     rows = read(spark, d, "customer").select(F.col("c_custkey").alias("o_orderkey"), F.col("c_nationkey").alias("o_custkey"), day.alias("o_orderdate"), F.col("c_mktsegment").alias("o_orderpriority"), F.col("c_name").alias("o_orderstatus"))
     files = make.documents(_notices(rows, F.concat("o_orderkey", F.lit(".hml")), _notice_lines()), "hml")
-    return jobs.map_documents(jobs.extract(files)).values.select(F.substring_index("doc", ".", 1).cast("long").alias("doc"), "key", "value")
+    return jobs.mapped_parts(jobs.extract(files))[0].values.select(F.substring_index("doc", ".", 1).cast("long").alias("doc"), "key", "value")
 
 
 @query(f"WITH {NOTICE_SQL} {META_SQL} UNION ALL SELECT doc, 'NOTI_TTL', CASE doc % 3 WHEN 0 THEN loc WHEN 1 THEN '공유수면 점용ㆍ사용 허가 고시' END FROM n")
@@ -271,7 +271,7 @@ def record_assembly(spark, d):
     s = read(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("rows"))
     cells = F.concat(F.array(F.array(F.lit("성명"), F.lit("면적"))), F.transform("rows", lambda r: F.array(r["s_name"], r["s_suppkey"].cast("string"))))
     files = make.documents(_notices(s, F.concat("s_nationkey", F.lit(".hwpx")), [F.concat(F.lit("고시 제"), "s_nationkey", F.lit("호")), F.lit("1. 목적 : 양식")], cells), "hwpx")
-    values = jobs.map_documents(jobs.extract(files)).values
+    values = jobs.mapped_parts(jobs.extract(files))[0].values
     nth = F.dense_rank().over(Window.partitionBy("doc").orderBy("record")).cast("int")
     return values.select(F.substring_index("doc", ".", 1).cast("int").alias("doc"), nth.alias("dsps"), "key", "value")
 
