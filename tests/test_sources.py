@@ -260,3 +260,13 @@ def test_small_rows_are_read_in_many_tasks(spark):
 def test_pdf_tokens():
     text = b"%c(\n<</Na#20me/>>[(a(b)\\)c\\12)( x)<41 4>-.5 3. 12]Tj )<zz%(end\nR (open"
     assert [t for t, _ in pdf.tokens(text)] == ["<<", "Na me", "", ">>", "[", b"a(b))c\n", b" x", b"A@", -0.5, 3.0, 12, "]", "Tj", "zz", "R", b"open"]
+
+
+def test_broken_files_are_read_in_many_tasks(spark, sf, monkeypatch):
+    from tidemark import jobs
+    from tidemark.plans import document_queries
+
+    real, parts = jobs.extract, []
+    monkeypatch.setattr(jobs, "extract", lambda files: parts.append(files.rdd.getNumPartitions()) or real(files))
+    assert document_queries.broken_files(spark, sf).count() == spark.read.parquet(f"{sf}/part.parquet").count()
+    assert parts[0] >= 4 * spark.sparkContext.defaultParallelism

@@ -14,7 +14,7 @@ from tidemark import jobs
 from tidemark.functions import text as T
 from tidemark.operators import geometry, keys, lines, sinks, survey, views, warehouse
 from tidemark.plans.queries import query, read
-from tidemark.plans.staging import folder, staged
+from tidemark.plans.staging import folder, spread, staged
 from tidemark.sources import images, make, sniff
 from tidemark.sources import read as R
 from tidemark.streaming import ingest
@@ -91,7 +91,8 @@ def broken_files(spark, d):
     kind = (F.col("p_partkey") % 6 + 1).cast("int")
     ext = F.element_at(F.array(*map(F.lit, ("hwp", "hwpx", "pdf", "hml", "doc", "hml"))), kind)
     data = F.when(kind == 4, "").when(kind == 6, "<?xml version='1.0'?><HWPML><open").otherwise(F.col("p_name"))
-    raw = staged(jobs.extract(read(spark, d, "part").select(F.concat("p_partkey", F.lit("_1_x."), ext).alias("path"), F.encode(data, "UTF-8").alias("content"))), "raw")
+    files = read(spark, d, "part").select(F.concat("p_partkey", F.lit("_1_x."), ext).alias("path"), F.encode(data, "UTF-8").alias("content"))
+    raw = staged(jobs.extract(spread(files, "path")), "raw")
     found = jobs.failures_of(raw).select(F.col("NOTI_SN").cast("long").alias("p_partkey"), "kind", "file_path")
     told = raw.select(*sinks.failure_row("extract"))
     return found.join(told, found.file_path == told.file).select("p_partkey", "kind", "stage", "ext")
