@@ -77,3 +77,10 @@ def test_yes_no(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
     assert [r[0] for r in df.select(T.yes_no("b")).collect()] == ["Y", "N", "N"]
     assert df.select(T.is_yes(F.lit("Y"))).first()[0] is True
+
+
+def test_title_is_normalised_once(spark):
+    from tidemark.operators.classify import classify_title
+
+    plan = spark.createDataFrame([("공유수면 점용ㆍ사용 허가",)], "title string").select(classify_title("title"))._jdf.queryExecution().toString().lower()
+    assert "contains(" in plan and "contains(regexp_replace" not in plan  # once for each word of each rule

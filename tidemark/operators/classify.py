@@ -18,5 +18,6 @@ def rule_array(found: list[NoticeType]) -> Column:
 def classify_title(title: Column | str, found: list[NoticeType] | None = None, normal: bool = False) -> Column:
     """The code of the first rule whose words the title has; null for none or a blank title. normal: the title is normalised already."""
     text = (F.col(title) if isinstance(title, str) else title) if normal else T.normalise_title(title)
-    hits = F.filter(rule_array(found or types()), lambda r: F.forall(r["words"], lambda w: F.contains(text, w)))
-    return F.when(~T.is_blank(title), F.get(hits, F.lit(0))["code"])
+    # the text is made once for a title, not once for each word of each rule
+    hits = lambda t: F.filter(rule_array(found or types()), lambda r: F.forall(r["words"], lambda w: F.contains(t, w)))
+    return F.when(~T.is_blank(title), F.get(T.let(text, hits), F.lit(0))["code"])
