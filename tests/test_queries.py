@@ -1,11 +1,12 @@
 """Every query with SQL gives what DuckDB gives on the same files."""
 
 import decimal
+import re
 
 import duckdb
 import pytest
 
-from tidemark.plans import document_queries  # noqa: F401
+from tidemark.plans import document_queries, staging  # noqa: F401
 from tidemark.plans.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -32,3 +33,11 @@ def test_query_matches_sql(spark, sf, duck, name):
     want = duck.sql(ORACLES[name])
     assert sorted(want.columns) == cols
     assert got == sorted((tuple(plain(r[want.columns.index(c)]) for c in cols) for r in want.fetchall()), key=repr)
+
+
+@pytest.mark.parametrize("name", ["replace_attachment", "span_owner", "consecutive_dedupe", "disposition_pairs"])
+def test_tasks_grow_in_number_not_in_size(spark, sf, monkeypatch, name):
+    monkeypatch.setattr(staging, "TASK_BYTES", 4000)
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    found = [int(n) for n in re.findall(r"RepartitionByExpression .*, (\d+)", plan)]
+    assert found and min(found) > 8  # 4 shuffle partitions held all that a larger table has

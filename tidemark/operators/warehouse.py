@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from tidemark.functions import text as T
 from tidemark.operators.store import Store
 from tidemark.plans.dictionaries import item_dim, type_dim
-from tidemark.plans.staging import staged
+from tidemark.plans.staging import staged, task_count
 
 # The domains' limits and the tables' columns (name, domain, whether it may be null), keys first.
 TEXT_LIMITS = {"NO": 50, "CD": 25, "NM": 300, "TTL": 500, "PATH": 1000, "DSCR": 1000, "SE": 4, "ID": 20, "URL": 2000}
@@ -136,11 +136,14 @@ def delete_cascade(tables: dict[str, DataFrame], table: str, gone: DataFrame) ->
 
 def replace_attachments(tables: dict[str, DataFrame], came: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables with attachments replaced, each with all its children; those of the same post that did not come stay."""
-    slots = came["OS_ATCH_FILE_DTL"].select(*ATTACHMENT).distinct()
+    names = ("OS_ATCH_FILE_DTL", *CHILDREN)
+    n = task_count(*(tables[x] for x in names), *(came[x] for x in names if x in came))
+    dealt = lambda df: df.repartition(n, *ATTACHMENT)  # noqa: E731  all alike, so that they meet without another shuffle
+    slots = dealt(came["OS_ATCH_FILE_DTL"].select(*ATTACHMENT)).distinct()
     out = dict(tables)
-    for name in ("OS_ATCH_FILE_DTL", *CHILDREN):
-        kept = tables[name].join(slots, ATTACHMENT, "left_anti")
-        out[name] = kept.unionByName(came[name], allowMissingColumns=True) if name in came else kept
+    for name in names:
+        kept = dealt(tables[name]).join(slots, ATTACHMENT, "left_anti")
+        out[name] = kept.unionByName(dealt(came[name]), allowMissingColumns=True) if name in came else kept
     return out
 
 

@@ -37,3 +37,22 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     """
     spark = df.sparkSession
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *by)
+
+
+#: Bytes of input files for a task of sized().
+TASK_BYTES = 4 << 20
+
+
+def task_count(*dfs: DataFrame) -> int:
+    """spark.sql.shuffle.partitions, or more where the files that the plans read are large."""
+    total = 0
+    for df in dfs:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        total = max(total, sum(s for s in sizes if s < 1 << 50))  # what Spark has no size of says 2 ** 63
+    return max(int(dfs[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+
+
+def sized(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt out by columns in as many tasks as its input asks for, so that what one of them sorts does not grow with it."""
+    return df.repartition(task_count(df), *by)
