@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
 from tidemark.operators.lines import label_pairs, with_items
-from tidemark.plans.staging import staged
+from tidemark.plans.staging import sized, staged
 
 TABLE = ["doc", "tbl"]
 ROW = ["doc", "tbl", "row"]
@@ -49,7 +49,7 @@ def dedupe_neighbours(cells: DataFrame) -> DataFrame:
 
 def span_owners(spans: DataFrame) -> DataFrame:
     """owners(doc, tbl, row, col, owner) of tables that have a merged cell: each coordinate's cell, where cells lie over one another the last drawn."""
-    merged = spans.withColumn("merged", F.max(((F.col("row_span") > 1) | (F.col("col_span") > 1)).cast("int")).over(Window.partitionBy(*TABLE))).where("merged = 1")
+    merged = sized(spans, *TABLE).withColumn("merged", F.max(((F.col("row_span") > 1) | (F.col("col_span") > 1)).cast("int")).over(Window.partitionBy(*TABLE))).where("merged = 1")
     owner = F.struct(F.col("row").alias("r"), F.col("col").alias("c"))
     down = merged.select(*TABLE, owner.alias("owner"), "col", "col_span", F.explode(F.expr("sequence(row, row + greatest(row_span, 1) - 1)")).alias("row"))
     each = down.select(*TABLE, "owner", "row", F.explode(F.expr("sequence(col, col + greatest(col_span, 1) - 1)")).alias("col"))
