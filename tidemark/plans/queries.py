@@ -17,6 +17,7 @@ from tidemark.operators import geometry, governance, grid, keys, lines, records,
 from tidemark.operators.classify import classify_title
 from tidemark.plans import dictionaries
 from tidemark.plans.dictionaries import NoticeType
+from tidemark.plans.staging import sized
 from tidemark.sources import crawl, sniff
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -365,7 +366,7 @@ def image_sniff(spark, d):
 
 def _line_cells(spark, d):
     """An order's lines as a table: part, quantity, flag; every third line is empty."""
-    li = read(spark, d, "lineitem").withColumn("row", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")) - 1)
+    li = sized(read(spark, d, "lineitem"), "l_orderkey").withColumn("row", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")) - 1)
     shown = lambda c: F.when(F.col("row") % 3 == 2, "").otherwise(F.col(c).cast("string"))
     texts = F.array(shown("l_returnflag"), F.lit(" "), shown("l_linestatus"), shown("l_suppkey"))
     return li.select(F.col("l_orderkey").alias("doc"), F.lit(0).alias("tbl"), "row", F.posexplode(texts).alias("col", "text"))
