@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
+from tidemark.plans.staging import sized
 
 ATTACHMENT = ["NOTI_SN", "ATCH_SN"]
 CORE = ("LOC", "AREA", "PRPS", "APLC_NM", "WORK_PRD", "APLC_ADDR")
@@ -135,6 +136,7 @@ def overlapping(values: DataFrame, files: DataFrame, low: str, high: str, code:
 def paired_values(items: DataFrame, code: str, where_code: str, where_value: str) -> DataFrame:
     """Values of one item in the dispositions in which another has a given value."""
     slot = [*ATTACHMENT, "DSPS_SN"]
+    items = sized(items, *slot)
     at = items.where((F.col("NOTI_ITEM_CD") == where_code) & (F.col("ITEM_VAL_CTNT") == where_value)).select(*slot).distinct()
     return items.where(F.col("NOTI_ITEM_CD") == code).join(at, slot, "left_semi")
 

@@ -14,7 +14,7 @@ from tidemark import jobs
 from tidemark.functions import text as T
 from tidemark.operators import geometry, keys, lines, sinks, survey, views, warehouse
 from tidemark.plans.queries import query, read
-from tidemark.plans.staging import folder, spread, staged
+from tidemark.plans.staging import folder, sized, spread, staged
 from tidemark.sources import images, make, sniff
 from tidemark.sources import read as R
 from tidemark.streaming import ingest
@@ -429,7 +429,7 @@ def disposition_pairs(spark, d):
     li = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("NOTI_SN"), F.col("l_linenumber").alias("ATCH_SN"), F.col("l_suppkey").cast("int").alias("DSPS_SN"), "l_returnflag", F.col("l_quantity").cast("long").alias("q"))
     one = lambda code, v: F.struct(F.lit(code).alias("NOTI_ITEM_CD"), v.cast("string").alias("ITEM_VAL_CTNT"))
     # of an attachment's lines with one supplier, those returned are a disposition at one place
-    at = li.groupBy("NOTI_SN", "ATCH_SN", "DSPS_SN", "l_returnflag").agg(F.max("q").alias("q"))
+    at = sized(li, "NOTI_SN", "ATCH_SN", "DSPS_SN").groupBy("NOTI_SN", "ATCH_SN", "DSPS_SN", "l_returnflag").agg(F.max("q").alias("q"))
     only = at.where("l_returnflag = 'R'").unionByName(at.where("l_returnflag <> 'R'").withColumn("DSPS_SN", -F.col("DSPS_SN") - F.ascii("l_returnflag") * 1000000))
     items = only.select("NOTI_SN", "ATCH_SN", "DSPS_SN", F.explode(F.array(one("LOC", F.col("l_returnflag")), one("AREA", F.col("q")))).alias("e")).select("NOTI_SN", "ATCH_SN", "DSPS_SN", "e.*")
     out = views.paired_values(items, "AREA", "LOC", "R")
