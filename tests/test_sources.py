@@ -270,3 +270,12 @@ def test_broken_files_are_read_in_many_tasks(spark, sf, monkeypatch):
     monkeypatch.setattr(jobs, "extract", lambda files: parts.append(files.rdd.getNumPartitions()) or real(files))
     assert document_queries.broken_files(spark, sf).count() == spark.read.parquet(f"{sf}/part.parquet").count()
     assert parts[0] >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_elements_are_found_by_local_names():
+    """Tags lose their namespaces once, not at each look for them; what is found is the same in any prefix."""
+    root = xml_documents.parse_xml(b'<a:sec xmlns:a="x" xmlns="y"><a:p><run/></a:p></a:sec>')
+    assert [e.tag for e in root.iter()] == ["sec", "p", "run"]
+    data = make.hml(["one"], [["k", "v"]], b"").replace(b"<HWPML>", b'<HWPML xmlns="urn:h">')
+    got = reader_for("hml")(data)
+    assert [c.get("text") or c["grid"] for c in got.content] == ["one", [["k", "v"]]]
