@@ -84,3 +84,16 @@ def test_title_is_normalised_once(spark):
 
     plan = spark.createDataFrame([("공유수면 점용ㆍ사용 허가",)], "title string").select(classify_title("title"))._jdf.queryExecution().toString().lower()
     assert "contains(" in plan and "contains(regexp_replace" not in plan  # once for each word of each rule
+
+
+def test_values_behind_colons_are_the_patterns(spark):
+    """What stands behind the first colon is the pattern's second group, in odd line ends too; a pair is made once."""
+    from tidemark.operators import lines
+
+    texts = ["1. 위치 : 부산", "가. 면적： 3 : 4", "목적:", "a:\u3000 b ", "a : b\u2028", "a:b\u0085", "a:\u2028b", "a:b\rc", "\u3000a\u00a0:\u00a0b", "①값:\tx\ty", "a:b\r"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").where(T.is_label_line("text"))
+    got = df.select("text", T.trim_control(T.behind_colon("text")).alias("a"), T.trim_control(F.regexp_extract("text", T.LABEL_LINE, 2)).alias("b")).collect()
+    assert len(got) >= 8 and [r.a for r in got] == [r.b for r in got]
+    assert spark.createDataFrame([("\x01 a\u2028\x00",), (" \u3000 ",)], "t string").select(T.trim_control("t")).collect() == [("a\u2028",), ("\u3000",)]
+    pairs = lines.label_pairs(df.select(F.lit(1).alias("doc"), F.col("i").alias("line_no"), "text"))
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("^\\s*(?:[-–—·o○]\\s*)?(?:\\d{1,2}\\s*[.)]|[가-힣]\\s*[.)]|[①-⑳㉮-㉻])?\\s*([^:：]{1,40}?)\\s*[:：]\\s*(.*)$, 1") == 1

@@ -18,6 +18,8 @@ LINE_NUMBER = rf"^\s*(?:{BULLET}\s*)?(\d{{1,2}})\s*[.)]"
 #: White space as the loader counts it: without no-break spaces.
 SPACES = r"\s\x1C-\x1F\u1680\u2000-\u2006\u2008-\u200A\u2028\u2029\u205F\u3000"
 BLANK = r"[\s\u00A0\u3000]+"
+#: The characters that trimming takes away.
+CONTROL = "".join(map(chr, range(0x20, -1, -1)))
 DATE_KOREAN = r"(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일"
 DATE_NUMERIC = r"(\d{4})\s*[.\-/]\s*(\d{1,2})\s*[.\-/]\s*(\d{1,2})\s*\.?"
 DATE_SHORT = r"[’'`]\s*(\d{2})\s*[.\-/]\s*(\d{1,2})\s*[.\-/]\s*(\d{1,2})\s*\.?"
@@ -44,7 +46,7 @@ def _col(c: Column | str) -> Column:
 
 def trim_control(c: Column | str) -> Column:
     """Without the characters up to U+0020 at both ends."""
-    return F.regexp_replace(_col(c), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(_col(c), F.lit(CONTROL))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -98,7 +100,18 @@ def inner_part(label: Column | str) -> Column:
 
 def is_label_line(c: Column | str) -> Column:
     # a look for the colon first: most lines have none
-    return F.coalesce(F.when(_col(c).rlike("[:：]"), _col(c).rlike(LABEL_LINE)), F.lit(False))
+    colon = F.contains(_col(c), F.lit(":")) | F.contains(_col(c), F.lit("："))
+    return F.coalesce(F.when(colon, _col(c).rlike(LABEL_LINE)), F.lit(False))
+
+
+def behind_colon(c: Column | str) -> Column:
+    """The value of a label line, the second group of its pattern but for blanks before it: the pattern's colon is the first.
+
+    Only a line terminator that Java ends a text before needs the pattern itself.
+    """
+    text = _col(c)
+    odd = F.contains(text, F.lit("\u0085")) | F.contains(text, F.lit("\u2028")) | F.contains(text, F.lit("\u2029"))
+    return F.when(odd, F.regexp_extract(text, LABEL_LINE, 2)).otherwise(F.substr(text, F.instr(F.translate(text, "：", ":"), ":") + 1))
 
 
 def line_number(c: Column | str) -> Column:

@@ -32,18 +32,18 @@ def label_pairs(lines: DataFrame) -> DataFrame:
     near = told
     for name, side in (("before", F.lag), ("after", F.lead)):
         near = near.withColumn(name, side("text").over(by_line())).withColumn(f"{name}_pair", side("is_pair").over(by_line()))
-    goes_on = F.col("text").rlike("^[:：]") & F.col("before").isNotNull() & ~F.col("before_pair")
+    goes_on = (F.startswith("text", F.lit(":")) | F.startswith("text", F.lit("："))) & F.col("before").isNotNull() & ~F.col("before_pair")
     kept = near.withColumn("goes_on", goes_on).where("goes_on OR is_pair")
-    own = kept.withColumn("own", T.trim_control(F.when(F.col("goes_on"), F.expr("substr(text, 2)")).otherwise(F.regexp_extract("text", T.LABEL_LINE, 2))))
+    own = kept.withColumn("own", T.trim_control(F.when(F.col("goes_on"), F.expr("substr(text, 2)")).otherwise(T.behind_colon("text"))))
     next_ = ~F.col("goes_on") & (F.col("own") == "") & F.col("after").isNotNull() & ~F.col("after_pair")
-    pairs = own.select(
-        "doc",
-        "line_no",
+    pair = F.struct(
         F.when(F.col("goes_on"), F.col("before")).otherwise(F.regexp_extract("text", T.LABEL_LINE, 1)).alias("label"),
         F.when(next_, T.trim_control("after")).otherwise(F.col("own")).alias("value"),
         T.line_number(F.when(F.col("goes_on"), F.col("before")).otherwise(F.col("text"))).alias("number"),
     )
-    return pairs.where(~T.is_blank("value"))
+    # a filter would be pushed below and make all that again
+    solid = F.filter(F.array(pair), lambda p: ~T.is_blank(p["value"]))
+    return own.select("doc", "line_no", F.explode(solid).alias("p")).select("doc", "line_no", "p.label", "p.value", "p.number")
 
 
 def with_items(df: DataFrame, synonyms: DataFrame, label: str = "label", out: str = "item_cd", normal: str | None = None) -> DataFrame:
