@@ -183,3 +183,22 @@ def test_reserved_and_long_names(spark):
     names = spark.createDataFrame([("ORDER", "D_NM"), ("_".join(["NM"] * 11), "D_NM"), ("NM", "D_NM")], "name string, domain string")
     got = {r.name[:5]: r.violations for r in governance.name_violations(names, words).collect()}
     assert got == {"ORDER": ["reserved"], "NM_NM": ["longer than 30"], "NM": []}
+
+
+def test_a_load_broadcasts_dimensions_only(spark, sf):
+    """Keys that grow with the load meet sorted, though their files are below Spark's threshold."""
+    from tidemark.plans.document_queries import load_twice
+
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    assert load_twice(spark, sf).count() == 2 * spark.read.parquet(f"{sf}/customer.parquet").count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs, sizes = store.executionsList(), []
+    for i in range(before, runs.size()):
+        one = runs.apply(i).executionId()
+        nodes, told = store.planGraph(one).allNodes(), store.executionMetrics(one)
+        for n in (nodes.apply(k) for k in range(nodes.size())):
+            if n.name() == "BroadcastExchange":
+                ids = [m.accumulatorId() for m in (n.metrics().apply(j) for j in range(n.metrics().size())) if m.name() == "number of output rows"]
+                sizes += [int(told.apply(x).replace(",", "")) for x in ids if told.contains(x)]
+    assert sizes and max(sizes) < 100  # types and items; a post of the smallest tables is one of 150

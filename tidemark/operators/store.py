@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.staging import staged
+from tidemark.plans.staging import sorted_side, staged
 
 #: Buckets of a table, unless the store was made with other numbers; more for larger tables, so that a load touches less.
 BUCKETS = 64
@@ -70,7 +70,7 @@ class Store:
             lost = (rows.select(*by) if gone is None else rows.select(*by).unionByName(gone.select(*by))).distinct()
             touched = [str(r[0]) for r in lost.select(bucket).distinct().collect()]  # n at most
             old = self._read(manifest, table, touched)
-            new = rows if old is None else old.join(lost, by, "left_anti").unionByName(rows, allowMissingColumns=True)
+            new = rows if old is None else old.join(sorted_side(lost), by, "left_anti").unionByName(rows, allowMissingColumns=True)
             entry = manifest["tables"].setdefault(table, {"parts": {}, "schema": ""})
             entry["schema"] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
             spread = F.pmod(F.xxhash64(*new.columns), F.lit(16))

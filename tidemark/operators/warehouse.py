@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from tidemark.functions import text as T
 from tidemark.operators.store import Store
 from tidemark.plans.dictionaries import item_dim, type_dim
-from tidemark.plans.staging import staged, task_count
+from tidemark.plans.staging import sorted_side, staged, task_count
 
 # The domains' limits and the tables' columns (name, domain, whether it may be null), keys first.
 TEXT_LIMITS = {"NO": 50, "CD": 25, "NM": 300, "TTL": 500, "PATH": 1000, "DSCR": 1000, "SE": 4, "ID": 20, "URL": 2000}
@@ -32,6 +32,8 @@ TABLES = {
 }
 ATTACHMENT = ["NOTI_SN", "ATCH_SN"]
 CHILDREN = ("OS_ATCH_IMG_DTL", "OS_NOTI_ITEM_VAL_DTL", "OS_NOTI_LBL_VAL_DTL")
+#: Tables that grow with what is loaded; the others are dimensions, which Spark may broadcast.
+GROWING = ("OS_NOTI_BAS", "OS_ATCH_FILE_DTL", *CHILDREN)
 #: child table, parent table, columns on both sides, whether the child goes with the parent.
 REFERENCES = (
     ("OS_NOTI_BAS", "OS_INSTT_BAS", ["INSTT_SN"], False), ("OS_CRWL_LOG_DTL", "OS_INSTT_BAS", ["INSTT_SN"], False), ("OS_ATCH_FILE_DTL", "OS_NOTI_BAS", ["NOTI_SN"], True), ("OS_ATCH_FILE_DTL", "OS_NOTI_KND_TC", ["NOTI_KND_CD"], False),
@@ -199,7 +201,7 @@ def known_items(items: DataFrame, labels: DataFrame, codes: DataFrame) -> tuple[
     odd = items.join(codes.select("NOTI_ITEM_CD"), "NOTI_ITEM_CD", "left_anti")
     slot = [*ATTACHMENT, "DSPS_SN", "ITEM_LBL_NM"]
     moved = odd.groupBy(*ATTACHMENT, "DSPS_SN", F.col("NOTI_ITEM_CD").alias("ITEM_LBL_NM")).agg(F.min_by("ITEM_VAL_CTNT", "RPT_SN").alias("ITEM_VAL_CTNT"))
-    fresh = moved.join(labels.select(*slot), slot, "left_anti")
+    fresh = moved.join(sorted_side(labels.select(*slot)), slot, "left_anti")
     return items.join(codes.select("NOTI_ITEM_CD"), "NOTI_ITEM_CD", "left_semi"), labels.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -211,27 +213,30 @@ def open_store(spark: SparkSession, root: str, buckets: int = 64) -> Store:
     return Store(spark, root, REPLACED_BY, buckets)
 
 
-def stamped(df: DataFrame, table: str, old: DataFrame | None = None) -> DataFrame:
-    """df with all of table's columns in order, typed; the time of the first registration stays where old has the key."""
+def _side(df: DataFrame, table: str) -> DataFrame:
+    """df, keys of table's rows, as a side of a join."""
+    return sorted_side(df) if table in GROWING else df
+
+
+def stamped(df: DataFrame, table: str) -> DataFrame:
+    """df with all of table's columns in order, typed, and the time."""
     now = F.current_timestamp()
     spec = columns(table)
     cols = {n: (F.col(n) if n in df.columns else F.lit(None)).cast(SQL_TYPES.get(d, "STRING")) for n, d, _ in spec}
     cols |= {c: now for c in ("FRST_REG_DTM", "LAST_CHG_DTM") if c in cols}
-    out = df.select(*[v.alias(n) for n, v in cols.items()])
-    if old is None or "FRST_REG_DTM" not in cols:
-        return out
-    first = old.select(*keys(table), F.col("FRST_REG_DTM").alias("_first"))
-    return out.join(first, keys(table), "left").withColumn("FRST_REG_DTM", F.coalesce("_first", "FRST_REG_DTM")).select(*cols)
+    return df.select(*[v.alias(n) for n, v in cols.items()])
 
 
 def merged(old: DataFrame | None, new: DataFrame, table: str) -> DataFrame:
-    """The rows of new by key, with what they leave null as old has it."""
-    rows = stamped(new, table, old)
+    """The rows of new by key, with what they leave null, and the time of the first registration, as old has it."""
+    rows = stamped(new, table)
     if old is None:
         return rows
     rest = [c for c in rows.columns if c not in keys(table)]
-    was = old.select(*keys(table), *[F.col(c).alias(f"_{c}") for c in rest])
-    return rows.join(was, keys(table), "left").select(*keys(table), *[F.coalesce(c, f"_{c}").alias(c) for c in rest]).select(*rows.columns)
+    was = _side(old.select(*keys(table), *[F.col(c).alias(f"_{c}") for c in rest]), table)
+    # the time of the first registration is the old row's, all else what is new
+    pick = lambda c: F.coalesce(*((f"_{c}", c) if c == "FRST_REG_DTM" else (c, f"_{c}"))).alias(c)
+    return rows.join(was, keys(table), "left").select(*keys(table), *map(pick, rest)).select(*rows.columns)
 
 
 def load(store: Store, came: dict[str, DataFrame], posts: DataFrame | None = None, agencies: DataFrame | None = None) -> int:
@@ -245,8 +250,8 @@ def load(store: Store, came: dict[str, DataFrame], posts: DataFrame | None = Non
     spark, old = store.spark, store.tables()
     files = staged(came["OS_ATCH_FILE_DTL"], "files")
     given = posts if posts is not None else spark.createDataFrame([], schema("OS_NOTI_BAS"))
-    named = files.select("NOTI_SN").distinct().join(given.select("NOTI_SN"), "NOTI_SN", "left_anti")
-    unknown = named if "OS_NOTI_BAS" not in old else named.join(old["OS_NOTI_BAS"].select("NOTI_SN"), "NOTI_SN", "left_anti")
+    named = files.select("NOTI_SN").distinct().join(sorted_side(given.select("NOTI_SN")), "NOTI_SN", "left_anti")
+    unknown = named if "OS_NOTI_BAS" not in old else named.join(sorted_side(old["OS_NOTI_BAS"].select("NOTI_SN")), "NOTI_SN", "left_anti")
     changes = {
         "OS_NOTI_KND_TC": merged(old.get("OS_NOTI_KND_TC"), type_dim(spark).select(F.col("type_cd").alias("NOTI_KND_CD"), F.col("type_nm").alias("NOTI_KND_NM"), F.col("family").alias("HRNK_NOTI_KND_NM")), "OS_NOTI_KND_TC"),
         "OS_NOTI_ITEM_TC": merged(old.get("OS_NOTI_ITEM_TC"), item_dim(spark).select(F.col("item_cd").alias("NOTI_ITEM_CD"), F.col("item_nm").alias("NOTI_ITEM_NM"), F.col("series").alias("ITEM_SRS_NM"), F.col("value_type").alias("ITEM_VAL_TY_CD"), F.col("core_yn").alias("CORE_ITEM_YN")), "OS_NOTI_ITEM_TC"),
@@ -263,7 +268,7 @@ def load(store: Store, came: dict[str, DataFrame], posts: DataFrame | None = Non
     for child, parent, by, _ in REFERENCES:
         if child in changes:
             there = [x.select(*by) for x in (old.get(parent), changes.get(parent)) if x is not None]
-            lost = changes[child] if not there else orphans(changes[child], there[0] if len(there) == 1 else there[0].union(there[1]), by)
+            lost = changes[child] if not there else orphans(changes[child], _side(there[0] if len(there) == 1 else there[0].union(there[1]), parent), by)
             if not lost.dropna(subset=by).isEmpty():
                 raise ValueError(f"{child} names a row of {parent} that is not there")
     slots = files.select(*ATTACHMENT)

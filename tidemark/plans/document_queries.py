@@ -14,7 +14,7 @@ from tidemark import jobs
 from tidemark.functions import text as T
 from tidemark.operators import geometry, keys, lines, sinks, survey, views, warehouse
 from tidemark.plans.queries import query, read
-from tidemark.plans.staging import folder, sized, spread, staged
+from tidemark.plans.staging import folder, sized, sorted_side, spread, staged
 from tidemark.sources import images, make, sniff
 from tidemark.sources import read as R
 from tidemark.streaming import ingest
@@ -307,9 +307,9 @@ def load_twice(spark, d):
     came = {n: df.where("ATCH_SN = 1") for n, df in _attachments(again, "new").items()}
     warehouse.load(store, came, again.select(F.col("c_custkey").cast("int").alias("NOTI_SN"), F.lit(None).cast("int").alias("INSTT_SN"), F.lit("d").alias("CHRG_DEPT_NM")))
     t, at = store.tables(), ["NOTI_SN", "ATCH_SN"]
-    count = lambda name, alias: t[name].groupBy(*at).agg(F.count(F.lit(1)).alias(alias))
+    count = lambda name, alias: sorted_side(t[name].groupBy(*at).agg(F.count(F.lit(1)).alias(alias)))
     loc = t["OS_NOTI_ITEM_VAL_DTL"].where("NOTI_ITEM_CD = 'LOC'").select(*at, F.col("ITEM_VAL_CTNT").alias("loc"))
-    out = t["OS_ATCH_FILE_DTL"].join(loc, at, "left").join(count("OS_NOTI_LBL_VAL_DTL", "n_labels"), at).join(count("OS_ATCH_IMG_DTL", "n_images"), at).join(t["OS_NOTI_BAS"].select("NOTI_SN", "INSTT_SN", "CHRG_DEPT_NM"), "NOTI_SN")
+    out = t["OS_ATCH_FILE_DTL"].join(sorted_side(loc), at, "left").join(count("OS_NOTI_LBL_VAL_DTL", "n_labels"), at).join(count("OS_ATCH_IMG_DTL", "n_images"), at).join(sorted_side(t["OS_NOTI_BAS"].select("NOTI_SN", "INSTT_SN", "CHRG_DEPT_NM")), "NOTI_SN")
     return out.select(*at, F.col("NOTI_TTL").alias("title"), "loc", "n_labels", "n_images", F.col("CHRG_DEPT_NM").alias("dept"), F.col("INSTT_SN").alias("agency"))
 
 

@@ -39,6 +39,14 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *by)
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """df as a side of a join by keys that grows with the input, as the other does: both are dealt by key and sorted.
+
+    Spark would go by the bytes of files, in which keys are packed: broadcast, they are many times that, all through the driver.
+    """
+    return df.hint("merge")
+
+
 #: Bytes of input files for a task of sized().
 TASK_BYTES = 4 << 20
 
