@@ -97,3 +97,36 @@ def test_values_behind_colons_are_the_patterns(spark):
     assert spark.createDataFrame([("\x01 a\u2028\x00",), (" \u3000 ",)], "t string").select(T.trim_control("t")).collect() == [("a\u2028",), ("\u3000",)]
     pairs = lines.label_pairs(df.select(F.lit(1).alias("doc"), F.col("i").alias("line_no"), "text"))
     assert pairs._jdf.queryExecution().optimizedPlan().toString().count("^\\s*(?:[-–—·o○]\\s*)?(?:\\d{1,2}\\s*[.)]|[가-힣]\\s*[.)]|[①-⑳㉮-㉻])?\\s*([^:：]{1,40}?)\\s*[:：]\\s*(.*)$, 1") == 1
+
+
+def test_looks_before_patterns_change_nothing(spark):
+    """Dates, signers and numbers as the patterns alone have them, in odd line ends too."""
+    texts = ["2024 .\t1 . 5", "12024년1월5일생", "’25-2/5", "'99 . 1.1 ", "1. 위치 : 1-URGENT", "3.4", "\n2024\n.1.1", "부산 시장", "군산청장 (인)", "장", "완도 군수\u0085", "서울지사\r\n", "군 수", "도지사x y", "1장 시장", "고시 제1호", "호", "군산 고 시 제 2 - 호 ", "제3호", "문: 제4호", "", " ", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    date = F.coalesce(*[T.group("x", p, 0) for p in (T.DATE_KOREAN, T.DATE_NUMERIC, T.DATE_SHORT)])
+    signer = F.coalesce(T.signer_name("x").rlike(T.SIGNER), F.lit(False)) & F.col("x").isNotNull()
+    number = T.trim_control("x").rlike(T.NOTICE_LINE)
+    got = df.select("x", date.isNotNull().alias("date"), F.coalesce(F.col("x").rlike(T.DATE_MARK), F.lit(False)).alias("mark"), signer.alias("signer"), T.is_signer("x").alias("is_signer"), F.coalesce(number, F.lit(False)).alias("number"), T.notice_number("x").isNotNull().alias("is_number")).collect()
+    assert all(r.mark or not r.date for r in got) and sum(r.date for r in got) == 5
+    assert [r.signer for r in got] == [r.is_signer for r in got] and sum(r.signer for r in got) == 3
+    assert [r.number for r in got] == [r.is_number for r in got] and sum(r.number for r in got) == 2
+    head = df.select(T.notice_number("x", F.lit("고시문")).alias("n"), (T.trim_control("x").rlike(T.NOTICE_LINE) | (~T.is_label_line("x") & T.trim_control("x").rlike(T.BARE_SERIAL))).alias("any")).collect()
+    assert [r.n is not None for r in head] == [bool(r.any) for r in head]
+    dates = spark.createDataFrame([(t,) for t in ["2024. 1. 1.", "2024\n", "2024 ", "’24~", "", "a1", None]], "x string")
+    pure = dates.select((F.regexp_replace("x", r"[\d\s.년월일:～~’'-]", "") == "").alias("a"), F.col("x").rlike(r"^[\d\s.년월일:～~’'-]*\z").alias("b")).collect()
+    assert [r.a for r in pure] == [r.b for r in pure]
+
+
+def test_document_meta_of_many_documents_and_long_lines(spark):
+    """What grows with the documents is not broadcast, and a long line without a signer's letters is not searched for one."""
+    import time
+
+    from tidemark.operators import lines
+
+    body = spark.createDataFrame([("d", 0, "군산청 고시 제1호"), ("d", 1, "제목"), ("d", 2, "2024. 1. 5."), ("d", 3, "군산청장"), ("d", 4, "a" * 100000 + " 가")], "doc string, line_no int, text string")
+    none = spark.range(2).select(F.col("id").cast("string").alias("doc"), F.col("id").cast("string").alias("title"))
+    meta = lines.document_meta(body, none.select("doc"), none)
+    assert "Broadcast" not in meta._jdf.queryExecution().executedPlan().toString()
+    began = time.time()
+    assert [tuple(r) for r in meta.collect()] == [("d", "군산청", "고시 제1호", "2024. 1. 5.", "군산청장", "제목")]
+    assert time.time() - began < 10

@@ -34,6 +34,8 @@ NOTICE_WORD = r"(?:고\s*시|공\s*고)"
 NOTICE_LINE = rf"^\s*(\S.*?)??\s*({NOTICE_WORD}\s*{SERIAL})\s*$"
 NOTICE_HEADER = r"^\s*(고\s*시|공\s*고)\s*문\s*(?:[(（]\s*안\s*[)）])?\s*$"
 BARE_SERIAL = rf"^\s*(\S.*?)\s*({SERIAL})\s*$"
+#: What every date has.
+DATE_MARK = r"\d\s*[년.\-/]\s*\d"
 SIGNER = r"^[가-힣·\s]{2,30}(청장|시장|군수|구청장|도지사|지사|본부장|장관|사업소장|소장)$"
 STATUTE = r"공유수면관리및매립에관한법[률령]"
 #: Longest label that is kept though no item knows it, in UTF-16 units.
@@ -137,7 +139,7 @@ def date_iso(c: Column | str) -> Column:
 
     Days go to 31 in any month: whether the calendar has the date is for the loader to say.
     """
-    found = F.coalesce(*[group(c, pattern, 0) for pattern in (DATE_KOREAN, DATE_NUMERIC, DATE_SHORT)])
+    found = F.when(_col(c).rlike(DATE_MARK), F.coalesce(*[group(c, pattern, 0) for pattern in (DATE_KOREAN, DATE_NUMERIC, DATE_SHORT)]))
 
     def made(n: Column) -> Column:
         y, m, d = (F.get(n, F.lit(i)) for i in range(3))
@@ -190,12 +192,13 @@ def notice_number(line: Column | str, before: Column | str | None = None) -> Col
     agency = lambda pattern: F.nullif(trim_control(F.regexp_extract(text, pattern, 1)), F.lit(""))
     full = F.struct(agency(NOTICE_LINE).alias("agency"), _compact_number(F.regexp_extract(text, NOTICE_LINE, 2)).alias("number"))
     out = F.when(text.rlike(NOTICE_LINE), full)
+    serial = F.contains(_col(line), F.lit("호"))  # most lines have none
     if before is None:
-        return out
+        return F.when(serial, out)
     head = trim_control(_col(before))
     kind = F.regexp_replace(F.regexp_extract(head, NOTICE_HEADER, 1), r"\s+", "")
     bare = F.struct(agency(BARE_SERIAL).alias("agency"), _compact_number(F.concat(kind, F.regexp_extract(text, BARE_SERIAL, 2))).alias("number"))
-    return out.when(head.rlike(NOTICE_HEADER) & ~is_label_line(_col(line)) & text.rlike(BARE_SERIAL), bare)
+    return F.when(serial, out.when(head.rlike(NOTICE_HEADER) & ~is_label_line(_col(line)) & text.rlike(BARE_SERIAL), bare))
 
 
 def unspaced(c: Column | str) -> Column:
@@ -211,7 +214,9 @@ def signer_name(c: Column | str) -> Column:
 
 
 def is_signer(c: Column | str) -> Column:
-    return F.coalesce(signer_name(c).rlike(SIGNER), F.lit(False)) & _col(c).isNotNull()
+    # a look for the titles' own letters first: the pattern of names is slow on long lines
+    title = F.contains(_col(c), F.lit("장")) | F.contains(_col(c), F.lit("군수")) | F.contains(_col(c), F.lit("지사"))
+    return F.coalesce(F.when(title, signer_name(c).rlike(SIGNER)), F.lit(False))
 
 
 def normalise_title(c: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import text as T
+from tidemark.plans.staging import sorted_side
 
 
 def by_line():
@@ -105,17 +106,18 @@ def document_meta(lines: DataFrame, titled: DataFrame, guesses: DataFrame) -> Da
     start = F.min(F.when(F.col("hit").isNotNull(), F.col("line_no"))).over(Window.partitionBy("doc"))
     found = found.withColumn("start", start).withColumn("here", F.col("line_no") == F.col("start"))
     later = F.col("line_no") >= F.coalesce("start", F.lit(0))
-    pure = T.date_iso("text").isNotNull() & ~T.is_label_line("text") & (F.regexp_replace("text", r"[\d\s.년월일:～~’'-]", "") == "")
-    plain = F.col("here") & F.col("after").isNotNull() & ~T.is_label_line("after") & T.date_iso("after").isNull() & ~T.is_signer("after")
+    # in a when() what is dear is made for the few lines that pass the first test
+    pure = F.when(later & F.col("text").rlike(r"^[\d\s.년월일:～~’'-]*\z"), T.date_iso("text").isNotNull() & ~T.is_label_line("text"))
+    plain = F.when(F.col("here") & F.col("after").isNotNull(), ~T.is_label_line("after") & T.date_iso("after").isNull() & ~T.is_signer("after"))
     meta = found.groupBy("doc").agg(
         F.max(F.when(F.col("here"), F.col("hit.agency"))).alias("BODY_AGNCY_NM"),
         F.max(F.when(F.col("here"), F.col("hit.number"))).alias("NOTI_NO"),
-        _first(F.col("text"), F.col("line_no"), later & pure).alias("NOTI_DT"),
+        _first(F.col("text"), F.col("line_no"), pure).alias("NOTI_DT"),
         _first(T.signer_name("text"), F.col("line_no"), later & T.is_signer("text")).alias("NOTI_PSN"),
         F.max(F.when(plain, T.unspaced("after"))).alias("next_title"),
     )
     named = titled.select("doc").distinct().withColumn("named", F.lit(True))
-    joined = meta.join(named, "doc", "left").join(guesses, "doc", "left")
+    joined = meta.join(sorted_side(named), "doc", "left").join(sorted_side(guesses), "doc", "left")
     title = F.when(F.col("named").isNull(), F.coalesce("title", "next_title"))
     return joined.select("doc", "BODY_AGNCY_NM", "NOTI_NO", "NOTI_DT", "NOTI_PSN", title.alias("NOTI_TTL"))
 
